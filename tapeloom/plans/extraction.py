@@ -112,3 +112,9 @@ def keyed_report_tables(reports, split_ref, tables):
     """Table rows per distinct (split, source, market, report_date)."""
     keys = report_keys(reports).drop("n").join(split_ref.distinct(), REPORT_KEY)
     return keys.join(tables, ["market", "report_date"])
+
+
+def bars_of_contracts(bars, active):
+    """Bars whose symbol is one of the active contracts', whatever their day."""
+    symbols = active.select(F.col("contract_symbol").alias("symbol")).distinct()
+    return spread_join(bars, symbols, ["symbol"], ["trade_date", "product"])
