@@ -16,11 +16,10 @@ from checks.oracles import (
     sample_view,
     with_views,
 )
-from checks.relations import EXPIRY, INSTRUCTION, Relations
+from checks.relations import EXPIRY, Relations
 from tapeloom import schemas
 from tapeloom.functions import dates, rounding, text
-from tapeloom.operators import calendar, examples, prompts, ranges, render, tables, tokens
-from tapeloom.operators.spread import spread_join
+from tapeloom.operators import calendar, examples, prompts, ranges, tables, tokens
 from tapeloom.plans import dataset, extraction, tokenization
 from tapeloom.settings import HISTORY_SPANS, scratch_dir
 from tapeloom.sources import scans, sinks, vendors
@@ -490,15 +489,13 @@ def routed(r):
 )
 @dated("report_date", "trade_date")
 def extract_by_symbol(r):
-    by_symbol, _ = routed(r)
-    return extraction.extract_by_symbol(by_symbol, r.bar(), 8).select(*DAY, "ord", *BARS)
+    return extraction.extract_by_symbol(routed(r), r.bar(), 8).select(*DAY, "ord", *BARS)
 
 
 @query(["found"], f"SELECT market, report_date, ord, {BARS_SQL} FROM found WHERE ord % 3 = 2")
 @dated("report_date", "trade_date")
 def extract_by_product(r):
-    _, by_product = routed(r)
-    return extraction.extract_by_product(by_product, r.bar(), 8).select(*DAY, "ord", *BARS)
+    return extraction.extract_by_product(routed(r), r.bar(), 8).select(*DAY, "ord", *BARS)
 
 
 @query(

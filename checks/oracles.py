@@ -163,7 +163,7 @@ def rendered_view():
         )
         sci = f"({c}_big AND {c}_mw + 1 + {c}_p > 12)"
         width = (
-            f"greatest({len(titles[c])}, CASE WHEN {sci} THEN 12 + {c}_neg ELSE {c}_mw + 1 + {c}_p END, "
+            f"greatest({len(titles[c]) + 1}, CASE WHEN {sci} THEN 12 + {c}_neg ELSE {c}_mw + 1 + {c}_p END, "
             f"CASE WHEN {c}_nul THEN 3 ELSE 0 END)"
         )
         cell = (
@@ -175,7 +175,8 @@ def rendered_view():
     words = ["trade_date", "product", "symbol"]
     for c in words:
         text.append(f"coalesce(CAST({c} AS VARCHAR), 'NaN') AS {c}_t")
-        stats.append(f"greatest({len(titles[c])}, max(length({c}_t)) OVER g) AS {c}_width")
+        none = f"CASE WHEN count({c}) OVER g = 0 THEN 1 ELSE 0 END"
+        stats.append(f"greatest({len(titles[c])} + {none}, max(length({c}_t)) OVER g) AS {c}_width")
     word_cells = [f"lpad({c}_t, CAST({c}_width AS INTEGER), ' ')" for c in words]
     word_heads = [f"lpad('{titles[c]}', CAST({c}_width AS INTEGER), ' ')" for c in words]
     return f"""SELECT market, report_date,

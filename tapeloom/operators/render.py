@@ -4,7 +4,8 @@ The layout is that of a data frame printed without index: columns padded to thei
 cell, one blank between them, ``NaN`` for missing values. Numbers of a column share their
 decimals: as many as its values need of six, at least one. A column with tiny values, or
 with values above a million that would take more than twelve characters, is printed in
-scientific form.
+scientific form. The title of a number column, or of one without any value, counts one
+blank more.
 """
 
 from pyspark.sql import Window, functions as F
@@ -15,52 +16,62 @@ from tapeloom.schemas import BAR_HEADERS, VALUE_COLUMNS
 DIGITS = 6
 MISSING = "NaN"
 LONG_CELL = DIGITS + 6
-LARGE = 1e6
-SMALL = 1e-6
 SCIENTIFIC_WIDTH = 12
+# What a number column holds, one bit each.
+NEGATIVE, SMALL, LARGE, ABSENT = 1, 2, 4, 8
 
 
-def _text_cell(column):
+def _word_text(name):
     """Text as printed: control characters spelled out, NULL as missing."""
-    shown = column.cast("string")
+    shown = F.col(name).cast("string")
     for char, spelled in (("\t", "\\t"), ("\r", "\\r"), ("\n", "\\n")):
         shown = F.replace(shown, F.lit(char), F.lit(spelled))
     return F.coalesce(shown, F.lit(MISSING))
 
 
-def _number_parts(name):
-    """Six-decimal text of a number, length of its whole part, decimals it needs."""
-    text = F.col(name).cast("decimal(38,6)").cast("string")
-    whole = F.length(text) - (DIGITS + 1)
-    places = F.length(F.rtrim(text, F.lit("0"))) - whole - 1
-    return {f"_{name}_text": text, f"_{name}_whole": whole, f"_{name}_places": places}
-
-
-def _number_layout(name, group):
-    """Per group: decimals, whether scientific, and cell width of a number column."""
-    size = F.abs(F.col(name))
-    whole = F.max(f"_{name}_whole").over(group)
-    places = F.greatest(F.max(f"_{name}_places").over(group), F.lit(1))
-    fixed_width = whole + 1 + places
-    large = F.coalesce(F.max(size).over(group) > LARGE, F.lit(False))
-    small = F.coalesce(F.min(F.when(size > 0, size)).over(group) < SMALL, F.lit(False))
-    signs = F.coalesce((F.min(name).over(group) < 0).cast("int"), F.lit(0))
-    missing = F.count("*").over(group) > F.count(name).over(group)
-    scientific = small | ((fixed_width > LONG_CELL) & large)
-    width = F.greatest(
-        F.lit(len(BAR_HEADERS.get(name, name))),
-        F.when(scientific, SCIENTIFIC_WIDTH + signs).otherwise(fixed_width),
-        F.when(missing, F.lit(len(MISSING))),
+def _number_text(name):
+    """Six-decimal text without trailing zeros.
+
+    The short text of a double is that already unless it has an exponent or more digits.
+    """
+    short = f"cast({name} AS string)"
+    fits = f"instr({short}, 'E') = 0 AND length({short}) - instr({short}, '.') <= {DIGITS}"
+    long = f"cast(cast({name} AS decimal(38,{DIGITS})) AS string)"
+    return F.expr(f"CASE WHEN {fits} THEN {short} ELSE trim(TRAILING '0' FROM {long}) END")
+
+
+def _number_flags(name):
+    size = f"abs({name})"
+    return F.expr(
+        f"if({name} IS NULL, {ABSENT}, if({name} < 0, {NEGATIVE}, 0)"
+        f" + if({size} > 0 AND {size} < 1e-6, {SMALL}, 0) + if({size} > 1e6, {LARGE}, 0))"
+    )
+
+
+def _number_layout(name, title):
+    """Decimals, scientific form and width of a number column from its group's maxima."""
+    places = f"greatest(_{name}_most_places, 1)"
+    plain = f"coalesce(_{name}_most_whole + 1 + {places}, 0)"
+    scientific = (
+        f"(_{name}_flags & {SMALL} > 0 OR ({plain} > {LONG_CELL} AND _{name}_flags & {LARGE} > 0))"
+    )
+    width = (
+        f"greatest({len(title) + 1}, if({scientific}, {SCIENTIFIC_WIDTH} + (_{name}_flags & {NEGATIVE}),"
+        f" {plain}), if(_{name}_flags & {ABSENT} > 0, {len(MISSING)}, 0))"
     )
-    return {f"_{name}_places": places, f"_{name}_e": scientific, f"_{name}_width": width}
+    return {
+        f"_{name}_places": F.expr(places),
+        f"_{name}_scientific": F.expr(scientific),
+        f"_{name}_width": F.expr(width),
+    }
 
 
 def _number_cell(name):
-    fixed = F.substring(
-        F.col(f"_{name}_text"), F.lit(1), F.col(f"_{name}_whole") + 1 + F.col(f"_{name}_places")
+    return F.expr(
+        f"CASE WHEN {name} IS NULL THEN '{MISSING}'"
+        f" WHEN _{name}_scientific THEN format_string('%.{DIGITS}e', {name})"
+        f" ELSE rpad(_{name}_text, instr(_{name}_text, '.') + _{name}_places, '0') END"
     )
-    shown = F.when(F.col(f"_{name}_e"), F.format_string("%.6e", name)).otherwise(fixed)
-    return F.when(F.col(name).isNull(), F.lit(MISSING)).otherwise(shown)
 
 
 def render_table(rows, group, order="row_no", columns=None, text_column="table_data"):
@@ -70,37 +81,47 @@ def render_table(rows, group, order="row_no", columns=None, text_column="table_d
     lines are collected where they are. The collected lines are the text itself.
     """
     columns = columns or list(BAR_HEADERS)
+    titles = {c: BAR_HEADERS.get(c, c) for c in columns}
     numbers = [c for c in columns if c in VALUE_COLUMNS]
-    headers = {c: BAR_HEADERS.get(c, c) for c in columns}
+    words = [c for c in columns if c not in numbers]
     whole = Window.partitionBy(*group)
 
-    parts, layout = {}, {}
-    for name in columns:
-        if name in numbers:
-            parts.update(_number_parts(name))
-            layout.update(_number_layout(name, whole))
-        else:
-            parts[f"_{name}_text"] = _text_cell(F.col(name))
-            widest = F.max(F.length(f"_{name}_text")).over(whole)
-            layout[f"_{name}_width"] = F.greatest(F.lit(len(headers[name])), widest)
-
-    measured = rows.withColumns(parts).withColumns(layout)
+    texts = rows.select(
+        *group,
+        order,
+        *[_word_text(c).alias(f"_{c}_text") for c in words],
+        *[F.when(F.col(c).isNotNull(), True).alias(f"_{c}_held") for c in words],
+        *numbers,
+        *[_number_text(c).alias(f"_{c}_text") for c in numbers],
+        *[_number_flags(c).alias(f"_{c}_flag") for c in numbers],
+    )
+    maxima = {}
+    for c in words:
+        widest = F.max(F.length(f"_{c}_text")).over(whole)
+        empty = (F.count(f"_{c}_held").over(whole) == 0).cast("int")
+        maxima[f"_{c}_width"] = F.greatest(len(titles[c]) + empty, widest)
+    for c in numbers:
+        point = F.instr(f"_{c}_text", ".")
+        maxima[f"_{c}_most_whole"] = F.max(point - 1).over(whole)
+        maxima[f"_{c}_most_places"] = F.max(F.length(f"_{c}_text") - point).over(whole)
+        maxima[f"_{c}_flags"] = F.bit_or(f"_{c}_flag").over(whole)
+    layout = {k: v for c in numbers for k, v in _number_layout(c, titles[c]).items()}
+    measured = texts.withColumns(maxima).withColumns(layout)
+
     cells = [
-        F.lpad(
-            _number_cell(c) if c in numbers else F.col(f"_{c}_text"),
-            F.col(f"_{c}_width"),
-            F.lit(" "),
-        )
+        F.lpad(_number_cell(c) if c in numbers else F.col(f"_{c}_text"), F.col(f"_{c}_width"), F.lit(" "))
         for c in columns
     ]
-    titles = [F.lpad(F.lit(headers[c]), F.col(f"_{c}_width"), F.lit(" ")) for c in columns]
-    lines = measured.select(
-        *group,
-        F.struct(F.col(order), F.concat_ws(" ", *cells).alias("line")).alias("_line"),
-        F.concat_ws(" ", *titles).alias("_title"),
-    )
-    grouped = lines.groupBy(*group).agg(
-        F.first("_title").alias("_title"), F.array_sort(F.collect_list("_line")).alias("_lines")
+    widths = [f"_{c}_width" for c in columns]
+    line = F.struct(F.col(order), F.concat_ws(" ", *cells).alias("line"))
+    grouped = (
+        measured.select(*group, *widths, line.alias("_line"))
+        .groupBy(*group)
+        .agg(
+            *[F.first(w).alias(w) for w in widths],
+            F.array_sort(F.collect_list("_line")).alias("_lines"),
+        )
     )
-    body = F.array_join(F.col("_lines.line"), "\n")
-    return grouped.select(*group, F.concat_ws("\n", "_title", body).alias(text_column))
+    head = [F.lpad(F.lit(titles[c]), F.col(f"_{c}_width"), F.lit(" ")) for c in columns]
+    text = F.concat_ws("\n", F.concat_ws(" ", *head), F.array_join(F.col("_lines.line"), "\n"))
+    return grouped.select(*group, text.alias(text_column))

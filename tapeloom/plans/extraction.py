@@ -13,7 +13,7 @@ from tapeloom.operators.tables import (
     report_items,
     report_keys,
 )
-from tapeloom.schemas import BAR_COLUMNS, VALUE_COLUMNS
+from tapeloom.schemas import BAR_COLUMNS
 
 BAR_KEY = ["trade_date", "product", "symbol"]
 
@@ -24,45 +24,62 @@ def first_listings(bars):
 
 
 def route_items(items, contracts, n_contracts):
-    """Split items by how their bars are found: by symbol (futures contracts and plain
-    symbols) or, for instruments without symbol, by product name."""
+    """How the bars of each item are found: ``by`` symbol or product, and the ``key``.
+
+    Futures look for the symbols of their active contracts and carry a label, other items
+    for their symbol, items without symbol for their name.
+    """
     futures = (F.col("data_source") == "cme") & F.col("symbol").isNotNull()
     keep = [c for c in items.columns if c not in ("data_source", "name", "symbol")]
-    labelled = label_contracts(active_contracts(items.where(futures), contracts, n_contracts))
-    by_contract = labelled.select(*keep, F.col("contract_symbol").alias("symbol"), "label")
-    plain = items.where((F.col("data_source") != "cme") & F.col("symbol").isNotNull())
-    by_symbol = plain.select(*keep, "symbol", F.lit(None).cast("string").alias("label"))
-    nameless = items.where(F.col("symbol").isNull())
-    by_product = nameless.select(*keep, F.col("name").alias("product"))
-    return by_contract.unionByName(by_symbol), by_product
+    active = label_contracts(active_contracts(items.where(futures), contracts, n_contracts))
+    contracted = active.select(
+        *keep, F.lit("symbol").alias("by"), F.col("contract_symbol").alias("key"), "label"
+    )
+    plain = items.where(F.col("symbol").isNull() | (F.col("data_source") != "cme")).select(
+        *keep,
+        F.when(F.col("symbol").isNull(), "product").otherwise("symbol").alias("by"),
+        F.coalesce("symbol", "name").alias("key"),
+        F.lit(None).cast("string").alias("label"),
+    )
+    return contracted.unionByName(plain)
+
 
+def findable_bars(bars):
+    """Every bar under its symbol and under its product, so that one join serves all routes."""
+    ways = F.array(
+        F.struct(F.lit("symbol").alias("by"), F.col("symbol").alias("key")),
+        F.struct(F.lit("product").alias("by"), F.col("product").alias("key")),
+    )
+    return bars.select("*", F.inline(F.filter(ways, lambda way: way["key"].isNotNull())))
+
+
+def extract_bars(routed, bars, bin_days):
+    """Bars of every routed item in its window; a contract label replaces the product."""
+    found = interval_join(findable_bars(bars), routed, ["by", "key"], bin_days=bin_days)
+    return found.drop("by", "key").withColumn("product", F.coalesce("label", "product"))
 
-def extract_by_symbol(items, bars, bin_days):
-    """Bars of the symbol of each item in its window; a contract label replaces the product."""
-    found = interval_join(bars, items, ["symbol"], bin_days=bin_days)
-    return found.withColumn("product", F.coalesce("label", "product"))
 
+def extract_by_symbol(routed, bars, bin_days):
+    """Bars of the items that are looked up by symbol."""
+    return extract_bars(routed.where(F.col("by") == "symbol"), bars, bin_days)
 
-def extract_by_product(items, bars, bin_days):
-    """Bars of the product name of each item in its window, whatever their symbol."""
-    found = interval_join(bars, items, ["product"], bin_days=bin_days)
-    return found.withColumn("label", F.lit(None).cast("string"))
+
+def extract_by_product(routed, bars, bin_days):
+    """Bars of the items that are looked up by product name, whatever the bars' symbol."""
+    return extract_bars(routed.where(F.col("by") == "product"), bars, bin_days)
 
 
 def market_tables(days, instruments, contracts, bars, n_contracts=3, bin_days=8):
     """Table rows of each market day, numbered in table order.
 
     ``days`` carries (market, report_date, start_date, end_date), and ``span`` if several
-    windows are wanted. Everything after the range joins is partitioned by market day
+    windows are wanted. Everything after the range join is partitioned by market day
     once, so the ordered dedupe and the numbering share that one shuffle.
     """
     group = [c for c in ("span", "market", "report_date") if c in days.columns]
     items = report_items(days, instruments)
-    by_symbol, by_product = route_items(items, contracts, n_contracts)
-    listed = first_listings(bars)
-    found = extract_by_symbol(by_symbol, listed, bin_days).unionByName(
-        extract_by_product(by_product, listed, bin_days)
-    )
+    routed = route_items(items, contracts, n_contracts)
+    found = extract_bars(routed, first_listings(bars), bin_days)
     rows = found.select(*group, "ord", "label", "seq", *BAR_COLUMNS).repartition(*group)
     unique = dedupe_keep_first(rows, [*group, *BAR_KEY], ["ord", "seq"])
     # Instruments in list order; contracts by label and day; other bars by listing and day.
