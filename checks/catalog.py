@@ -898,8 +898,9 @@ def filter_overlength(r):
     )
 
 
-def token_view(rows):
+def token_view(rows, *more):
     return rows.select(
+        *more,
         "split",
         "report_id",
         ids_digest("input_ids").alias("input_md5"),
@@ -939,8 +940,7 @@ def tokenize_dataset_keep_all(r):
 def write_tokens(r):
     path = scratch_dir(r.spark, "tokens")
     sinks.write_tokens(tokenization.tokenize_dataset(built(r)), path, "tapeloom/hashed-words")
-    stored = r.spark.read.parquet(path)
-    return token_view(stored).withColumn("model", F.lit("hashed-words"))
+    return token_view(scans.scan_tokens(r.spark, path), "model")
 
 
 # ---------------------------------------------------------------- scalars

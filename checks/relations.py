@@ -21,6 +21,7 @@ INSTRUCTION = "Write a market report:\n1. from the price table.\n2. in the style
 
 
 LANDED = {}
+SCHEMAS = {}
 
 
 def landed(define):
@@ -42,13 +43,17 @@ class Relations:
         """The table ``build()`` gives, written once."""
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in LANDED:
-            path = scratch_dir(self.spark, name)
-            build().write.parquet(path)
-            LANDED[key] = path
-        return self.spark.read.parquet(LANDED[key])
+            path, frame = scratch_dir(self.spark, name), build()
+            frame.write.parquet(path)
+            LANDED[key] = path, frame.schema
+        path, schema = LANDED[key]
+        return self.spark.read.schema(schema).parquet(path)
 
     def table(self, name):
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in SCHEMAS:
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
     @landed
     def instrument(self):

@@ -67,9 +67,14 @@ def _number_layout(name, title):
 
 
 def _number_cell(name):
+    """Cell text; digits a large number loses in scientific form are rounded half to even."""
+    shown = DIGITS + 1
+    lost = f"greatest(instr(_{name}_text, '.') - 1 - (_{name}_flag & {NEGATIVE}) - {shown}, 0)"
+    rounded = f"rint({name} / power(10, {lost})) * power(10, {lost})"
+    kept = f"if({lost} > 0, {rounded}, {name})"
     return F.expr(
         f"CASE WHEN {name} IS NULL THEN '{MISSING}'"
-        f" WHEN _{name}_scientific THEN format_string('%.{DIGITS}e', {name})"
+        f" WHEN _{name}_scientific THEN format_string('%.{DIGITS}e', {kept})"
         f" ELSE rpad(_{name}_text, instr(_{name}_text, '.') + _{name}_places, '0') END"
     )
 

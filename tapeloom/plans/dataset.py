@@ -38,22 +38,22 @@ def keyed_tables(keys, split_ref, rendered):
 
 
 def report_example_rows(examples, n, seed, pick=sample_examples):
-    """Sampled examples per (market, source): drawn by key and id, passages fetched after."""
-    slim = examples.select("market", "source", "report_date", "example_id")
-    drawn = pick(slim, ["market", "source"], n, seed)
-    return drawn.select("example_id", "place").join(examples, "example_id")
+    """Sampled examples per (market, source).
+
+    The rank limit cuts every group to the few drawn rows inside each scan task, so the
+    passages can stay on the rows: only drawn ones are shuffled.
+    """
+    return pick(examples, ["market", "source"], n, seed)
 
 
 def data_example_rows(examples, tables, n, seed, pick=sample_examples):
     """Same per (split, market, source), from the examples that have a table in the split."""
-    slim = examples.select(*REPORT_KEY, "example_id")
-    counts = report_keys(slim)
+    counts = report_keys(examples)
     present = spread_join(
-        slim, tables.select("split", *REPORT_KEY), REPORT_KEY, ["example_id"], counts=counts
+        examples, tables.select("split", *REPORT_KEY), REPORT_KEY, ["example_id"], counts=counts
     )
     drawn = pick(present, ["split", "market", "source"], n, seed)
-    with_text = drawn.select("split", "example_id", "place").join(examples, "example_id")
-    return with_text.join(tables.select("split", *REPORT_KEY, "table_data"), ["split", *REPORT_KEY])
+    return drawn.join(tables.select("split", *REPORT_KEY, "table_data"), ["split", *REPORT_KEY])
 
 
 def attach_lists(tables, rows, keys, n, name, exclude_self):
@@ -114,16 +114,13 @@ def build_dataset(
     keys = report_keys(reports)
     tables = keyed_tables(keys, split_ref, rendered)
     context = report_context(tables, examples, n_data, n_report, seed, exclude_self)
-    context = context.withColumns(
-        {
-            "_data_blocks": format_examples(F.col("few_shot_examples"), "data"),
-            "_report_blocks": format_examples(F.col("report_examples"), "report"),
-        }
-    )
     joined = spread_join(reports, context, REPORT_KEY, ["report_id"], counts=keys)
     told = joined.withColumn("instruction", instruction.scalar())
     prompted = assemble_prompt(
-        told, F.col("instruction"), F.col("_data_blocks"), F.col("_report_blocks")
+        told,
+        F.col("instruction"),
+        format_examples(F.col("few_shot_examples"), "data"),
+        format_examples(F.col("report_examples"), "report"),
     )
     return prompted.select(
         "split",

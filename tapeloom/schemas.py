@@ -34,6 +34,22 @@ BAR = T.StructType(
     + [T.StructField("seq", T.IntegerType())]
 )
 
+# As landed, with the vendor whose partition it is.
+LANDED_BAR = T.StructType(BAR.fields + [T.StructField("vendor", T.StringType())])
+
+REPORT_TABLE = T.StructType(
+    [
+        T.StructField("span", T.StringType()),
+        T.StructField("split", T.StringType()),
+        T.StructField("market_source", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("market", T.StringType()),
+        T.StructField("report_date", T.DateType()),
+        T.StructField("row_no", T.IntegerType()),
+    ]
+    + BAR.fields[:-1]
+)
+
 INSTRUMENT_ITEM = T.StructType(
     [
         T.StructField("market", T.StringType()),
@@ -70,6 +86,19 @@ YIELD_FILE = T.StructType(
     + [T.StructField(c.capitalize(), T.DoubleType()) for c in PRICE_COLUMNS]
 )
 
+TOKENS = T.StructType(
+    [
+        T.StructField("model", T.StringType()),
+        T.StructField("split", T.StringType()),
+        T.StructField("report_id", T.LongType()),
+        T.StructField("report_date", T.DateType()),
+    ]
+    + [
+        T.StructField(c, T.ArrayType(T.LongType()))
+        for c in ["input_ids", "attention_mask", "labels"]
+    ]
+)
+
 EXAMPLE = T.StructType(
     [T.StructField(c, T.StringType()) for c in ["source", "market", "date", "table_data", "report"]]
 )

@@ -10,7 +10,7 @@ from tapeloom.functions.text import blank_to_null, strip
 def scan_bars(spark, path, file_format="parquet"):
     """Unified price bars. Parquet is the native form, CSV the exchange form."""
     if file_format == "parquet":
-        return spark.read.parquet(path)
+        return spark.read.schema(schemas.LANDED_BAR).parquet(path)
     raw = spark.read.schema(schemas.BAR_FILE).option("header", True).csv(path)
     named = raw.withColumnsRenamed({v: k for k, v in schemas.BAR_HEADERS.items()})
     return named.withColumns(
@@ -74,7 +74,7 @@ def scan_split_reference(spark, path):
 
 def scan_report_tables(spark, path, span=None, split=None):
     """Report tables of ``sinks.write_report_tables``; span and split prune folders."""
-    tables = spark.read.parquet(path)
+    tables = spark.read.schema(schemas.REPORT_TABLE).parquet(path)
     if span is not None:
         tables = tables.where(F.col("span") == span)
     if split is not None:
@@ -96,6 +96,14 @@ def scan_dataset(spark, path, split=None):
     return rows if split is None else rows.where(F.col("split") == split)
 
 
+def scan_tokens(spark, path, model=None, split=None):
+    """Token rows of ``sinks.write_tokens``; model folder and split prune folders."""
+    rows = spark.read.schema(schemas.TOKENS).parquet(path)
+    for column, wanted in (("model", model), ("split", split)):
+        rows = rows if wanted is None else rows.where(F.col(column) == wanted)
+    return rows
+
+
 def scan_instruction(spark, path):
     """Instruction text as one row, ready to be used as a scalar subquery."""
     return spark.read.text(path, wholetext=True).select(strip(F.col("value")).alias("instruction"))
