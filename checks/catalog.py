@@ -4,7 +4,9 @@ Long texts and id lists are compared by their md5 over the whole value; dates ar
 ISO text on both sides.
 """
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from checks.oracles import (
     INSTRUCTION_SQL,
@@ -21,7 +23,7 @@ from tapeloom import schemas
 from tapeloom.functions import dates, rounding, text
 from tapeloom.operators import calendar, examples, prompts, ranges, tables, tokens
 from tapeloom.plans import dataset, extraction, tokenization
-from tapeloom.settings import HISTORY_SPANS, scratch_dir
+from tapeloom.settings import HISTORY_SPANS, SPLITS, scratch_dir
 from tapeloom.sources import scans, sinks, vendors
 
 QUERIES, ORACLES = {}, {}
@@ -169,13 +171,20 @@ def write_report_tables(r):
     return scans.scan_report_tables(r.spark, written_report_tables(r))
 
 
-@query(["split_ref", "tab"], f"SELECT * FROM ({KEYED_ROWS}) WHERE split = 'test'")
+@query(["split_ref", "tab"], KEYED_ROWS)
 @dated("report_date", "trade_date")
 def lookup_report_table(r):
-    stored = scans.scan_report_tables(r.spark, written_report_tables(r), "1week", "test")
+    """Every report's table, looked up in the folders of its split."""
+    path = written_report_tables(r)
     folder = text.market_source(F.col("market"), F.col("source")).alias("market_source")
     wanted = r.split_ref().select("split", folder, "report_date")
-    return scans.lookup_report_table(stored, wanted)
+    found = [
+        scans.lookup_report_table(
+            scans.scan_report_tables(r.spark, path, "1week", split), wanted.where(F.col("split") == split)
+        )
+        for split in SPLITS
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query(
@@ -293,37 +302,41 @@ def ingest_cash_index(r):
     return vendors.ingest_cash_index(r.spark, path, "Cash Index", seq=4)
 
 
-VENDOR_SQL = "CASE CAST(seq % 3 AS INTEGER) WHEN 0 THEN 'cme' WHEN 1 THEN 'yahoo' ELSE 'index' END"
+def sourced_bars(r):
+    """Bars with the vendor of their product."""
+    vendors_of = r.instrument().select(F.col("ord").alias("seq"), "data_source")
+    return r.bar().join(vendors_of, "seq")
 
 
-@query(["bar"], f"SELECT *, {VENDOR_SQL} AS vendor FROM bar")
+@query(["bar", "instrument"], "SELECT b.*, data_source AS vendor FROM bar b JOIN instrument i ON i.ord = b.seq")
 @dated("trade_date")
 def append_bars(r):
     """All vendors, then one of them again: its rows are replaced, not repeated."""
     path = scratch_dir(r.spark, "bars")
-    rows = vendors.conform_bars(r.bar())
     by_vendor = {
-        name: rows.where(F.col("seq") % 3 == i) for i, name in enumerate(["cme", "yahoo", "index"])
+        name: vendors.conform_bars(sourced_bars(r).where(F.col("data_source") == name))
+        for name in ("cme", "yahoo", "index")
     }
     sinks.append_bars(path, by_vendor)
-    sinks.append_bars(path, {"yahoo": by_vendor["yahoo"], "none": rows.where("seq < 0")})
+    sinks.append_bars(path, {"yahoo": by_vendor["yahoo"], "none": by_vendor["cme"].where("seq < 0")})
     return scans.scan_bars(r.spark, path).select(*schemas.BAR.fieldNames(), "vendor")
 
 
-RAW_SQL = """SELECT trade_date, product, symbol, open, high, low,
-  CASE WHEN seq % 3 = 1 THEN round_even(close, 2) ELSE close END AS close, volume, seq FROM bar"""
+RAW_SQL = """SELECT trade_date, product, b.symbol, open, high, low,
+  CASE WHEN data_source = 'yahoo' THEN round_even(close, 2) ELSE close END AS close, volume, seq
+  FROM bar b JOIN instrument i ON i.ord = b.seq"""
 
 
 def landed_raw(r):
     """Every product, then those of one vendor again with another close."""
     path = scratch_dir(r.spark, "raw")
     sinks.land_raw(r.bar(), path)
-    again = r.bar().where(F.col("seq") % 3 == 1)
+    again = sourced_bars(r).where(F.col("data_source") == "yahoo").drop("data_source")
     sinks.land_raw(again.withColumn("close", rounding.round_scaled(F.col("close"), 2)), path)
     return r.spark.read.parquet(path)
 
 
-@query(["bar"], RAW_SQL)
+@query(["bar", "instrument"], RAW_SQL)
 @dated("trade_date")
 def land_raw(r):
     return landed_raw(r)
@@ -383,8 +396,7 @@ def last_trading_day(r):
     ["listing"],
     """SELECT name, string_agg(symbol || substr('FGHJKMNQUVXZ', CAST(m AS INTEGER), 1) || CAST(y % 10 AS VARCHAR), ' '
          ORDER BY y, m) AS symbols
-       FROM listing, range(1995, 2003) t(y), range(1, 13) u(m)
-       WHERE CASE market WHEN 'asia' THEN TRUE ELSE TRUE END GROUP BY name""",
+       FROM listing, range(1995, 2003) t(y), range(1, 13) u(m) GROUP BY name""",
 )
 def symbols_per_product(r):
     contracts = calendar.contract_calendar(r.listing(), 1995, 2002, {}, EXPIRY)
@@ -485,14 +497,14 @@ def routed(r):
 
 @query(
     ["found"],
-    f"SELECT market, report_date, ord, {BARS_SQL} FROM found WHERE label IS NOT NULL OR ord % 3 = 1",
+    f"SELECT market, report_date, ord, {BARS_SQL} FROM found WHERE route = 'symbol'",
 )
 @dated("report_date", "trade_date")
 def extract_by_symbol(r):
     return extraction.extract_by_symbol(routed(r), r.bar(), 8).select(*DAY, "ord", *BARS)
 
 
-@query(["found"], f"SELECT market, report_date, ord, {BARS_SQL} FROM found WHERE ord % 3 = 2")
+@query(["found"], f"SELECT market, report_date, ord, {BARS_SQL} FROM found WHERE route = 'product'")
 @dated("report_date", "trade_date")
 def extract_by_product(r):
     return extraction.extract_by_product(routed(r), r.bar(), 8).select(*DAY, "ord", *BARS)
@@ -744,10 +756,13 @@ def write_dataset(r):
     return dataset_view(scans.scan_dataset(r.spark, written_dataset(r)))
 
 
-@query(["prompted"], f"SELECT * FROM ({DATASET_SQL}) WHERE split = 'validate'")
+@query(["prompted"], DATASET_SQL)
 @dated("report_date")
 def scan_dataset(r):
-    return dataset_view(scans.scan_dataset(r.spark, written_dataset(r), "validate"))
+    """Each split read on its own."""
+    path = written_dataset(r)
+    parts = [scans.scan_dataset(r.spark, path, split) for split in SPLITS]
+    return dataset_view(reduce(DataFrame.unionByName, parts))
 
 
 @query(["prompted"], "SELECT split, count(*) AS n_rows FROM prompted GROUP BY split")

@@ -120,16 +120,16 @@ def found_views(history, suffix="", spans=None):
         key = "market, report_date"
     own = key.replace("market", "w.market").replace(", report_date", ", w.report_date")
     own = own.replace(", span", ", w.span")
-    found = f"""SELECT {own}, a.ord, b.seq, b.trade_date, a.label, a.label AS product,
+    found = f"""SELECT {own}, 'symbol' AS route, a.ord, b.seq, b.trade_date, a.label, a.label AS product,
          b.symbol, b.open, b.high, b.low, b.close, b.volume
   FROM win{suffix} w JOIN labelled a ON a.market = w.market AND a.report_date = w.report_date
        JOIN bar b ON b.symbol = a.symbol AND b.trade_date BETWEEN w.first_day AND w.report_date
   UNION ALL
-  SELECT {own}, i.ord, b.seq, b.trade_date, NULL, b.product, b.symbol, b.open, b.high, b.low, b.close, b.volume
+  SELECT {own}, 'symbol', i.ord, b.seq, b.trade_date, NULL, b.product, b.symbol, b.open, b.high, b.low, b.close, b.volume
   FROM win{suffix} w JOIN instrument i ON w.market = i.market AND i.data_source <> 'cme'
        JOIN bar b ON b.symbol = i.symbol AND b.trade_date BETWEEN w.first_day AND w.report_date
   UNION ALL
-  SELECT {own}, i.ord, b.seq, b.trade_date, NULL, b.product, b.symbol, b.open, b.high, b.low, b.close, b.volume
+  SELECT {own}, 'product', i.ord, b.seq, b.trade_date, NULL, b.product, b.symbol, b.open, b.high, b.low, b.close, b.volume
   FROM win{suffix} w JOIN instrument i ON w.market = i.market AND i.symbol IS NULL
        JOIN bar b ON b.product = i.name AND b.trade_date BETWEEN w.first_day AND w.report_date"""
     table = f"""SELECT {key}, CAST(row_number() OVER (PARTITION BY {key}

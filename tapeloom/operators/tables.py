@@ -41,5 +41,8 @@ def dedupe_keep_first(frame, keys, order):
 
 def reports_without_data(reports, tables):
     """Reports whose market day has no table rows."""
-    days = tables.select("market", "report_date").distinct()
-    return reports.join(days, ["market", "report_date"], "left_anti")
+    day = ["market", "report_date"]
+    keys = report_keys(reports)
+    missing = market_days(keys).join(tables.select(*day).distinct(), day, "left_anti")
+    counts = keys.groupBy(*day).agg(F.sum("n").alias("n"))
+    return spread_join(reports, missing, day, ["report_id"], counts=counts)
