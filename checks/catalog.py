@@ -144,8 +144,7 @@ def scan_instruments(r):
 @dated("expiration_date")
 def scan_contracts(r):
     path = scratch_dir(r.spark, "contracts-csv")
-    columns = schemas.CONTRACT_FILE.fieldNames()
-    r.contract().select(*columns).write.option("header", True).csv(path)
+    sinks.write_contracts(r.contract(), path)
     counts = r.bar().groupBy("symbol").agg(F.count("*").alias("n"))
     listed = scans.scan_contracts(r.spark, path).join(counts, "symbol", "left")
     return listed.withColumn("n_bars", F.coalesce("n", F.lit(0))).drop("n")
@@ -719,10 +718,7 @@ DATASET_SQL = f"""SELECT split, report_id, source, market, date, report_date, md
 
 
 def dataset_view(rows):
-    dated_rows = rows if "report_date" in rows.columns else rows.withColumn(
-        "report_date", dates.parse_report_date(F.col("date"))
-    )
-    return dated_rows.select(
+    return rows.select(
         "split",
         "report_id",
         "source",

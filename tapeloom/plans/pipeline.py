@@ -1,0 +1,136 @@
+"""The batch pipeline over files: every stage reads the tables the one before it wrote.
+
+Stage tables are the only state, so a stage can run again after a failure and lineage
+never spans two stages.
+"""
+
+from dataclasses import dataclass
+from typing import Callable, Optional
+
+from pyspark.sql import functions as F
+
+from tapeloom.operators.calendar import contract_calendar
+from tapeloom.operators.examples import SEED
+from tapeloom.operators.render import render_table
+from tapeloom.operators.tables import report_keys
+from tapeloom.operators.tokens import MAX_OUTPUT, MAX_SEQUENCE
+from tapeloom.plans.dataset import DAY, build_dataset
+from tapeloom.plans.extraction import keyed_report_tables, market_day_tables
+from tapeloom.plans.tokenization import tokenize_dataset
+from tapeloom.settings import HISTORY_SPANS
+from tapeloom.sources import scans, sinks
+
+
+@dataclass
+class Config:
+    """Where inputs are, where stages go, and the settings of a run."""
+
+    root: str
+    instruments: str
+    reports: str
+    split_reference: str
+    instruction: str
+    examples: Optional[str] = None
+    span: str = "1week"
+    first_year: int = 2021
+    last_year: int = 2024
+    data_examples: int = 0
+    report_examples: int = 2
+    exclude_self: bool = False
+    seed: str = SEED
+    model: str = "hashed-words"
+    tokenizer: Optional[Callable] = None
+    max_sequence: int = MAX_SEQUENCE
+    max_output: int = MAX_OUTPUT
+    skip_overlength: bool = True
+
+    def path(self, *parts):
+        return "/".join([self.root.rstrip("/"), *parts])
+
+
+def ingest(spark, config, vendors):
+    """Append the bars of ``{vendor: bars}``; a vendor given again is replaced."""
+    sinks.append_bars(config.path("bars"), vendors)
+
+
+def land_texts(spark, config):
+    """Land reports and examples as Parquet with frozen ids."""
+    sinks.land_reports(scans.scan_reports(spark, config.reports), config.path("reports"))
+    if config.examples:
+        examples = scans.scan_reports(spark, config.examples)
+        sinks.land_reports(examples, config.path("examples"), "example_id")
+
+
+def calendar(spark, config):
+    """Generate the contracts of the listed futures."""
+    listed = scans.scan_instruments(spark, config.instruments)
+    contracts = contract_calendar(listed, config.first_year, config.last_year)
+    contracts.write.mode("overwrite").parquet(config.path("contracts"))
+    sinks.write_contracts(contracts, config.path("contracts_csv"))
+
+
+def extract(spark, config):
+    """Tables of every market day, then of every (split, source, market, date)."""
+    reports = spark.read.parquet(config.path("reports"))
+    split_ref = scans.scan_split_reference(spark, config.split_reference)
+    days = market_day_tables(
+        report_keys(reports),
+        scans.scan_instruments(spark, config.instruments),
+        spark.read.parquet(config.path("contracts")),
+        scans.scan_bars(spark, config.path("bars")),
+        HISTORY_SPANS[config.span],
+    )
+    stored = config.path("market_days", config.span)
+    days.write.mode("overwrite").parquet(stored)
+    rows = keyed_report_tables(reports, split_ref, spark.read.parquet(stored))
+    sinks.write_report_tables(rows, config.path("report_tables"), config.span)
+
+
+def construct(spark, config):
+    """Dataset rows of every split."""
+    rendered = render_table(spark.read.parquet(config.path("market_days", config.span)), DAY)
+    reports = spark.read.parquet(config.path("reports"))
+    if config.examples:
+        examples = spark.read.parquet(config.path("examples"))
+        counts = config.data_examples, config.report_examples
+    else:
+        examples = reports.withColumnRenamed("report_id", "example_id")
+        counts = 0, 0
+    dataset = build_dataset(
+        reports,
+        scans.scan_split_reference(spark, config.split_reference),
+        rendered,
+        examples,
+        scans.scan_instruction(spark, config.instruction),
+        *counts,
+        seed=config.seed,
+        exclude_self=config.exclude_self,
+    )
+    sinks.write_dataset(dataset.drop("report_date"), config.path("dataset", config.span))
+
+
+def tokenize(spark, config):
+    """Token rows of every split of the dataset."""
+    dataset = scans.scan_dataset(spark, config.path("dataset", config.span))
+    rows = tokenize_dataset(
+        dataset,
+        config.max_sequence,
+        config.max_output,
+        skip_overlength=config.skip_overlength,
+        tokenizer=config.tokenizer,
+    )
+    sinks.write_tokens(rows, config.path("tokens", config.span), config.model)
+
+
+def split_counts(spark, config):
+    """Rows written per split."""
+    dataset = scans.scan_dataset(spark, config.path("dataset", config.span))
+    return dataset.groupBy("split").agg(F.count("*").alias("n_rows"))
+
+
+def run(spark, config, vendors=None):
+    """All stages in order."""
+    if vendors:
+        ingest(spark, config, vendors)
+    for stage in (land_texts, calendar, extract, construct, tokenize):
+        stage(spark, config)

@@ -7,11 +7,8 @@ from tapeloom.functions.dates import parse_iso, parse_report_date
 from tapeloom.functions.text import blank_to_null, strip
 
 
-def scan_bars(spark, path, file_format="parquet"):
-    """Unified price bars. Parquet is the native form, CSV the exchange form."""
-    if file_format == "parquet":
-        return spark.read.schema(schemas.LANDED_BAR).parquet(path)
-    raw = spark.read.schema(schemas.BAR_FILE).option("header", True).csv(path)
+def name_bars(raw):
+    """Price files as landed to the engine's names, with dates parsed and blanks as NULL."""
     named = raw.withColumnsRenamed({v: k for k, v in schemas.BAR_HEADERS.items()})
     return named.withColumns(
         {
@@ -21,6 +18,13 @@ def scan_bars(spark, path, file_format="parquet"):
     )
 
 
+def scan_bars(spark, path, file_format="parquet"):
+    """Unified price bars. Parquet is the native form, CSV the exchange form."""
+    if file_format == "parquet":
+        return spark.read.schema(schemas.LANDED_BAR).parquet(path)
+    return name_bars(spark.read.schema(schemas.BAR_FILE).option("header", True).csv(path))
+
+
 def scan_instruments(spark, path):
     """Instrument list: a JSON array whose order is meaning, kept as ``ord``.
 
@@ -93,6 +97,7 @@ def lookup_report_table(tables, wanted):
 def scan_dataset(spark, path, split=None):
     """Dataset rows of ``sinks.write_dataset``; ``split`` prunes folders."""
     rows = spark.read.schema(schemas.DATASET).json(path)
+    rows = rows.withColumn("report_date", parse_report_date(F.col("date")))
     return rows if split is None else rows.where(F.col("split") == split)
 
 
