@@ -16,9 +16,8 @@ from tapeloom.schemas import BAR_HEADERS, VALUE_COLUMNS
 DIGITS = 6
 MISSING = "NaN"
 LONG_CELL = DIGITS + 6
-SCIENTIFIC_WIDTH = 12
-# What a number column holds, one bit each.
-NEGATIVE, SMALL, LARGE, ABSENT = 1, 2, 4, 8
+# Sizes a number column holds, one bit each.
+SMALL, LARGE = 1, 2
 
 
 def _word_text(name):
@@ -40,50 +39,36 @@ def _number_text(name):
     return F.expr(f"CASE WHEN {fits} THEN {short} ELSE trim(TRAILING '0' FROM {long}) END")
 
 
-def _number_flags(name):
+def _number_sizes(name):
     size = f"abs({name})"
-    return F.expr(
-        f"if({name} IS NULL, {ABSENT}, if({name} < 0, {NEGATIVE}, 0)"
-        f" + if({size} > 0 AND {size} < 1e-6, {SMALL}, 0) + if({size} > 1e6, {LARGE}, 0))"
-    )
+    return F.expr(f"if({size} > 0 AND {size} < 1e-6, {SMALL}, 0) + if({size} > 1e6, {LARGE}, 0)")
+
 
+def _number_cell(name):
+    """Cell text from the maxima of the column over its group.
 
-def _number_layout(name, title):
-    """Decimals, scientific form and width of a number column from its group's maxima."""
-    places = f"greatest(_{name}_most_places, 1)"
-    plain = f"coalesce(_{name}_most_whole + 1 + {places}, 0)"
+    Digits a large number loses in scientific form are rounded half to even.
+    """
+    places = f"greatest(_{name}_places, 1)"
     scientific = (
-        f"(_{name}_flags & {SMALL} > 0 OR ({plain} > {LONG_CELL} AND _{name}_flags & {LARGE} > 0))"
-    )
-    width = (
-        f"greatest({len(title) + 1}, if({scientific}, {SCIENTIFIC_WIDTH} + (_{name}_flags & {NEGATIVE}),"
-        f" {plain}), if(_{name}_flags & {ABSENT} > 0, {len(MISSING)}, 0))"
+        f"(_{name}_sizes & {SMALL} > 0 OR _{name}_sizes & {LARGE} > 0"
+        f" AND _{name}_whole + 1 + {places} > {LONG_CELL})"
     )
-    return {
-        f"_{name}_places": F.expr(places),
-        f"_{name}_scientific": F.expr(scientific),
-        f"_{name}_width": F.expr(width),
-    }
-
-
-def _number_cell(name):
-    """Cell text; digits a large number loses in scientific form are rounded half to even."""
-    shown = DIGITS + 1
-    lost = f"greatest(instr(_{name}_text, '.') - 1 - (_{name}_flag & {NEGATIVE}) - {shown}, 0)"
-    rounded = f"rint({name} / power(10, {lost})) * power(10, {lost})"
-    kept = f"if({lost} > 0, {rounded}, {name})"
+    unit = f"power(10, floor(log10(abs({name}))) - {DIGITS})"
+    kept = f"if(abs({name}) >= 1e7, rint({name} / {unit}) * {unit}, {name})"
     return F.expr(
         f"CASE WHEN {name} IS NULL THEN '{MISSING}'"
-        f" WHEN _{name}_scientific THEN format_string('%.{DIGITS}e', {kept})"
-        f" ELSE rpad(_{name}_text, instr(_{name}_text, '.') + _{name}_places, '0') END"
+        f" WHEN {scientific} THEN format_string('%.{DIGITS}e', {kept})"
+        f" ELSE rpad(_{name}_text, instr(_{name}_text, '.') + {places}, '0') END"
     )
 
 
 def render_table(rows, group, order="row_no", columns=None, text_column="table_data"):
     """One text table per group; lines follow ``order``.
 
-    Widths are window maxima over the group, so rows are shuffled once by group and the
-    lines are collected where they are. The collected lines are the text itself.
+    Number formats, then column widths, are window maxima over the group, so rows are
+    shuffled once by group and the lines are collected where they are. The collected lines
+    are the text itself.
     """
     columns = columns or list(BAR_HEADERS)
     titles = {c: BAR_HEADERS.get(c, c) for c in columns}
@@ -94,33 +79,35 @@ def render_table(rows, group, order="row_no", columns=None, text_column="table_d
     texts = rows.select(
         *group,
         order,
-        *[_word_text(c).alias(f"_{c}_text") for c in words],
-        *[F.when(F.col(c).isNotNull(), True).alias(f"_{c}_held") for c in words],
+        *[_word_text(c).alias(f"_{c}_cell") for c in words],
+        *[F.col(c).isNotNull().cast("int").alias(f"_{c}_held") for c in words],
         *numbers,
         *[_number_text(c).alias(f"_{c}_text") for c in numbers],
-        *[_number_flags(c).alias(f"_{c}_flag") for c in numbers],
     )
-    maxima = {}
-    for c in words:
-        widest = F.max(F.length(f"_{c}_text")).over(whole)
-        empty = (F.count(f"_{c}_held").over(whole) == 0).cast("int")
-        maxima[f"_{c}_width"] = F.greatest(len(titles[c]) + empty, widest)
+    formats = {}
     for c in numbers:
         point = F.instr(f"_{c}_text", ".")
-        maxima[f"_{c}_most_whole"] = F.max(point - 1).over(whole)
-        maxima[f"_{c}_most_places"] = F.max(F.length(f"_{c}_text") - point).over(whole)
-        maxima[f"_{c}_flags"] = F.bit_or(f"_{c}_flag").over(whole)
-    layout = {k: v for c in numbers for k, v in _number_layout(c, titles[c]).items()}
-    measured = texts.withColumns(maxima).withColumns(layout)
-
-    cells = [
-        F.lpad(_number_cell(c) if c in numbers else F.col(f"_{c}_text"), F.col(f"_{c}_width"), F.lit(" "))
-        for c in columns
-    ]
-    widths = [f"_{c}_width" for c in columns]
-    line = F.struct(F.col(order), F.concat_ws(" ", *cells).alias("line"))
+        formats[f"_{c}_whole"] = F.max(point - 1).over(whole)
+        formats[f"_{c}_places"] = F.max(F.length(f"_{c}_text") - point).over(whole)
+        formats[f"_{c}_sizes"] = F.bit_or(_number_sizes(c)).over(whole)
+    cells = texts.withColumns(formats).select(
+        *group,
+        order,
+        *[f"_{c}_{part}" for c in words for part in ("cell", "held")],
+        *[_number_cell(c).alias(f"_{c}_cell") for c in numbers],
+    )
+    widths = {}
+    for c in columns:
+        title = F.lit(len(titles[c]) + 1)
+        if c in words:
+            title = title - F.max(f"_{c}_held").over(whole)
+        widths[f"_{c}_width"] = F.greatest(title, F.max(F.length(f"_{c}_cell")).over(whole))
+
+    padded = [F.lpad(f"_{c}_cell", F.col(f"_{c}_width"), F.lit(" ")) for c in columns]
+    line = F.struct(F.col(order), F.concat_ws(" ", *padded).alias("line"))
     grouped = (
-        measured.select(*group, *widths, line.alias("_line"))
+        cells.withColumns(widths)
+        .select(*group, *widths, line.alias("_line"))
         .groupBy(*group)
         .agg(
             *[F.first(w).alias(w) for w in widths],
