@@ -740,9 +740,9 @@ def build_dataset(r):
     return dataset_view(built(r))
 
 
-def written_dataset(r):
+def written_dataset(r, file_format="json"):
     path = scratch_dir(r.spark, "dataset")
-    sinks.write_dataset(built(r), path)
+    sinks.write_dataset(built(r).drop("report_date"), path, file_format)
     return path
 
 
@@ -950,7 +950,10 @@ def tokenize_dataset_keep_all(r):
 )
 def write_tokens(r):
     path = scratch_dir(r.spark, "tokens")
-    sinks.write_tokens(tokenization.tokenize_dataset(built(r)), path, "tapeloom/hashed-words")
+    # The dataset is a stage of its own: ranges are sampled from its files, not from its joins.
+    stage = scans.scan_dataset(r.spark, written_dataset(r, "parquet"), file_format="parquet")
+    rows = tokenization.tokenize_dataset(prompts.date_ranges(stage))
+    sinks.write_tokens(rows, path, "tapeloom/hashed-words")
     return token_view(scans.scan_tokens(r.spark, path), "model")
 
 

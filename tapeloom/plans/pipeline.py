@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.operators.calendar import contract_calendar
 from tapeloom.operators.examples import SEED
+from tapeloom.operators.prompts import date_ranges
 from tapeloom.operators.render import render_table
 from tapeloom.operators.tables import report_keys
 from tapeloom.operators.tokens import MAX_OUTPUT, MAX_SEQUENCE
@@ -43,6 +44,7 @@ class Config:
     max_sequence: int = MAX_SEQUENCE
     max_output: int = MAX_OUTPUT
     skip_overlength: bool = True
+    dataset_format: str = "json"
 
     def path(self, *parts):
         return "/".join([self.root.rstrip("/"), *parts])
@@ -106,14 +108,22 @@ def construct(spark, config):
         seed=config.seed,
         exclude_self=config.exclude_self,
     )
-    sinks.write_dataset(dataset.drop("report_date"), config.path("dataset", config.span))
+    path = config.path("dataset", config.span)
+    sinks.write_dataset(dataset.drop("report_date"), path, config.dataset_format)
+
+
+def read_dataset(spark, config):
+    """Dataset rows of all splits."""
+    return scans.scan_dataset(
+        spark, config.path("dataset", config.span), file_format=config.dataset_format
+    )
 
 
 def tokenize(spark, config):
-    """Token rows of every split of the dataset."""
-    dataset = scans.scan_dataset(spark, config.path("dataset", config.span))
+    """Token rows of every split of the dataset, in date order."""
+    dataset = read_dataset(spark, config)
     rows = tokenize_dataset(
-        dataset,
+        date_ranges(dataset),
         config.max_sequence,
         config.max_output,
         skip_overlength=config.skip_overlength,
@@ -124,8 +134,7 @@ def tokenize(spark, config):
 
 def split_counts(spark, config):
     """Rows written per split."""
-    dataset = scans.scan_dataset(spark, config.path("dataset", config.span))
-    return dataset.groupBy("split").agg(F.count("*").alias("n_rows"))
+    return read_dataset(spark, config).groupBy("split").agg(F.count("*").alias("n_rows"))
 
 
 def run(spark, config, vendors=None):

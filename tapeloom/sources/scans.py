@@ -94,9 +94,9 @@ def lookup_report_table(tables, wanted):
     return tables.join(wanted, ["split", "market_source", "report_date"], "left_semi")
 
 
-def scan_dataset(spark, path, split=None):
+def scan_dataset(spark, path, split=None, file_format="json"):
     """Dataset rows of ``sinks.write_dataset``; ``split`` prunes folders."""
-    rows = spark.read.schema(schemas.DATASET).json(path)
+    rows = spark.read.schema(schemas.DATASET).format(file_format).load(path)
     rows = rows.withColumn("report_date", parse_report_date(F.col("date")))
     return rows if split is None else rows.where(F.col("split") == split)
 
