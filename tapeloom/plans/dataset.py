@@ -30,11 +30,10 @@ def rendered_days(keys, instruments, contracts, bars, history_days=7, n_contract
 def keyed_tables(keys, split_ref, rendered):
     """Text table per (split, source, market, report_date); keys without a table drop out.
 
-    Keys are distinct, so a busy (source, market, date) is one row here.
+    Keys are distinct here: a market day has one row per source, however many reports.
     """
     members = keys.drop("n").join(split_ref.distinct(), REPORT_KEY)
-    counts = members.groupBy(*DAY).agg(F.count("*").alias("n"))
-    return spread_join(members, rendered, DAY, REPORT_KEY, counts=counts)
+    return members.join(rendered, DAY)
 
 
 def report_example_rows(examples, n, seed, pick=sample_examples):
@@ -57,14 +56,16 @@ def data_example_rows(examples, tables, n, seed, pick=sample_examples):
 
 
 def attach_lists(tables, rows, keys, n, name, exclude_self):
-    """Example list of each table key, without the key's own date if asked."""
+    """Example list of each table key, without the key's own date if asked.
+
+    A (market, source) has one table per day, so the calendar bounds every key of this join.
+    """
     if exclude_self:
-        groups = group_spares(rows, keys, name)
+        joined = tables.join(group_spares(rows, keys, name), keys, "left")
+        listed = leave_out(F.col(name), F.col("report_date"), n)
     else:
-        groups = group_examples(rows, keys, name)
-    counts = tables.groupBy(*keys).agg(F.count("*").alias("n"))
-    joined = spread_join(tables, groups, keys, ["report_date", "split"], "left", counts)
-    listed = leave_out(F.col(name), F.col("report_date"), n) if exclude_self else F.col(name)
+        joined = tables.join(group_examples(rows, keys, name), keys, "left")
+        listed = F.col(name)
     return joined.withColumn(name, F.coalesce(listed, F.array()))
 
 
