@@ -561,7 +561,12 @@ def reports_without_data(r):
 )
 @dated("report_date")
 def join_split(r):
-    joined = tables.join_split(r.report_key(), r.split_ref())
+    """With the split reference in its exchange form."""
+    path = scratch_dir(r.spark, "splits-csv")
+    named = r.split_ref().select("source", "market", F.col("report_date").alias("date"), "split")
+    named.write.option("header", True).csv(path)
+    split_ref = scans.scan_split_reference(r.spark, path)
+    joined = tables.join_split(r.report_key(), split_ref)
     return joined.select("report_id", "source", "market", "report_date", "split")
 
 
@@ -821,15 +826,23 @@ def training_pairs(r):
 
 
 def whitespace_tokenizer():
-    """A tokenizer for the plug-in point: the native hashed ids, in Python."""
-    import hashlib
-    import re
+    """Loader of a tokenizer for the plug-in point: the native hashed ids, in Python.
+
+    A closure travels to the workers by value, so they need not import this module.
+    """
+    blanks = tokens.BLANK_RUN
+
+    def load():
+        import hashlib
+        import re
+
+        def encode(words):
+            found = re.split(blanks, words)
+            return [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) for w in found if w]
 
-    def encode(words):
-        found = re.split(tokens.BLANK_RUN, words)
-        return [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) for w in found if w]
+        return encode
 
-    return encode
+    return load
 
 
 ENCODE_SQL = f"""SELECT doc_id, len(ids) AS n_tokens, {ids_digest_sql('ids')} AS ids_md5
@@ -850,7 +863,7 @@ def encode_text(r):
 
 @query([], ENCODE_SQL)
 def encode_text_plugin(r):
-    return encoded_documents(r, whitespace_tokenizer)
+    return encoded_documents(r, whitespace_tokenizer())
 
 
 def document_pairs(r):

@@ -14,7 +14,7 @@ from tapeloom.operators.calendar import contract_calendar
 from tapeloom.operators.examples import sample_examples
 from tapeloom.operators.tables import report_keys
 from tapeloom.operators.tokens import encode_text
-from tapeloom.plans import extraction, pipeline
+from tapeloom.plans import extraction, stages
 from tapeloom.settings import HISTORY_SPANS
 from tapeloom.sources import scans, vendors
 
@@ -129,7 +129,7 @@ def test_no_loop_joins_and_no_python(spark, name):
 
 
 def test_only_the_plugged_in_tokenizer_runs_python(spark, relations):
-    plan = plan_of(encode_text(relations.table("documents"), "text", "ids", catalog.whitespace_tokenizer))
+    plan = plan_of(encode_text(relations.table("documents"), "text", "ids", catalog.whitespace_tokenizer()))
     assert "ArrowEvalPython" in plan
 
 
@@ -171,7 +171,7 @@ def test_pipeline_over_files(spark, tmp_path):
     splits = [f"{s},{m},{d},{('train', 'validate', 'test')[i % 3]}" for i, (s, m, d) in enumerate(keys)]
     (tmp_path / "splits.csv").write_text("\n".join(["source,market,date,split", *splits]) + "\n")
     (tmp_path / "instruction.txt").write_text("Do it.\n\n")
-    config = pipeline.Config(
+    config = stages.Config(
         root=str(tmp_path / "out"),
         instruments=str(tmp_path / "instruments.json"),
         reports=str(tmp_path / "reports.tsv"),
@@ -188,12 +188,12 @@ def test_pipeline_over_files(spark, tmp_path):
         " close double, volume double, seq int"
     )
     for _ in range(2):  # a second run leaves the same tables
-        pipeline.run(spark, config, {"all": vendors.conform_bars(priced)})
+        stages.run(spark, config, {"all": vendors.conform_bars(priced)})
     contracts = spark.read.parquet(config.path("contracts"))
     pairs = [(r.symbol, r.expiration_date) for r in contracts.collect()]
     with_rows = [k for k, v in loop_tables(instruments, bars, pairs, reports, 7).items() if v]
     dataset = scans.scan_dataset(spark, config.path("dataset", "1week")).collect()
-    assert len(dataset) == len(with_rows) == sum(r.n_rows for r in pipeline.split_counts(spark, config).collect())
+    assert len(dataset) == len(with_rows) == sum(r.n_rows for r in stages.split_counts(spark, config).collect())
     sample = dataset[0]
     assert sample.prompts.formatted_prompt.startswith("Do it.\n\nData Examples:\nData Example 1:\nMarket: ")
     assert sample.table_data in sample.prompts.formatted_prompt
