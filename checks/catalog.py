@@ -666,8 +666,9 @@ def examples_map(r):
        UNION ALL SELECT 'data', split, market, source, md5(blocks) FROM data_blocks""",
 )
 def format_examples(r):
-    tabled = dataset.keyed_tables(tables.report_keys(r.report_key()), r.split_ref(), rendered(r))
-    data_rows = dataset.data_example_rows(r.example(), tabled, 1, examples.SEED)
+    texts = rendered(r)
+    tabled = dataset.keyed_tables(tables.report_keys(r.report_key()), r.split_ref(), texts)
+    data_rows = dataset.data_example_rows(r.example(), tabled, texts, 1, examples.SEED)
     data = examples.group_examples(data_rows, ["split", "market", "source"])
     both = [("report", report_groups(r).withColumn("split", F.lit(""))), ("data", data)]
     shown = [

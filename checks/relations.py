@@ -9,6 +9,7 @@ in the scratch folder once per session and folder, and the queries start at that
 
 from functools import wraps
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tapeloom.functions.rounding import round_scaled
@@ -40,14 +41,18 @@ class Relations:
         self.spark, self.folder = spark, folder
 
     def stored(self, name, build):
-        """The table ``build()`` gives, written once."""
+        """The table ``build()`` gives, written once, or again if the folder was cleared."""
         key = (self.spark.sparkContext.applicationId, self.folder, name)
-        if key not in LANDED:
-            path, frame = scratch_dir(self.spark, name), build()
-            frame.write.parquet(path)
-            LANDED[key] = path, frame.schema
-        path, schema = LANDED[key]
-        return self.spark.read.schema(schema).parquet(path)
+        if key in LANDED:
+            path, schema = LANDED[key]
+            try:
+                return self.spark.read.schema(schema).parquet(path)
+            except AnalysisException:
+                del LANDED[key]
+        path, frame = scratch_dir(self.spark, name), build()
+        frame.write.parquet(path)
+        LANDED[key] = path, frame.schema
+        return self.spark.read.schema(frame.schema).parquet(path)
 
     def table(self, name):
         path = f"{self.folder}/{name}.parquet"

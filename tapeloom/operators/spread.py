@@ -5,7 +5,7 @@ from pyspark.sql import Window, functions as F
 ROWS_PER_SLICE = 250_000
 
 
-def spread_join(big, small, on, spread_by, how="inner", counts=None, rows_per_slice=ROWS_PER_SLICE):
+def spread_join(big, small, on, spread_by, how="inner", counts=None, rows_per_slice=None):
     """Equi-join in which a key with many rows in ``big`` is cut into slices.
 
     Rows of a hot key go to slices by the hash of ``spread_by``, columns that tell its rows
@@ -17,6 +17,7 @@ def spread_join(big, small, on, spread_by, how="inner", counts=None, rows_per_sl
     rows / rows_per_slice keys can be hot: 400,000 keys for 10^11 rows, which bounds the
     broadcast whatever the data look like.
     """
+    rows_per_slice = rows_per_slice or ROWS_PER_SLICE
     if counts is None:
         counts = big.groupBy(*on).agg(F.count("*").alias("n"))
     hot = F.broadcast(

@@ -45,14 +45,17 @@ def report_example_rows(examples, n, seed, pick=sample_examples):
     return pick(examples, ["market", "source"], n, seed)
 
 
-def data_example_rows(examples, tables, n, seed, pick=sample_examples):
-    """Same per (split, market, source), from the examples that have a table in the split."""
+def data_example_rows(examples, tables, rendered, n, seed, pick=sample_examples):
+    """Same per (split, market, source), from the examples that have a table in the split.
+
+    The drawn ones take their text from the market day's table.
+    """
     counts = report_keys(examples)
     present = spread_join(
         examples, tables.select("split", *REPORT_KEY), REPORT_KEY, ["example_id"], counts=counts
     )
     drawn = pick(present, ["split", "market", "source"], n, seed)
-    return drawn.join(tables.select("split", *REPORT_KEY, "table_data"), ["split", *REPORT_KEY])
+    return drawn.join(rendered, DAY)
 
 
 def attach_lists(tables, rows, keys, n, name, exclude_self):
@@ -70,14 +73,14 @@ def attach_lists(tables, rows, keys, n, name, exclude_self):
 
 
 def report_context(
-    tables, examples, n_data=0, n_report=2, seed=SEED, exclude_self=False
+    tables, rendered, examples, n_data=0, n_report=2, seed=SEED, exclude_self=False
 ):
     """Table and example lists per (split, source, market, report_date)."""
     pick = spare_examples if exclude_self else sample_examples
     context = tables
     none = F.array().cast(_list_type(examples))
     if n_data:
-        rows = data_example_rows(examples, tables, n_data, seed, pick)
+        rows = data_example_rows(examples, tables, rendered, n_data, seed, pick)
         keys = ["split", "market", "source"]
         context = attach_lists(context, rows, keys, n_data, "few_shot_examples", exclude_self)
     else:
@@ -114,7 +117,7 @@ def build_dataset(
     """
     keys = report_keys(reports)
     tables = keyed_tables(keys, split_ref, rendered)
-    context = report_context(tables, examples, n_data, n_report, seed, exclude_self)
+    context = report_context(tables, rendered, examples, n_data, n_report, seed, exclude_self)
     joined = spread_join(reports, context, REPORT_KEY, ["report_id"], counts=keys)
     told = joined.withColumn("instruction", instruction.scalar())
     prompted = assemble_prompt(

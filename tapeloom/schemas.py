@@ -1,4 +1,4 @@
-"""Declared schemas of every relation; nothing is inferred at read time."""
+"""Declared schemas of the relations; no type is inferred at read time."""
 
 from pyspark.sql import types as T
 
@@ -77,15 +77,6 @@ SPLIT_FILE = T.StructType(
     [T.StructField(c, T.StringType()) for c in ["source", "market", "date", "split"]]
 )
 
-CASH_INDEX_FILE = T.StructType(
-    [T.StructField("Date", T.StringType()), T.StructField("value", T.StringType())]
-)
-
-YIELD_FILE = T.StructType(
-    [T.StructField("Date", T.StringType())]
-    + [T.StructField(c.capitalize(), T.DoubleType()) for c in PRICE_COLUMNS]
-)
-
 TOKENS = T.StructType(
     [
         T.StructField("model", T.StringType()),

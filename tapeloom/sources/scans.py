@@ -115,20 +115,21 @@ def scan_instruction(spark, path):
 
 
 def scan_cash_index(spark, path, value_column):
-    """Cash index file: a date column and one value column, both still text."""
-    raw = spark.read.option("header", True).schema(schemas.CASH_INDEX_FILE)
-    return raw.option("enforceSchema", True).csv(path).withColumnRenamed("value", value_column)
+    """Cash index file: its date and one value column by name, both still text."""
+    raw = spark.read.option("header", True).csv(path)
+    return strip_names(raw).select("Date", value_column)
 
 
 def scan_yields(spark, path):
-    """Every ``.csv`` below a folder, with the path each row came from.
-
-    Header names are padded with blanks in these files, so columns are taken by position.
-    """
-    return (
-        spark.read.schema(schemas.YIELD_FILE)
-        .options(header=True, enforceSchema=True, recursiveFileLookup=True)
-        .options(pathGlobFilter="*.csv", ignoreLeadingWhiteSpace=True)
+    """Every ``.csv`` below a folder, with the path each row came from."""
+    raw = (
+        spark.read.options(header=True, recursiveFileLookup=True, pathGlobFilter="*.csv")
+        .options(ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
         .csv(path)
-        .withColumn("file", F.col("_metadata.file_path"))
     )
+    return strip_names(raw.withColumn("file", F.col("_metadata.file_path")))
+
+
+def strip_names(frame):
+    """Vendors pad column names with blanks."""
+    return frame.toDF(*[c.strip() for c in frame.columns])

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as contract
 from checks import catalog
 from checks.compare import differences, duck
+from tapeloom.operators import spread
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,3 +24,11 @@ def test_query_equals_sql(spark, connection, name):
 def test_contract(spark):
     assert set(contract.oracle_sql()) == set(contract.queries())
     assert contract.entry(spark).columns[:2] == ["report_id", "row_no"]
+
+
+@pytest.mark.parametrize("name", ["report_market_table", "assemble_prompt", "join_split", "ingest_yields"])
+def test_slicing_every_busy_key_changes_nothing(spark, connection, monkeypatch, name):
+    """The same results when each key with two rows already counts as hot."""
+    monkeypatch.setattr(spread, "ROWS_PER_SLICE", 1)
+    problem, _ = differences(spark, connection, FOLDER, name)
+    assert problem is None, problem

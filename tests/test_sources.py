@@ -96,7 +96,7 @@ def test_yields_match_the_first_name_that_holds_the_maturity(spark, tmp_path):
 
 def test_cash_index(spark, tmp_path):
     path = tmp_path / "index.csv"
-    path.write_text("Date,Value 1\n03/04/2021,101.005\nn/a,2.675\n03/05/2021,\n")
+    path.write_text("Date,Head,Value 1 \n03/04/2021,7,101.005\nn/a,7,2.675\n03/05/2021,7,\n")
     got = sorted(((str(r.trade_date), r.close, r["product"], r.symbol) for r in
                   vendors.ingest_cash_index(spark, str(path), "Index").collect()), key=repr)
     assert got == [("2021-03-04", round(101.005, 2), "Index", None), ("2021-03-05", None, "Index", None), ("None", 2.67, "Index", None)]
