@@ -23,6 +23,17 @@ def first_listings(bars):
     return dedupe_keep_first(bars, BAR_KEY, ["seq"])
 
 
+def bars_in_reach(bars, days):
+    """Bars between the first and the last day any window asks for.
+
+    The two bounds are scalar subqueries, which reach the file scan, so row groups outside
+    them are not read before the dedupe shuffles what is left.
+    """
+    first = days.agg(F.min("start_date")).scalar()
+    last = days.agg(F.max("end_date")).scalar()
+    return bars.where((F.col("trade_date") >= first) & (F.col("trade_date") <= last))
+
+
 def route_items(items, contracts, n_contracts):
     """How the bars of each item are found: ``by`` symbol or product, and the ``key``.
 
@@ -79,7 +90,7 @@ def market_tables(days, instruments, contracts, bars, n_contracts=3, bin_days=8)
     group = [c for c in ("span", "market", "report_date") if c in days.columns]
     items = report_items(days, instruments)
     routed = route_items(items, contracts, n_contracts)
-    found = extract_bars(routed, first_listings(bars), bin_days)
+    found = extract_bars(routed, first_listings(bars_in_reach(bars, days)), bin_days)
     rows = found.select(*group, "ord", "label", "seq", *BAR_COLUMNS).repartition(*group)
     unique = dedupe_keep_first(rows, [*group, *BAR_KEY], ["ord", "seq"])
     # Instruments in list order; contracts by label and day; other bars by listing and day.

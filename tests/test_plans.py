@@ -149,6 +149,12 @@ def test_tables_and_text_share_one_shuffle(relations):
     assert after_join.count("Exchange") == 1 and "REPARTITION_BY_COL" in after_join
 
 
+def test_window_bounds_reach_the_bar_scan(relations):
+    plan = plan_of(catalog.rendered_days(relations))
+    scan = next(line for line in plan.splitlines() if "FileScan parquet [trade_date" in line)
+    assert "trade_date >= Subquery" in scan
+
+
 def test_encoding_is_not_repeated_by_the_filter(spark):
     plan = plan_of(catalog.QUERIES["tokenize_dataset"](spark, FOLDER))
     assert not re.search(r"Filter \(.*split\(", plan)
