@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tapeloom.llm import chat, licenses, packing, quality, tokenfile, warc
+from tapeloom.llm import chat, decontaminate, licenses, packing, quality, tokenfile, warc
 from tapeloom.llm.ship import ship
 from tapeloom.settings import scratch_dir
 
@@ -82,6 +82,11 @@ SELECT conv_id, n_turns, sha256(told) AS turns_sha256, CAST(length(loss) AS BIGI
 FROM g"""
 
 
+@query
+def op4_pigeonhole_decontamination(spark, folder):
+    return decontaminate.find_matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @native
 def op6_licence_classifier(spark, folder):
     documents = table(spark, folder, "documents")
