@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tapeloom.llm import chat, decontaminate, licenses, packing, quality, tokenfile, warc
+from tapeloom.llm import chat, decontaminate, langid, licenses, packing, quality, tokenfile, warc
 from tapeloom.llm.ship import ship
 from tapeloom.settings import scratch_dir
 
@@ -101,6 +101,12 @@ def op7_best_fit_packing(spark, folder):
     return packing.pack_pieces(spark, pieces, capacity=2048)
 
 
+@query
+def op9_byte_recurrent_language(spark, folder):
+    documents = table(spark, folder, "documents")
+    return langid.predict(documents, langid.train(documents))
+
+
 @query
 def op10_simple8b_tokens(spark, folder):
     path = scratch_dir(spark, "tokens")
