@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tapeloom.llm import chat, decontaminate, langid, licenses, packing, quality, tokenfile, warc
+from tapeloom.llm import chat, decontaminate, jaccard, langid, licenses, packing, quality, tokenfile, warc
 from tapeloom.llm.ship import ship
 from tapeloom.settings import scratch_dir
 
@@ -101,6 +101,11 @@ def op7_best_fit_packing(spark, folder):
     return packing.pack_pieces(spark, pieces, capacity=2048)
 
 
+@query
+def op8_ngram_jaccard_join(spark, folder):
+    return jaccard.near_duplicates(table(spark, folder, "documents"), size=3, percent=90)
+
+
 @query
 def op9_byte_recurrent_language(spark, folder):
     documents = table(spark, folder, "documents")
