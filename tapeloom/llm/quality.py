@@ -176,6 +176,11 @@ def fit_trees(rows, labels, rounds=60, depth=4, rate=0.2, bins=64, l2=1.0, least
     return Trees(0.0, *(np.array(nodes[n]) for n in ("feature", "threshold", "left", "value")), roots, depth)
 
 
+def base_failed(n_words, n_repeat_words):
+    """The base rules: fewer than 50 words, or more than half of them in repeated windows."""
+    return (n_words < 50) | (100 * n_repeat_words > 50 * n_words)
+
+
 def _stats(batches):
     for batch in batches:
         found = [statistics(text.as_py()) for text in batch.column(1)]
@@ -218,7 +223,7 @@ def judge(documents, trees, threshold=0.0):
             flat = batch.column("features").flatten().to_numpy(zero_copy_only=False)
             score = trees.score(flat) if batch.num_rows else np.empty(0)
             n, repeat = (batch.column(c).to_numpy() for c in ("n_words", "n_repeat_words"))
-            failed = (n < 50) | (100 * repeat > 50 * n)
+            failed = base_failed(n, repeat)
             columns = [batch.column(c) for c in ("doc_id", *COUNTS)]
             extra = [pa.array(failed), pa.array(score), pa.array(~failed & (score >= threshold))]
             yield pa.RecordBatch.from_arrays(columns + extra, names=["doc_id", *COUNTS, "base_failed", "score", "kept"])
@@ -228,3 +233,17 @@ def judge(documents, trees, threshold=0.0):
 
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, score double, kept boolean"
     return documents.select("doc_id", "text").mapInArrow(both, schema)
+
+
+def keep(documents, trees, threshold=0.0):
+    """The rows of ``documents``, all columns, that are kept; nulls and empty texts fail the base rules."""
+    place = documents.columns.index("text")
+
+    def chosen(batches):
+        for batch in batches:
+            found = [statistics(text.as_py()) for text in batch.column(place)]
+            score = trees.score([f for _, f in found]) if found else []
+            good = [not base_failed(c[0], c[4]) and s >= threshold for (c, _), s in zip(found, score)]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return documents.mapInArrow(chosen, documents.schema)

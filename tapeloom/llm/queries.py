@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tapeloom.llm import chat, decontaminate, jaccard, langid, licenses, packing, quality, tokenfile, warc
+from tapeloom.llm import chat, decontaminate, jaccard, langid, licenses, packing, quality, repeats, tokenfile, warc
 from tapeloom.llm.ship import ship
 from tapeloom.settings import scratch_dir
 
@@ -87,6 +87,11 @@ def op4_pigeonhole_decontamination(spark, folder):
     return decontaminate.find_matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op5_maximal_repeats(spark, folder):
+    return repeats.removal_digests(table(spark, folder, "documents"), length=100)
+
+
 @native
 def op6_licence_classifier(spark, folder):
     documents = table(spark, folder, "documents")
