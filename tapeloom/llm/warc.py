@@ -16,8 +16,11 @@ which runs only if there are such.
 import numpy as np
 from pyspark.sql import functions as F
 
+from tapeloom.settings import scratch_dir
+
 MAGIC = "WARC/1.0\r\n"  # Fixed value: the first line of a record.
 END = "\r\n\r\n"  # Fixed value: the end of a header and of a record.
+BROADCAST_COPIES = 200_000  # digests of payloads with copies, 60 bytes each, up to which they are broadcast
 BROADCAST_PIECES = 100_000  # pieces of torn payloads, 40 bytes each, up to which they are broadcast
 
 CHAIN = (
@@ -31,11 +34,12 @@ def with_revisits(pages, min_bytes=100):
 
     Of pages with equal payloads of at least ``min_bytes`` bytes, the one with the smallest
     page_id is the response and the others revisit it. A null html is an empty payload; a null
-    page_id is never referred to; rows equal in page_id and payload are all responses.
+    page_id is never referred to; rows equal in page_id and payload are all responses. Payloads
+    are shuffled only if more than ``BROADCAST_COPIES`` different ones have copies.
     """
     rows = pages.select(
         "page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("_payload")
-    ).withColumn("_digest", F.sha2(F.col("_payload").cast("binary"), 256))
+    ).withColumn("_digest", F.unhex(F.sha2(F.col("_payload").cast("binary"), 256)))
     firsts = (
         rows.where(F.octet_length("_payload") >= min_bytes)
         .groupBy("_digest")
@@ -43,6 +47,11 @@ def with_revisits(pages, min_bytes=100):
         .where("_copies > 1")
         .drop("_copies")
     )
+    stored = scratch_dir(pages.sparkSession, "copies")
+    firsts.write.parquet(stored)
+    firsts = pages.sparkSession.read.schema("_digest binary, _first long").parquet(stored)
+    if firsts.count() <= BROADCAST_COPIES:
+        firsts = F.broadcast(firsts)  # payloads then stay where they are read
     return rows.join(firsts, "_digest", "left").withColumn(
         "refers_to", F.when(~F.col("_first").eqNullSafe(F.col("page_id")), F.col("_first"))
     )
@@ -67,7 +76,7 @@ def write_archives(pages, path, min_bytes=100, date="2026-01-01T00:00:00Z"):
         line("WARC-Record-ID", urn(F.col("page_id"))),
         F.coalesce(line("WARC-Target-URI", url), F.lit("")),
         line("WARC-Date", F.lit(date)),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("_digest"))),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.lower(F.hex("_digest")))),
         F.when(revisit, line("WARC-Refers-To", urn(F.col("refers_to")))).otherwise(""),
         F.concat(F.lit("Content-Length: "), F.octet_length(body).cast("string"), F.lit(END)),
         body,
@@ -170,7 +179,7 @@ def read_records(spark, path):
     """
     pieces = _pieces(spark, path)
     chain = _candidates(pieces).groupBy("file").applyInPandas(_chain, CHAIN)
-    stored = f"{path}.chain"
+    stored = scratch_dir(spark, "chain")
     chain.where("reached OR torn").write.parquet(stored)
     chain = spark.read.parquet(stored)
     columns = ["file", "start", "page_id", "record_type", "refers_to", "digest", "payload_bytes"]
