@@ -394,7 +394,7 @@ def _kept(raw, spans):
 
 
 def with_spans(documents, length=100):
-    """Every row of ``documents``, with ``_spans`` (start, stop), sorted, null where nothing repeats.
+    """Every row of ``documents``, with ``__spans`` (start, stop), sorted, null where nothing repeats.
 
     A copy of an earlier text of at least ``length`` bytes repeats as a whole.
     """
@@ -405,15 +405,20 @@ def with_spans(documents, length=100):
     total = removed.agg(F.sum(F.size("spans"))).first()[0] or 0
     removed = F.broadcast(removed) if total <= BROADCAST_SPANS else removed
     copies = _small(repeats.copies.withColumn("_copy", F.lit(True)), BROADCAST_ROWS)
-    rows = documents.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID))).withColumn(
-        "tie", F.xxhash64(F.coalesce("text", F.lit("")))
+    # Names that no column of the documents has.
+    doc, tie, copy, spans = ("__doc", "__tie", "__copy", "__spans")
+    rows = documents.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID))).withColumn(
+        tie, F.xxhash64(F.coalesce("text", F.lit("")))
     )
+    copies = _small(repeats.copies.select(F.col("doc").alias(doc), F.col("tie").alias(tie), F.lit(True).alias(copy)), BROADCAST_ROWS)
+    removed = removed.select(F.col("doc").alias(doc), F.col("tie").alias(tie), F.col("spans").alias(spans))
+    removed = F.broadcast(removed) if total <= BROADCAST_SPANS else removed
     size = F.octet_length("text").cast("long")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("stop")))
     return (
-        rows.join(copies, ["doc", "tie"], "left").join(removed, ["doc", "tie"], "left")
-        .withColumn("_spans", F.when(F.col("_copy") & (size >= length), whole).otherwise(F.col("spans")))
-        .drop("doc", "tie", "_copy", "spans")
+        rows.join(copies, [doc, tie], "left").join(removed, [doc, tie], "left")
+        .withColumn(spans, F.when(F.col(copy) & (size >= length), whole).otherwise(F.col(spans)))
+        .select(*documents.columns, spans)
     )
 
 
@@ -438,7 +443,7 @@ def _digests(batches):
 def removal_digests(documents, length=100):
     """Counts of removed bytes and runs, and the SHA-256 of the bytes left, of every document."""
     rows = with_spans(documents.select("doc_id", "text"), length)
-    return rows.select("doc_id", "text", "_spans").mapInArrow(_digests, DIGESTS)
+    return rows.select("doc_id", "text", "__spans").mapInArrow(_digests, DIGESTS)
 
 
 def without_repeats(documents, length=100):
@@ -448,7 +453,7 @@ def without_repeats(documents, length=100):
     repeats as a whole is empty. Where there is a column ``n_chars``, it follows a text that is cut.
     """
     rows = with_spans(documents, length)
-    place, spans_at = rows.columns.index("text"), rows.columns.index("_spans")
+    place, spans_at = rows.columns.index("text"), rows.columns.index("__spans")
     chars_at = rows.columns.index("n_chars") if "n_chars" in rows.columns else -1
 
     def cut(batches):
@@ -467,4 +472,4 @@ def without_repeats(documents, length=100):
                 columns[chars_at] = pa.array([len(t) if cut_ else n for cut_, t, n in cut_rows], batch.schema.types[chars_at])
             yield pa.RecordBatch.from_arrays(columns[:-1], names=batch.schema.names[:-1])
 
-    return rows.mapInArrow(cut, rows.drop("_spans").schema)
+    return rows.mapInArrow(cut, documents.schema)
