@@ -57,6 +57,18 @@ def _dated(sql, columns):
     return sql.replace("* REPLACE ({dates})", f"* REPLACE ({listed})" if listed else "*")
 
 
+def name_files(spark, path):
+    """Move the one file of each ``file=<name>`` folder to that name, as a vendor delivers it."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    files = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in files.listStatus(Path(path)):
+        name = folder.getPath().getName()
+        if name.startswith("file="):
+            for part in files.listStatus(folder.getPath()):
+                if part.getPath().getName().endswith(".csv"):
+                    files.rename(part.getPath(), Path(path, name.removeprefix("file=")))
+
+
 DATE_COLUMNS = {}
 
 
@@ -263,20 +275,18 @@ def ingest_quotes(r):
 )
 @dated("trade_date")
 def ingest_yields(r):
+    """One file per maturity; those of odd ones have their columns in another order."""
     path = scratch_dir(r.spark, "yields-csv")
     key = F.col("seq").cast("string")
-    (
-        r.bar()
-        .where(F.col("symbol").isNull())
-        .select(
+    rows = r.bar().where(F.col("symbol").isNull())
+    for odd, columns in enumerate((schemas.PRICE_COLUMNS, schemas.PRICE_COLUMNS[::-1])):
+        named = rows.where(F.col("seq") % 2 == odd).select(
             F.concat(F.lit("us_"), key, F.lit("_year_bond_yield.csv")).alias("file"),
             F.date_format("trade_date", "MM/dd/yy").alias("Date"),
-            *[F.col(c).alias(f" {c.capitalize()} ") for c in schemas.PRICE_COLUMNS],
+            *[F.col(c).alias(f" {c.capitalize()} ") for c in columns],
         )
-        .write.option("header", True)
-        .partitionBy("file")
-        .csv(path)
-    )
+        named.repartition("file").write.option("header", True).partitionBy("file").mode("append").csv(path)
+    name_files(r.spark, path)
     bonds = r.instrument().select(
         (24 - F.col("ord")).alias("ord"),
         F.concat(F.col("ord").cast("string"), F.lit("-Year "), "name").alias("name"),
@@ -520,17 +530,29 @@ def report_market_table(r):
     return rows.select("report_id", "row_no", *BARS)
 
 
+SPAN_LINE = "row_no || '|' || trade_date || '|' || product || '|' || coalesce(symbol, '')"
+
+
 @query(
     ["tab_spans"],
-    f"SELECT market, report_date, span, row_no, {BARS_SQL} FROM tab_spans",
-    found_views(None, "_spans", {"1day": 1, "1week": 7, "1month": 30}),
+    f"""SELECT market, report_date, span, count(*) AS n_rows, max(close) AS max_close, min(low) AS min_low,
+               md5(string_agg({SPAN_LINE}, ';' ORDER BY row_no)) AS rows_md5
+        FROM tab_spans GROUP BY ALL""",
+    found_views(None, "_spans", HISTORY_SPANS),
 )
-@dated("report_date", "trade_date")
+@dated("report_date")
 def market_span_tables(r):
-    spans = {k: HISTORY_SPANS[k] for k in ("1day", "1week", "1month")}
+    """All spans, a digest of every table: the rows themselves grow with span times days."""
     keys = tables.report_keys(r.report_key())
-    rows = extraction.market_span_tables(keys, r.instrument(), r.contract(), r.bar(), spans)
-    return rows.select(*DAY, "span", "row_no", *BARS)
+    rows = extraction.market_span_tables(keys, r.instrument(), r.contract(), r.bar(), HISTORY_SPANS)
+    line = F.concat_ws("|", "row_no", "trade_date", "product", F.coalesce("symbol", F.lit("")))
+    listed = F.sort_array(F.collect_list(F.struct("row_no", line.alias("line"))))
+    return rows.groupBy(*DAY, "span").agg(
+        F.count("*").alias("n_rows"),
+        F.max("close").alias("max_close"),
+        F.min("low").alias("min_low"),
+        F.md5(F.array_join(listed["line"], ";")).alias("rows_md5"),
+    )
 
 
 @query(
@@ -555,6 +577,38 @@ def reports_without_data(r):
     return tables.reports_without_data(r.report_key(), rows).select("report_id")
 
 
+# Report dates in the forms that files hold, chosen by report; every seventh does not parse.
+DATE_FORMS = ["yyyy-MM-dd", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyyMMdd", "MMMM d, yyyy", "d MMM yyyy"]
+
+
+@query(
+    ["report", "tab0"],
+    """SELECT report_id, CASE WHEN report_id % 7 = 6 THEN 'date' WHEN EXISTS
+         (FROM tab0 t WHERE t.market = r.market AND t.report_date = r.report_date) THEN 'table' ELSE 'no data' END AS outcome
+       FROM report r""",
+    found_views(0, "0"),
+)
+def report_outcomes(r):
+    """Tables, reports without data and rejects add up to all reports."""
+    forms = [F.when(F.col("report_id") % 7 == i, F.date_format("report_date", form)) for i, form in enumerate(DATE_FORMS)]
+    typed = r.report_key().withColumn("date", F.coalesce(*forms, F.lit("soon")))
+    reports = typed.withColumn("report_date", dates.parse_report_date(F.col("date")))
+    keys = tables.report_keys(reports.where(F.col("report_date").isNotNull()))
+    rows = extraction.market_day_tables(keys, r.instrument(), r.contract(), r.bar(), history_days=0)
+    return tables.report_outcomes(reports, rows).select("report_id", "outcome")
+
+
+@query(
+    ["report"],
+    """SELECT CAST(unnest(generate_series(min(year(report_date)), max(year(report_date + 365)))) AS INTEGER) AS contract_year,
+              CAST(min(report_date) - 730 AS VARCHAR) AS prices_from FROM report""",
+)
+def report_calendar_years(r):
+    span = r.report_key().agg(F.min("report_date").alias("first"), F.max("report_date").alias("last"))
+    years = calendar.calendar_years(F.col("first"), F.col("last"))
+    return span.select(F.explode(years).alias("contract_year"), calendar.price_start(F.col("first")).cast("string").alias("prices_from"))
+
+
 @query(
     ["report", "split_ref"],
     "SELECT report_id, source, market, report_date, split FROM report JOIN split_ref USING (source, market, report_date)",
@@ -643,23 +697,6 @@ def attach_examples(r):
     )
 
 
-@query(
-    ["report_sample"],
-    """SELECT market || '-' || source AS group_key, place, date AS example_date, md5(passage) AS passage_md5
-       FROM report_sample""",
-)
-def examples_map(r):
-    one = examples.examples_map(report_groups(r))
-    entries = one.select(F.explode("examples_map").alias("group_key", "list"))
-    listed = entries.select("group_key", F.posexplode("list").alias("place", "example"))
-    return listed.select(
-        "group_key",
-        (F.col("place") + 1).cast("bigint").alias("place"),
-        F.col("example.date").alias("example_date"),
-        digest("example.report").alias("passage_md5"),
-    )
-
-
 @query(
     ["report_blocks", "data_blocks"],
     """SELECT 'report' AS kind, '' AS split, market, source, md5(blocks) AS blocks_md5 FROM report_blocks
@@ -810,7 +847,7 @@ def build_dataset_without_self(r):
 @query(
     ["pairs"],
     f"""SELECT split, report_id, report_date, row_number() OVER (PARTITION BY split
-          ORDER BY report_date, report_id % 64, report_id) AS row_no,
+          ORDER BY report_date, report_id) AS row_no,
         {text_stats_sql("context", "context")}, {text_stats_sql("target", "target")} FROM pairs""",
 )
 @dated("report_date")

@@ -5,6 +5,16 @@ from pyspark.sql import functions as F
 ISO = (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d")
 US_LONG = (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy")
 US_SHORT = (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy")
+SLASHED = (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d")
+COMPACT = (r"^\d{8}$", "yyyyMMdd")
+_MONTH, _SHORT_MONTH = r"[A-Za-z]{4,9}", r"[A-Za-z]{3}"
+NAMED = (  # March 4, 2021; Mar 4 2021; 4 March 2021
+    (rf"^{_MONTH} \d{{1,2}},? \d{{4}}$", "MMMM d[,] yyyy"),
+    (rf"^{_SHORT_MONTH}\.? \d{{1,2}},? \d{{4}}$", "MMM[.] d[,] yyyy"),
+    (rf"^\d{{1,2}} {_MONTH},? \d{{4}}$", "d MMMM[,] yyyy"),
+    (rf"^\d{{1,2}} {_SHORT_MONTH}\.?,? \d{{4}}$", "d MMM[.][,] yyyy"),
+)
+TIME = r"[T ]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|UTC|[+-]\d{2}:?\d{2})?$"
 
 
 def parse_date(column, *forms):
@@ -31,8 +41,14 @@ def parse_us_short(column):
 
 
 def parse_report_date(column):
-    """Report dates come as ISO or US text."""
-    return parse_date(column, ISO, US_LONG)
+    """Report dates: ISO, US, compact or with the month's name, a time of day left off.
+
+    Month names are English, in any case. NULL where no form fits.
+    """
+    text = F.regexp_replace(F.initcap(F.lower(F.trim(column))), "(?i)" + TIME, "")
+    forms = ISO, US_LONG, SLASHED, COMPACT, *NAMED
+    # Bound once as an array's item: written out, the text would be repeated for every form.
+    return F.transform(F.array(text), lambda t: parse_date(t, *forms))[0]
 
 
 def add_business_days(day, count):

@@ -2,6 +2,8 @@
 
 from pyspark.sql import Window, functions as F
 
+from tapeloom.operators.spread import spread_join
+
 SEED = "7"
 FIELDS = ["source", "market", "date", "table_data", "report"]
 
@@ -91,23 +93,12 @@ def leave_out(spares, day, n):
 def attach_examples(frame, groups, keys, names=("examples",)):
     """Example lists of the group of each row; no group is an empty list.
 
-    The lists are one short row per group. Spark broadcasts them only if they are small
-    enough, see ``plans.dataset`` for the sliced join used on report keys.
+    The lists are one short row per group; a group with very many rows is cut into slices.
     """
-    joined = frame.join(groups, keys, "left")
+    joined = spread_join(frame, groups, keys, [c for c in frame.columns if c not in keys], how="left")
     return joined.withColumns({c: F.coalesce(c, F.array()) for c in names})
 
 
-def examples_map(groups, name="examples"):
-    """All lists as one map keyed ``market-source``: one row, for use as a scalar subquery.
-
-    Its size is groups x sample, and every row it is attached to repeats it.
-    """
-    key = F.concat_ws("-", "market", "source")
-    entries = F.collect_list(F.struct(key.alias("k"), F.col(name).alias("v")))
-    return groups.agg(F.map_from_entries(entries).alias(f"{name}_map"))
-
-
 def _shown(value):
     return F.coalesce(value, F.lit("nan"))
 

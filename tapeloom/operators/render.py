@@ -10,6 +10,7 @@ blank more.
 
 from pyspark.sql import Window, functions as F
 
+from tapeloom.functions.rounding import round_exact
 from tapeloom.schemas import BAR_HEADERS, VALUE_COLUMNS
 
 # Fixed values of the layout.
@@ -35,8 +36,9 @@ def _number_text(name):
     """
     short = f"cast({name} AS string)"
     fits = f"instr({short}, 'E') = 0 AND length({short}) - instr({short}, '.') <= {DIGITS}"
-    long = f"cast(cast({name} AS decimal(38,{DIGITS})) AS string)"
-    return F.expr(f"CASE WHEN {fits} THEN {short} ELSE trim(TRAILING '0' FROM {long}) END")
+    # The exact value is rounded first: the short text may lie on a tie beside it.
+    long = round_exact(F.col(name), DIGITS).cast(f"decimal(38,{DIGITS})").cast("string")
+    return F.when(F.expr(fits), F.expr(short)).otherwise(F.regexp_replace(long, "0+$", ""))
 
 
 def _number_sizes(name):

@@ -39,8 +39,40 @@ def dedupe_keep_first(frame, keys, order):
     return kept.select(*[c if c in keys else F.col(f"_first.{c}") for c in frame.columns])
 
 
+def rejected_reports(reports):
+    """Reports that cannot have a table, with the ``reason``: no date that parses, or no market.
+
+    With a ``passage`` column, a missing text is a reason too.
+    """
+    reason = F.when(F.col("report_date").isNull(), "date").when(F.col("market").isNull(), "market")
+    if "passage" in reports.columns:
+        reason = reason.when(F.col("passage").isNull(), "text")
+    return reports.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def report_outcomes(reports, tables):
+    """Every report with its ``outcome``: ``table``, ``no data``, or why it was rejected."""
+    day = ["market", "report_date"]
+    rejected = rejected_reports(reports)
+    sound = reports.where(F.col("report_date").isNotNull() & F.col("market").isNotNull())
+    if "passage" in reports.columns:
+        sound = sound.where(F.col("passage").isNotNull())
+    tabled = tables.select(*day).distinct().withColumn("_found", F.lit(True))
+    counts = report_keys(sound).groupBy(*day).agg(F.sum("n").alias("n"))
+    joined = spread_join(sound, tabled, day, ["report_id"], how="left", counts=counts)
+    outcome = F.when(F.col("_found"), "table").otherwise("no data")
+    return joined.withColumn("outcome", outcome).drop("_found").unionByName(
+        rejected.withColumnRenamed("reason", "outcome")
+    )
+
+
 def reports_without_data(reports, tables):
-    """Reports whose market day has no table rows."""
+    """Reports with a date and a market whose market day has no table rows.
+
+    Reports without either are in ``rejected_reports``; the two and the reports with a table
+    add up to all reports.
+    """
+    reports = reports.where(F.col("report_date").isNotNull() & F.col("market").isNotNull())
     day = ["market", "report_date"]
     keys = report_keys(reports)
     missing = market_days(keys).join(tables.select(*day).distinct(), day, "left_anti")

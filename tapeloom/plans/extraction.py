@@ -90,7 +90,7 @@ def market_tables(days, instruments, contracts, bars, n_contracts=3, bin_days=8)
     group = [c for c in ("span", "market", "report_date") if c in days.columns]
     items = report_items(days, instruments)
     routed = route_items(items, contracts, n_contracts)
-    found = extract_bars(routed, first_listings(bars_in_reach(bars, days)), bin_days)
+    found = extract_bars(routed, bars_in_reach(bars, days), bin_days)
     rows = found.select(*group, "ord", "label", "seq", *BAR_COLUMNS).repartition(*group)
     unique = dedupe_keep_first(rows, [*group, *BAR_KEY], ["ord", "seq"])
     # Instruments in list order; contracts by label and day; other bars by listing and day.

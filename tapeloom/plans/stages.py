@@ -9,11 +9,11 @@ from typing import Callable, Optional
 
 from pyspark.sql import functions as F
 
-from tapeloom.operators.calendar import contract_calendar
+from tapeloom.operators.calendar import calendar_years, contract_calendar
 from tapeloom.operators.examples import SEED
 from tapeloom.operators.prompts import date_ranges
 from tapeloom.operators.render import render_table
-from tapeloom.operators.tables import report_keys
+from tapeloom.operators.tables import rejected_reports, report_keys
 from tapeloom.operators.tokens import MAX_OUTPUT, MAX_SEQUENCE
 from tapeloom.plans.dataset import DAY, build_dataset
 from tapeloom.plans.extraction import keyed_report_tables, market_day_tables
@@ -33,8 +33,8 @@ class Config:
     instruction: str
     examples: Optional[str] = None
     span: str = "1week"
-    first_year: int = 2021
-    last_year: int = 2024
+    first_year: Optional[int] = None
+    last_year: Optional[int] = None
     data_examples: int = 0
     report_examples: int = 2
     exclude_self: bool = False
@@ -44,7 +44,8 @@ class Config:
     max_sequence: int = MAX_SEQUENCE
     max_output: int = MAX_OUTPUT
     skip_overlength: bool = True
-    dataset_format: str = "json"
+    context_length: Optional[int] = None
+    dataset_format: str = "parquet"
 
     def path(self, *parts):
         return "/".join([self.root.rstrip("/"), *parts])
@@ -57,16 +58,26 @@ def ingest(spark, config, vendors):
 
 def land_texts(spark, config):
     """Land reports and examples as Parquet with frozen ids."""
-    sinks.land_reports(scans.scan_reports(spark, config.reports), config.path("reports"))
+    reports = scans.scan_reports(spark, config.reports, with_file=True)
+    sinks.land_reports(reports, config.path("reports"))
     if config.examples:
-        examples = scans.scan_reports(spark, config.examples)
+        examples = scans.scan_reports(spark, config.examples, with_file=True)
         sinks.land_reports(examples, config.path("examples"), "example_id")
 
 
 def calendar(spark, config):
-    """Generate the contracts of the listed futures."""
+    """Generate the contracts of the listed futures.
+
+    Years that the configuration leaves open come from the landed reports: from the first
+    report to 365 days after the last one.
+    """
     listed = scans.scan_instruments(spark, config.instruments)
-    contracts = contract_calendar(listed, config.first_year, config.last_year)
+    reports = spark.read.parquet(config.path("reports"))
+    span = reports.agg(F.min("report_date").alias("first"), F.max("report_date").alias("last"))
+    years = span.select(calendar_years(F.col("first"), F.col("last")).alias("years")).first().years or [0, -1]
+    first = years[0] if config.first_year is None else config.first_year
+    last = years[-1] if config.last_year is None else config.last_year
+    contracts = contract_calendar(listed, first, last) if first <= last else contract_calendar(listed.limit(0), 1, 1)
     contracts.write.mode("overwrite").parquet(config.path("contracts"))
     sinks.write_contracts(contracts, config.path("contracts_csv"))
 
@@ -88,6 +99,12 @@ def extract(spark, config):
     sinks.write_report_tables(rows, config.path("report_tables"), config.span)
 
 
+def rejects(spark, config):
+    """Write the reports that can have no table, each with its reason."""
+    rejected = rejected_reports(spark.read.parquet(config.path("reports")))
+    rejected.write.mode("overwrite").parquet(config.path("rejects"))
+
+
 def construct(spark, config):
     """Dataset rows of every split."""
     rendered = render_table(spark.read.parquet(config.path("market_days", config.span)), DAY)
@@ -126,6 +143,7 @@ def tokenize(spark, config):
         date_ranges(dataset),
         config.max_sequence,
         config.max_output,
+        context_length=config.context_length,
         skip_overlength=config.skip_overlength,
         tokenizer=config.tokenizer,
     )
@@ -141,5 +159,5 @@ def run(spark, config, vendors=None):
     """All stages in order."""
     if vendors:
         ingest(spark, config, vendors)
-    for stage in (land_texts, calendar, extract, construct, tokenize):
+    for stage in (land_texts, rejects, calendar, extract, construct, tokenize):
         stage(spark, config)

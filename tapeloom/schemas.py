@@ -18,6 +18,9 @@ BAR_HEADERS = {
     "volume": "Volume",
 }
 
+# Header of the yield files.
+YIELD_COLUMNS = ["Date", "Open", "High", "Low", "Close"]
+
 # As landed: dates are text until they are parsed leniently.
 BAR_FILE = T.StructType(
     [T.StructField(BAR_HEADERS[c], T.StringType()) for c in ["trade_date", "product", "symbol"]]

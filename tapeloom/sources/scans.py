@@ -18,19 +18,36 @@ def name_bars(raw):
     )
 
 
+def read_named(spark, path, schema, **options):
+    """Delimited files with a header, columns found by name in whatever order.
+
+    The order is the first file's; a file with another order fails the read, as a column
+    that is missing does. Columns that ``schema`` does not name are left out.
+    """
+    reader = spark.read.options(header=True, **options)
+    found = reader.csv(path).columns
+    missing = [c for c in schema.names if c not in found]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    fields = [schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in found]
+    named = reader.schema(T.StructType(fields)).option("enforceSchema", False).csv(path)
+    return named.select(*schema.names)
+
+
 def scan_bars(spark, path, file_format="parquet"):
     """Unified price bars. Parquet is the native form, CSV the exchange form."""
     if file_format == "parquet":
         return spark.read.schema(schemas.LANDED_BAR).parquet(path)
-    return name_bars(spark.read.schema(schemas.BAR_FILE).option("header", True).csv(path))
+    return name_bars(read_named(spark, path, schemas.BAR_FILE))
 
 
 def scan_instruments(spark, path):
     """Instrument list: a JSON array whose order is meaning, kept as ``ord``.
 
-    The list is configuration kept by hand, one small document, hence one row.
+    The list is configuration kept by hand, one small document, hence one row. A document
+    that is no such array fails the read.
     """
-    items = F.from_json("value", T.ArrayType(schemas.INSTRUMENT_ITEM))
+    items = F.from_json("value", T.ArrayType(schemas.INSTRUMENT_ITEM), {"mode": "FAILFAST"})
     listed = spark.read.text(path, wholetext=True).select(F.posexplode(items).alias("ord", "item"))
     return listed.select(
         "ord",
@@ -43,7 +60,7 @@ def scan_instruments(spark, path):
 
 def scan_contracts(spark, path):
     """Contract calendar file; the base symbol is the symbol without month and year code."""
-    raw = spark.read.schema(schemas.CONTRACT_FILE).option("header", True).csv(path)
+    raw = read_named(spark, path, schemas.CONTRACT_FILE)
     return raw.withColumns(
         {
             "expiration_date": parse_iso(F.col("expiration_date")),
@@ -52,25 +69,25 @@ def scan_contracts(spark, path):
     )
 
 
-def scan_reports(spark, path):
+def scan_reports(spark, path, with_file=False):
     """UTF-16 tab-separated reports with quoted passages that may span lines.
 
     Such a file cannot be cut in the middle of a quoted passage, so one file is one task:
     land many files, and keep them as Parquet from there on (``sinks.land_reports``).
+    ``with_file`` adds the file of each row.
     """
-    raw = (
-        spark.read.schema(schemas.REPORT_FILE)
-        .options(sep="\t", encoding="UTF-16", header=True, multiLine=True)
-        .options(quote='"', escape='"', ignoreLeadingWhiteSpace=False)
-        .options(ignoreTrailingWhiteSpace=False)
-        .csv(path)
-    )
+    raw = read_named(
+        spark, path, schemas.REPORT_FILE, sep="\t", encoding="UTF-16", multiLine=True, quote='"',
+        escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
+    if with_file:
+        raw = raw.withColumn("file", F.col("_metadata.file_path"))
     return raw.withColumn("report_date", parse_report_date(F.col("date")))
 
 
 def scan_split_reference(spark, path):
     """Which split each (source, market, date) belongs to."""
-    raw = spark.read.schema(schemas.SPLIT_FILE).option("header", True).csv(path)
+    raw = read_named(spark, path, schemas.SPLIT_FILE)
     return raw.select(
         "source", "market", parse_report_date(F.col("date")).alias("report_date"), "split"
     )
@@ -121,13 +138,25 @@ def scan_cash_index(spark, path, value_column):
 
 
 def scan_yields(spark, path):
-    """Every ``.csv`` below a folder, with the path each row came from."""
-    raw = (
-        spark.read.options(header=True, recursiveFileLookup=True, pathGlobFilter="*.csv")
-        .options(ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
-        .csv(path)
+    """Every ``.csv`` below a folder, each read by its own header, with the path of each row.
+
+    A file is one short history, hence one row before it is cut into lines. A column that a
+    file does not have is NULL.
+    """
+    files = (
+        spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.csv")
+        .text(path, wholetext=True)
+        .select(F.col("_metadata.file_path").alias("file"), F.split("value", r"\r\n|\r|\n").alias("lines"))
     )
-    return strip_names(raw.withColumn("file", F.col("_metadata.file_path")))
+    trimmed = lambda line: F.transform(F.split(line, ","), lambda x: F.btrim(x, F.lit(' "\t\ufeff')))
+    rows = files.select("file", trimmed(F.col("lines")[0]).alias("header"), F.explode("lines").alias("line"), F.col("lines")[0].alias("first"))
+    cells = rows.where((F.col("line") != F.col("first")) & (F.trim("line") != "")).withColumn("cells", trimmed(F.col("line")))
+
+    def named(column):
+        place = F.array_position("header", column)
+        return blank_to_null(F.when(place > 0, F.try_element_at("cells", place.cast("int")))).alias(column)
+
+    return cells.select(*[named(c) for c in schemas.YIELD_COLUMNS], "file")
 
 
 def strip_names(frame):

@@ -73,3 +73,12 @@ def test_text(spark):
 def test_rounding_keeps_missing(spark):
     got = evaluate(spark, [None, 1.0], "double", lambda c: rounding.round_exact(c, 2))
     assert got[0] is None and math.isclose(got[1], 1.0)
+
+
+def test_report_dates_in_the_forms_of_files(spark):
+    forms = ["2021-03-04", "3/4/2021", "2021/3/4", "20210304", "March 4, 2021", "Mar 4, 2021", "mar. 4 2021", "4 MARCH 2021",
+             "4 Mar 2021", "2021-03-04 00:00:00", "2021-03-04T07:30", "2021-03-04T07:30:00.5Z", " 2021-03-04 "]
+    other = ["soon", "", None, "2021-13-04", "2021-03-04 soon", "202103041"]
+    rows = spark.createDataFrame([(x,) for x in forms + other], "d string")
+    got = [r[0] for r in rows.select(dates.parse_report_date(F.col("d"))).collect()]
+    assert got == [dt.date(2021, 3, 4)] * len(forms) + [None] * len(other)

@@ -268,6 +268,20 @@ def test_tables_print_as_a_data_frame_does(spark):
         assert got[group] == stored.to_string(index=False)
 
 
+def test_long_decimals_print_as_a_data_frame_does(spark):
+    rng = random.Random(9)
+    data = [(g, i, day(i), "x", None, *[round(rng.uniform(0, 100), d) for d in (7, 9, 7, 9, 5)]) for g in range(150) for i in range(3)]
+    numbers = ["open", "high", "low", "close", "volume"]
+    names = ["g", "row_no", "trade_date", "product", "symbol", *numbers]
+    types = ["int", "int", "date", "string", "string"] + ["double"] * 5
+    frame = spark.createDataFrame(data, ", ".join(f"{n} {t}" for n, t in zip(names, types)))
+    got = {r.g: r.table_data for r in render.render_table(frame, ["g"]).collect()}
+    for group, part in pd.DataFrame(data, columns=names).groupby("g"):
+        part = part.drop(columns=["g", "row_no"])
+        part.columns = list(render.BAR_HEADERS.values())
+        assert got[group] == pd.read_csv(io.StringIO(part.to_csv(index=False))).to_string(index=False)
+
+
 def words(text):
     return [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) for w in text.split()]
 

@@ -198,7 +198,7 @@ def test_pipeline_over_files(spark, tmp_path):
     contracts = spark.read.parquet(config.path("contracts"))
     pairs = [(r.symbol, r.expiration_date) for r in contracts.collect()]
     with_rows = [k for k, v in loop_tables(instruments, bars, pairs, reports, 7).items() if v]
-    dataset = scans.scan_dataset(spark, config.path("dataset", "1week")).collect()
+    dataset = scans.scan_dataset(spark, config.path("dataset", "1week"), file_format="parquet").collect()
     assert len(dataset) == len(with_rows) == sum(r.n_rows for r in stages.split_counts(spark, config).collect())
     sample = dataset[0]
     assert sample.prompts.formatted_prompt.startswith("Do it.\n\nData Examples:\nData Example 1:\nMarket: ")

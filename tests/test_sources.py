@@ -141,3 +141,61 @@ def test_scratch_follows_the_shared_folder():
     with pytest.raises(ValueError):
         scratch_dir(Session(spark_master="yarn"), "x")
     assert scratch_dir(Session(spark_master="local[2]"), "x").endswith("/x")
+
+
+def test_report_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("date\tmarket\tsource\tpassage\textra\n2021-03-04\tgold\tDaily\tup\tx\n", encoding="utf-16")
+    got = [tuple(r) for r in scans.scan_reports(spark, str(tmp_path / "a.tsv")).collect()]
+    assert got == [("Daily", "gold", "2021-03-04", "up", dt.date(2021, 3, 4))]
+    (tmp_path / "b.csv").write_text("date,market,source\n2021-03-04,gold,Daily\n")
+    with pytest.raises(ValueError, match="split"):
+        scans.scan_split_reference(spark, str(tmp_path / "b.csv"))
+
+
+def test_yields_are_read_by_the_header_of_their_file(spark, tmp_path):
+    folder = tmp_path / "us_9_year_bond_yield.csv"
+    folder.mkdir()
+    (folder / "part.csv").write_text("Date,Open,High,Low,Close\n01/02/20,7,7,7,7\n")
+    (tmp_path / "us_12_year_bond_yield.csv").write_text("Date, Open, High, Low, Close\n01/02/20,1,2,3,4\n")
+    (tmp_path / "us_2_year_bond_yield.csv").write_text(" Close ,Date,Low,High,Open\r\n4,01/02/20,3,2,1\r\n\r\n")
+    got = [(r.open, r.high, r.low, r.close) for r in vendors.ingest_yields(spark, str(tmp_path), listed(spark)).collect()]
+    assert got == [(1.0, 2.0, 3.0, 4.0)] * 2
+
+
+def test_a_broken_instrument_list_fails(spark, tmp_path):
+    (tmp_path / "list.json").write_text('[{"market": "m", "name": "b"')
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        scans.scan_instruments(spark, str(tmp_path / "list.json")).collect()
+
+
+def test_smaller_writes_replace_larger_ones(spark, tmp_path):
+    rows = [("train", i, None, None, None, None, None, None, None) for i in range(3)] + [("test", 9, *[None] * 7)]
+    made = spark.createDataFrame(rows, schemas.DATASET)
+    for file_format in ("json", "parquet"):
+        path = str(tmp_path / file_format)
+        sinks.write_dataset(made, path, file_format)
+        sinks.write_dataset(made.where("split = 'train'"), path, file_format)
+        assert {r.split for r in scans.scan_dataset(spark, path, file_format=file_format).collect()} == {"train"}
+    tokens = spark.createDataFrame([("train", 1, None, [1], [1], [2]), ("test", 2, None, [1], [1], [2])], "split string, report_id long, report_date date, input_ids array<long>, attention_mask array<long>, labels array<long>")
+    path = str(tmp_path / "tokens")
+    sinks.write_tokens(tokens, path, "org/other")
+    sinks.write_tokens(tokens, path, "org/model")
+    sinks.write_tokens(tokens.where("report_id = 1"), path, "org/model")
+    assert sorted((r.model, r.report_id) for r in scans.scan_tokens(spark, path).collect()) == [("model", 1), ("other", 1), ("other", 2)]
+
+
+def test_ids_follow_file_and_place_whatever_the_splits(spark, tmp_path):
+    for name, n in (("a", 3), ("b", 400), ("c", 20)):
+        lines = [f"S\tgold\t2021-03-04\t{name}{i}" for i in range(n)]
+        (tmp_path / f"{name}.tsv").write_text("\n".join(["source\tmarket\tdate\tpassage", *lines]) + "\n", encoding="utf-16")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "2000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            path = str(tmp_path / f"landed{size}")
+            sinks.land_reports(scans.scan_reports(spark, str(tmp_path / "*.tsv"), with_file=True), path)
+            got = [r.passage for r in spark.read.parquet(path).orderBy("report_id").collect()]
+            assert got == [f"{name}{i}" for name, n in (("a", 3), ("b", 400), ("c", 20)) for i in range(n)]
+            assert [r.report_id for r in spark.read.parquet(path).orderBy("report_id").collect()] == list(range(423))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
