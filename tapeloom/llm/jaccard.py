@@ -23,7 +23,7 @@ from tapeloom.llm.graph import components
 from tapeloom.operators.spread import number_rows
 from tapeloom.settings import scratch_dir
 
-WORDS_HELD = 500_000  # hashes of words a worker remembers
+WORDS_HELD = 200_000  # hashes of words a worker remembers
 BLOCK_NODES, BLOCK_SHINGLES, LEAST_NODES = 1024, 1 << 20, 16  # bounds of a block
 BROADCAST_NODES = 300_000  # nodes in clusters, 40 bytes each, up to which they are broadcast
 SPARSE = 16  # shingles in so many nodes or fewer are multiplied pair by pair
