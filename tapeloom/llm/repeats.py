@@ -38,7 +38,7 @@ BROADCAST_ROWS = 400_000  # rows of 24 bytes up to which a list of documents is
 BROADCAST_SPANS = 1_000_000  # removed runs, 8 bytes each, up to which they are broadcast
 LEAST_ID = -(1 << 63)  # stands for a null doc_id, which comes before all others
 
-STRETCHES = "part long, doc long, tie long, start long, before int, n_windows int, bytes binary"
+STRETCHES = "part long, doc long, tie long, starts array<bigint>, before int, n_windows int, bytes binary"
 GROUPS = "group string, length int, doc long, tie long, start long, first boolean"
 
 _U = np.uint64
@@ -219,7 +219,10 @@ def _listed(length):
 
 
 def _cut(length, hot):
-    """Stretches around the anchors of ``again``; those of hot anchors window by window."""
+    """Stretches around the anchors of ``again``; those of hot anchors window by window.
+
+    Equal stretches of a document are one row with all their places.
+    """
 
     def run(batches):
         for batch in batches:
@@ -233,17 +236,21 @@ def _cut(length, hot):
                 hashes, starts, counts = anchors(data, length)
                 if not len(hashes):
                     continue
+                found = {}
                 at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
                 for i in np.flatnonzero(wanted[at] == hashes):
                     start, count, part = int(starts[i]), int(counts[i]), int(hashes[i].view(np.int64))
                     if part in hot:
                         prints = rolling(data[start : start + count + length - 1], length).view(np.int64)
                         for j, single in enumerate(prints.tolist()):
-                            rows.append((single, doc, tie, start + j, -1, 1, raw[start + j : start + j + length]))
+                            kind = single, -1, 1, raw[start + j : start + j + length]
+                            found.setdefault(kind, []).append(start + j)
                         continue
                     before = int(data[start - 1]) if start else -1
-                    rows.append((part, doc, tie, start, before, count, raw[start : start + count + length - 1]))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                    kind = part, before, count, raw[start : start + count + length - 1]
+                    found.setdefault(kind, []).append(start)
+                rows.extend((kind[0], doc, tie, starts, *kind[1:]) for kind, starts in found.items())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary())
             columns = list(zip(*rows)) or [[]] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], [c.split()[0] for c in STRETCHES.split(", ")]
@@ -260,12 +267,11 @@ def _grouped(length):
         if not held:
             return
         kinds, members = [], []
-        for part, doc, tie, start, before, count, data in held:
-            if kinds and kinds[-1] == (part, before, count, data):
-                members[-1].append((doc, tie, start))
-            else:
+        for part, doc, tie, starts, before, count, data in held:
+            if not kinds or kinds[-1] != (part, before, count, data):
                 kinds.append((part, before, count, data))
-                members.append([(doc, tie, start)])
+                members.append([])
+            members[-1].extend((doc, tie, start) for start in starts)
         # A stretch that occurs again is given twice, so that its suffixes have a neighbour.
         stretches, number = [], []
         for i, (_, before, count, data) in enumerate(kinds):
@@ -364,7 +370,7 @@ class Repeats:
         hot = frozenset(r["part"] for r in counts.where(F.col("n") > HOT).select("part").collect())
         again = listed.join(counts, "part").groupBy("doc").agg(F.collect_set("part").alias("again"))
         stretches = texts.join(again, "doc").select("doc", "tie", "text", "again").mapInArrow(_cut(self.length, hot), STRETCHES)
-        ordered = stretches.repartition("part").sortWithinPartitions("part", "bytes", "before", "n_windows", "doc", "tie", "start")
+        ordered = stretches.repartition("part").sortWithinPartitions("part", "bytes", "before", "n_windows", "doc", "tie")
         return ordered.mapInArrow(_grouped(self.length), GROUPS)
 
     def removed(self):
