@@ -48,7 +48,7 @@ def _choices(values):
 def _encode_block(values):
     n = len(values)
     chosen = _choices(values)
-    steps = np.append(_COUNTS, 1)[chosen].tolist()
+    steps = np.append(_COUNTS, 1).astype(np.uint8)[chosen].tobytes()
     starts, at = [], 0
     start_at = starts.append
     while at < n:

@@ -4,18 +4,100 @@ Both kinds of vocabulary split a text before merging, and never join what a sing
 two other characters parts. So a text is cut at such blanks, every distinct stretch is encoded by
 the library and remembered by the Python worker, and the ids of a text are those of its stretches
 in order: the same ids as for the whole text, at the cost of a dictionary lookup a word.
+
+A stretch met for the first time is split by the vocabulary's own pattern, and its pieces are
+merged by the library's model, where its characters leave no doubt about normalisation: Latin
+letters and printable ASCII. Any other stretch goes through the whole tokenizer.
 """
 
+import json
 import os
 import re
+import sys
+from array import array
 
-import numpy as np
+import regex
 
-WORDS_HELD = 300_000  # stretches in each of the two generations a worker remembers
+PIECES_HELD = 500_000  # pieces of stretches a worker remembers
+WORDS_HELD = 400_000  # stretches in each of the two generations a worker remembers
 LONGEST_HELD = 64  # characters; longer stretches are encoded each time
 
 SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
+# Characters that every normaliser leaves as they are, but for lower case: printable ASCII but for
+# the sign that special tokens begin with, line feed, and composed Latin letters.
+PLAIN = re.compile("[\n -;=-~\u00c0-\u012f\u0131-\u017e]*")
+
+# Fixed value: the pattern of byte-level vocabularies.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_alphabet():
+    """The characters that stand for bytes 0 to 255: printable ones for themselves, others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+def splitter(spec):
+    """(pattern, lower case) of a tokenizer file of a known kind; None for any other."""
+    kind, normaliser = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+    if kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind["add_prefix_space"] and not normaliser:
+        return regex.compile(BYTE_LEVEL), False
+    steps = kind.get("pretokenizers", [])
+    if [s["type"] for s in steps] != ["Split", "ByteLevel"] or steps[1]["use_regex"] or steps[1]["add_prefix_space"]:
+        return None
+    names = [n["type"] for n in (normaliser or {}).get("normalizers", [])]
+    if names != ["NFC", "Replace", "Lowercase"] or not steps[0]["invert"] or steps[0]["behavior"] != "Removed":
+        return None
+    return regex.compile(steps[0]["pattern"]["Regex"]), True
+
+
+def packed(ids):
+    """Ids as little-endian unsigned 32-bit bytes."""
+    data = array("I", ids)
+    if sys.byteorder == "big":
+        data.byteswap()
+    return data.tobytes()
+
+
+class Pieces(dict):
+    """Ids of pieces, merged by the model when first asked for."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.merge, self.alphabet = model.tokenize, byte_alphabet()
+
+    def __missing__(self, piece):
+        if piece.isascii() and piece.strip(" ").isalpha():
+            symbols = piece.replace(" ", self.alphabet[32])
+        else:
+            symbols = "".join(map(self.alphabet.__getitem__, piece.encode()))
+        ids = self[piece] = packed([token.id for token in self.merge(symbols)])
+        return ids
+
+
+class Unsafe(Exception):
+    """A blank next to other white space, where a text must not be cut."""
+
+
+class Stretches(dict):
+    """Ids of stretches of text, each with the blank before it; looked up or encoded when first met."""
+
+    def __init__(self, cache, old):
+        super().__init__()
+        self.cache, self.old = cache, old
+
+    def __missing__(self, part):
+        ids = self.old.get(part)
+        if ids is None:
+            if not part or part != part.strip():
+                raise Unsafe
+            ids = self.cache.ids_of(self.cache.blank + part)
+        if len(part) <= LONGEST_HELD:
+            self[part] = ids
+        return ids
+
 
 class WordCache:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit bytes.
@@ -32,49 +114,41 @@ class WordCache:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.blank = " " if joins_blanks else ""
-        self.first = {}  # stretches at the start of a text, which have no blank before them
-        self.young, self.old = {}, {}
-
-    def _encode(self, stretches):
-        encoded = self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
-
-    def _learn(self, missing):
-        """Put the missing stretches into the young generation; those too long to hold are returned."""
-        found, old = {}, self.old
-        for part in missing:
-            if part in old:
-                found[part] = old[part]
-        new = [part for part in missing if part not in found]
-        if new:
-            found.update(zip(new, self._encode([self.blank + part for part in new])))
-        if len(self.young) + len(found) > WORDS_HELD:
-            self.young, self.old = {}, self.young
-        self.young.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_HELD)
-        return found
+        self.young = Stretches(self, {})
+        with open(path, encoding="utf-8") as file:
+            self.split = splitter(json.load(file))
+        self.pieces = Pieces(self.tokenizer.model)
+
+    def ids_of(self, stretch):
+        """Ids of a stretch as if it were a text."""
+        if self.split and PLAIN.fullmatch(stretch):
+            pattern, lower = self.split
+            if lower:
+                stretch = stretch.lower()
+            if stretch.removeprefix(self.blank).isalpha():  # one run of letters is one piece
+                return self.pieces[stretch]
+            return b"".join(map(self.pieces.__getitem__, pattern.findall(stretch)))
+        return packed(self.tokenizer.encode(stretch, add_special_tokens=False).ids)
 
     def encode(self, text):
         if not text:
             return b""
-        head, *rest = text.split(" ")
-        distinct = set(rest)
-        missing = distinct.difference(self.young)
-        if head != head.strip() or not head or any(not p or p != p.strip() for p in missing):
+        if len(self.young) > WORDS_HELD:
+            self.young = Stretches(self, dict(self.young))
+        if len(self.pieces) > PIECES_HELD:
+            self.pieces.clear()
+        try:
+            head, *rest = text.split(" ")
+            if not head or head != head.strip():
+                raise Unsafe
+            ids = b"".join(map(self.young.__getitem__, rest))
+        except Unsafe:
             head, *rest = SAFE_BLANK.split(text)
-            distinct = set(rest)
-            missing = distinct.difference(self.young)
-        start = self.first.get(head)
-        if start is None:
-            start = self._encode([head])[0]
-            if len(self.first) < WORDS_HELD and len(head) <= LONGEST_HELD:
-                self.first[head] = start
-        if not missing:
-            return start + b"".join(map(self.young.__getitem__, rest))
-        known = self.young
-        found = self._learn(missing)
-        known = {p: known[p] for p in distinct.difference(missing)}
-        known.update(found)
-        return start + b"".join(map(known.__getitem__, rest))
+            safe = [p if p and p == p.strip() else None for p in rest]
+            ids = b"".join(
+                self.young[p] if p is not None else self.ids_of(self.blank + q) for p, q in zip(safe, rest)
+            )
+        return self.ids_of(head) + ids
 
 
 _CACHES = {}
