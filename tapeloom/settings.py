@@ -30,15 +30,21 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g"):
     )
 
 
+_LOCAL = []  # the one temporary folder of this process; it goes when the process ends
+
+
 def scratch_dir(spark, label):
     """A fresh folder for an intermediate table, on storage every executor can reach.
 
     ``spark.checkpoint.dir`` names the shared folder. Only a local-mode session, where
-    driver and executors are one machine, may fall back to a temporary folder.
+    driver and executors are one machine, may fall back to a temporary folder, which all
+    its scratch tables share and which is removed at exit.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/tapeloom-{label}-{uuid.uuid4().hex}"
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{tempfile.mkdtemp(prefix='tapeloom-')}/{label}"
+    if not _LOCAL:
+        _LOCAL.append(tempfile.TemporaryDirectory(prefix="tapeloom-", ignore_cleanup_errors=True))
+    return f"{_LOCAL[0].name}/{label}-{uuid.uuid4().hex}"
