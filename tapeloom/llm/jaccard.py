@@ -2,8 +2,8 @@
 
 1. A document's set is its distinct word shingles as 64-bit hashes. Equal sets are one node.
 2. Candidates, exactly: two sets of at least the wanted similarity differ in few shingles. If the
-   hash space is cut into one part more than that, at least one part is the same in both. So
-   every node is listed under the sum of each of its parts. A part holds about ten shingles, which
+   hash space is cut into more parts than that, at least one part is the same in both. So
+   every node is listed under the sum of each of its parts. A part holds several shingles, which
    unrelated documents do not share as a whole, however many passages they have in common.
 3. Nodes listed together form clusters. A cluster, sorted by set size, is cut into blocks, and
    pairs of blocks whose sizes can match are the tasks: in each the incidence matrix of one block
@@ -17,7 +17,7 @@ A link is lost only if 64-bit hashes collide (for 10^9 different sets: once in 4
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tapeloom.llm.graph import components
 from tapeloom.operators.spread import number_rows
@@ -28,7 +28,8 @@ BLOCK_NODES, BLOCK_SHINGLES, LEAST_NODES = 1024, 1 << 20, 16  # bounds of a bloc
 BROADCAST_NODES = 300_000  # nodes in clusters, 40 bytes each, up to which they are broadcast
 SPARSE = 16  # shingles in so many nodes or fewer are multiplied pair by pair
 
-SETS = "doc_id long, n_shingles long, node long, parts array<bigint>"
+SETS = "doc_id long, n_shingles long, node long"
+PARTS = "doc_id long, node long, parts array<bigint>"
 ROWS = "task string, node long, side int, grams binary"
 LINKS = "a long, b long"
 
@@ -82,18 +83,33 @@ class Parts:
     """The signatures under which a set is listed, for one similarity in percent."""
 
     def __init__(self, percent):
-        self.percent, self.lows = percent, size_classes(1, percent)
+        self.percent, self.lows, self.cuts = percent, size_classes(1, percent), {}
 
     def _class_of(self, size):
         if size >= self.lows[-1]:
             self.lows = size_classes(2 * size, self.percent)
         return int(np.searchsorted(self.lows, size, side="right")) - 1
 
+    def _cuts(self, number):
+        """(parts, spare): the parts of a class, and by how many they exceed the most that can differ.
+
+        |A - B| + |B - A| <= (1 - t) / (1 + t) * (|A| + |B|), both at most the largest size. Of the
+        equal parts of two linked sets, one has shingles if fewer than ``spare`` parts of either
+        are empty; there are as many spare ones as makes that the rule.
+        """
+        if number not in self.cuts:
+            largest, least = self.lows[number + 1] - 1, max(1, self.lows[number] * self.percent // 100)
+            differ = (100 - self.percent) * 2 * largest // (100 + self.percent)
+            spare = 1
+            for _ in range(50):
+                empty = (differ + spare) * np.exp(-least / (differ + spare))
+                spare = max(spare, int(empty + 3 * np.sqrt(empty)) + (differ > 0))
+            self.cuts[number] = differ + spare, spare
+        return self.cuts[number]
+
     def _listed(self, grams, sums, number, seed):
-        """Signatures by the parts of class ``number``, and whether a part has no shingle."""
-        largest = self.lows[number + 1] - 1
-        # |A - B| + |B - A| <= (1 - t) / (1 + t) * (|A| + |B|), both at most ``largest``.
-        parts = (100 - self.percent) * 2 * largest // (100 + self.percent) + 1
+        """Signatures by the parts of class ``number``, and whether too many parts have no shingle."""
+        parts, spare = self._cuts(number)
         if seed:
             keys = mixed(grams + _times_a(seed))
             order = np.argsort(keys)
@@ -105,14 +121,14 @@ class Parts:
         filled = np.flatnonzero(np.diff(cuts))
         totals = sums[cuts[filled + 1]] - sums[cuts[filled]]
         salt = mixed(filled.astype(np.uint64) * _C + _times_a(number * 64 + seed))
-        return mixed(totals ^ salt), len(filled) < parts
+        return mixed(totals ^ salt), parts - len(filled) >= spare
 
     def signatures(self, grams):
         """All signatures of a set.
 
         A part that is empty in both sets is equal too, but would list half the corpus together. A
-        set with an empty part is listed by another cut of the hash space as well, and so on until
-        a cut leaves no part empty; then an equal part is one with shingles.
+        set with as many empty parts as there are spare ones is listed by another cut of the hash
+        space as well, and so on until a cut leaves fewer; then an equal part is one with shingles.
         """
         if not len(grams):
             return np.empty(0, dtype=np.uint64)
@@ -136,23 +152,40 @@ def _signed(x):
     return pa.array(x.view(np.int64))
 
 
-def _sets(size, percent):
+def _node(grams):
+    """One number for a set."""
+    total = np.add.reduce(mixed(grams ^ _C)) if len(grams) else np.uint64(0)
+    return mixed(np.atleast_1d(total) + _times_a(len(grams)))[0]
+
+
+def _sets(size):
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(text.as_py(), size) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).cast(pa.int64()), pa.array(map(len, sets), pa.int64()),
+                 _signed(np.array([_node(s) for s in sets], dtype=np.uint64))],
+                names=["doc_id", "n_shingles", "node"],
+            )
+
+    return run
+
+
+def _listed(size, percent):
     def run(batches):
         parts = Parts(percent)
         for batch in batches:
-            sizes, nodes, listed, ends = [], [], [], [0]
+            nodes, listed, ends = [], [], [0]
             for text in batch.column(1):
                 grams = shingle_set(text.as_py(), size)
-                sizes.append(len(grams))
-                total = np.add.reduce(mixed(grams ^ _C)) if len(grams) else np.uint64(0)
-                nodes.append(mixed(np.atleast_1d(total) + _times_a(len(grams)))[0])
+                nodes.append(_node(grams))
                 listed.append(parts.signatures(grams))
                 ends.append(ends[-1] + len(listed[-1]))
             flat = np.concatenate(listed) if listed else np.empty(0, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), _signed(np.array(nodes, dtype=np.uint64)),
+                [batch.column(0).cast(pa.int64()), _signed(np.array(nodes, dtype=np.uint64)),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(flat))],
-                names=["doc_id", "n_shingles", "node", "parts"],
+                names=["doc_id", "node", "parts"],
             )
 
     return run
@@ -255,11 +288,28 @@ def _grams(size):
     return run
 
 
-def candidate_clusters(spark, sets):
-    """(node, cluster) of nodes listed under a signature together with another node."""
-    listed = sets.where("n_shingles > 0").select(F.explode("parts").alias("part"), "node")
-    shared = listed.groupBy("part").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other")
-    edges = listed.join(shared, "part").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+def candidate_clusters(spark, texts, sets, folder, size, percent):
+    """(node, cluster) of nodes listed under a signature together with another node.
+
+    Of documents with equal sets only one lists its parts, so copies are gone before the shuffle.
+    Signatures are made a second time from the texts rather than stored: they are about half as
+    large as the texts.
+    """
+    full = sets.where("n_shingles > 0")
+    owners = full.groupBy("node").agg(F.min("doc_id").alias("owner"), F.count("*").alias("rows")).where("rows > 1")
+    owners.drop("rows").write.parquet(f"{folder}/owners")
+    owners = spark.read.schema("node long, owner long").parquet(f"{folder}/owners")
+    if owners.count() <= BROADCAST_NODES:
+        owners = F.broadcast(owners)
+    made = texts.mapInArrow(_listed(size, percent), PARTS)
+    single = made.join(owners, "node", "left").where("owner IS NULL OR doc_id <=> owner")
+    listed = single.select(F.explode("parts").alias("part"), "node")
+    edges = (
+        listed.withColumn("hub", F.min("node").over(Window.partitionBy("part")))
+        .where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    )
+    edges.write.parquet(f"{folder}/candidates")
+    edges = spark.read.schema(LINKS).parquet(f"{folder}/candidates")
     return components(spark, edges).select("node", F.col("root").alias("cluster"))
 
 
@@ -297,9 +347,9 @@ def near_duplicates(documents, size=3, percent=90):
     spark = documents.sparkSession
     folder = scratch_dir(spark, "jaccard")
     texts = documents.select("doc_id", "text")
-    texts.mapInArrow(_sets(size, percent), SETS).write.parquet(f"{folder}/sets")
+    texts.mapInArrow(_sets(size), SETS).write.parquet(f"{folder}/sets")
     sets = spark.read.schema(SETS).parquet(f"{folder}/sets")
-    clusters = candidate_clusters(spark, sets)
+    clusters = candidate_clusters(spark, texts, sets, folder, size, percent)
     full = sets.where("n_shingles > 0")
     # Of equal sets, one document stands for the node.
     nodes = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
