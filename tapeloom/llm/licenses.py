@@ -2,12 +2,15 @@
 
 A sparse logistic regression over word n-grams is fitted here to variants of public notices and
 to paragraphs of the corpus that are none. Scoring is DataFrame work only: paragraphs (lines) are
-cut into n-grams, joined with the weights and summed. A paragraph without any anchor stem has no
-licence by definition, which spares most of the corpus the n-grams. A prediction is confirmed if
-enough of a template of the predicted family is found in the paragraph.
+cut into n-grams, joined with the weights and summed. Before that bounds from the weights, the most
+that a paragraph's words and n-grams can add to the lead of any family over unknown, spares most of the corpus
+the n-grams; it leaves out only what would be judged unknown. A prediction is confirmed if enough of
+a template of the predicted family is found in the paragraph.
 """
 
 import json
+import math
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -38,11 +41,16 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("proprietary", "Copyright. All rights reserved. No part may be reproduced without the prior written permission of the publisher."),
+    ("proprietary", "All rights reserved."),
+    ("GPL-3.0", "GPLv3"),
+    ("GPL-2.0", "GPLv2"),
+    ("LGPL-3.0", "LGPLv3"),
+    ("AGPL-3.0", "AGPLv3"),
+    ("CC-BY-4.0", "CC BY 4.0"),
+    ("CC-BY-SA-4.0", "CC BY-SA 4.0"),
+    ("CC-BY-NC-4.0", "CC BY-NC 4.0"),
 )
 
-# Every notice has a word with one of these stems.
-ANCHORS = ("licen", "copyright", "redistrib", "permission", "public domain")
-
 # Sentences with the words of notices that are none.
 DISTRACTORS = (
     "He lost his driving license on the way to the city.", "The license plate was covered with mud.",
@@ -52,9 +60,13 @@ DISTRACTORS = (
     "Poetic licence is a freedom of the writer.", "With the permission of the teacher we left.",
     "The redistribution of land took many years.", "Her work was released under a new name in 2004.",
     "The film entered the public domain of memory.", "The license fee pays for the public service.",
+    "All seats were reserved for the guests.", "The charter names the rights of all people.",
+    "He reserved the right to speak to all of them.", "Version 4.0 of the program came by post.",
 )
 
-SIZES = (1, 2, 3)  # words in an n-gram
+SIZES = (1, 2, 3)  # words in an n-gram, without a gap
+REACH_STEPS = 4  # steps of 1 that bounds are rounded up to
+LINE_CHARS = 20_000  # of a line that the model is fitted to
 
 
 def words_of(text):
@@ -135,29 +147,90 @@ def fit(negatives=(), steps=400, rate=0.5, l2=1e-3):
     return Classifier(classes, vocabulary, w, b, float(scales[int(np.argmin(loss))]))
 
 
-def _anchored(column):
-    found = F.lit(False)
-    for stem in ANCHORS:
-        found = found | F.contains(column, F.lit(stem))
-    return found
+def _reach(classifier):
+    """(by gram, by word, least): text whose n-grams or words reach less than ``least`` is judged unknown.
 
+    An n-gram reaches its largest gain of a family over unknown. For the bound by words it counts for
+    the one of its words that has the fewest n-grams. Neither sum is less than the lead of a family.
+    """
+    unknown = classifier.classes.index(UNKNOWN)
+    gains = np.maximum(0, (np.delete(classifier.weights, unknown, 1) - classifier.weights[:, [unknown]]).max(axis=1))
+    grams = dict(zip(classifier.grams, gains.tolist()))
+    uses = Counter(w for g in grams for w in set(g.split()))
+    words = {}
+    for gram, gain in grams.items():
+        word = min(gram.split(), key=lambda w: (uses[w], w))
+        words[word] = words.get(word, 0.0) + gain
+    slack = 1e-6 * len(grams)  # for rounded weights
+    return grams, {w: words.get(w, 0.0) for w in uses}, float(classifier.bias[unknown] - np.delete(classifier.bias, unknown).max()) - slack
 
-def paragraphs(documents):
-    """(doc_id, paragraph, words) of the lines of ``documents`` that hold an anchor stem."""
-    lowered = documents.select("doc_id", F.lower("text").alias("_text")).where(_anchored(F.col("_text")))
-    lines = lowered.select("doc_id", F.posexplode(F.split("_text", "\n")).alias("paragraph", "_line"))
-    return lines.where(_anchored(F.col("_line"))).select(
-        "doc_id", "paragraph", F.regexp_extract_all("_line", F.lit("[a-z0-9]+"), 0).alias("words")
-    )
+
+def _once(column):
+    """A column that is computed once a row, however often it is used: filters are not pushed below it."""
+    return F.explode(F.array(column))
+
+
+def _among(names):
+    return lambda item: item.isin(sorted(names))
+
+
+def _reaches(column, reach, least):
+    """Whether the sum of ``reach``, rounded up to steps so that each step is one set, is at least ``least``."""
+    steps = {}
+    for name, value in reach.items():
+        steps.setdefault(math.ceil(value * REACH_STEPS), []).append(name)
+
+    def add(total, item):
+        value = F.lit(0)
+        for step, names in sorted(steps.items()):
+            value = F.when(item.isin(names), step).otherwise(value) if step else value
+        return total + value
+
+    return (F.size(column) > 0) & (F.aggregate(column, F.lit(0), add) >= least * REACH_STEPS)
+
+
+def _pair(left, right):
+    return F.concat(left, F.lit(" "), right)  # null at the end of the words
+
+
+def paragraphs(documents, classifier):
+    """(doc_id, paragraph, words, grams) of the lines of ``documents`` that may be judged a notice.
+
+    ``grams`` are those of the vocabulary. A line with none of them, or whose words or n-grams cannot
+    lift a family above unknown, is left out.
+    """
+    by_gram, by_word, least = _reach(classifier)
+    lines = documents.select("doc_id", F.posexplode(F.split(F.lower("text"), "\n")).alias("paragraph", "_line"))
+    worded = lines.select("doc_id", "paragraph", _once(F.regexp_extract_all("_line", F.lit("[a-z0-9]+"), 0)).alias("words"))
+    # Words of no template become null, and so do the n-grams with them.
+    marked = worded.select("*", _once(F.transform("words", lambda w: F.when(_among(by_word)(w), w))).alias("_marked"))
+    known = marked.select("*", _once(F.array_distinct(F.array_compact("_marked"))).alias("_known"))
+    grams = sized = F.col("_marked")
+    for n in SIZES[1:]:
+        sized = F.zip_with(sized, F.slice("_marked", n, F.greatest(F.size("words"), F.lit(1))), _pair)
+        grams = F.concat(grams, sized)
+    near = known.where(_reaches("_known", by_word, least)).select(
+        "doc_id", "paragraph", "words", _once(F.array_distinct(F.array_compact(grams))).alias("_grams")
+    ).select("doc_id", "paragraph", "words", _once(F.filter("_grams", _among(by_gram))).alias("grams"))
+    return near.where(_reaches("grams", by_gram, least))
+
+
+def _runs(text):
+    """Runs of three words, or the whole of a shorter text."""
+    words = words_of(text)
+    n = min(len(words), max(SIZES))
+    return {" ".join(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
 def corpus_negatives(documents, n=400):
-    """At most ``n`` lines of the corpus without an anchor, first by hash: what is no notice."""
-    lines = documents.select(F.explode(F.split(F.col("text"), "\n")).alias("_line"))
-    plain = lines.where((F.length("_line") > 0) & ~_anchored(F.lower("_line")))
+    """At most ``n`` distinct lines of the corpus, first by hash, that share no run of words with a template."""
+    lines = documents.select(F.explode(F.split(F.col("text"), "\n")).alias("_line")).where(F.length("_line") > 0)
     # Only the words of the templates matter to the model, so a line may be cut.
-    chosen = plain.select(F.xxhash64("_line").alias("_h"), "_line").orderBy("_h", "_line").limit(n)
-    return [r["_line"] for r in chosen.collect()]
+    hashed = lines.select(F.xxhash64("_line").alias("_h"), F.substring("_line", 1, LINE_CHARS).alias("_line"))
+    last = hashed.select("_h").distinct().orderBy("_h").limit(4 * n).agg(F.max("_h")).first()[0]
+    chosen = hashed.where(F.col("_h") <= F.lit(last)).groupBy("_h").agg(F.min("_line").alias("_line")).orderBy("_h")
+    runs = set().union(*(_runs(t) for _, t in TEMPLATES))
+    return [r["_line"] for r in chosen.collect() if runs.isdisjoint(grams_of(r["_line"]))][:n]
 
 
 def _table(spark, rows, schema):
@@ -165,10 +238,6 @@ def _table(spark, rows, schema):
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
-def _gram_at(n):
-    return lambda i: F.array_join(F.slice("words", i, n), " ")
-
-
 def _add_weight(number):
     return lambda total, hit: total + hit["w"][number]
 
@@ -186,13 +255,9 @@ def find_licenses(spark, documents, classifier, threshold=0.5, cover=0.6):
     places = {g: [i for i, (_, t) in enumerate(TEMPLATES) if g in grams_of(t)] for g in classifier.grams}
     rows = [{"gram": g, "w": [round(float(v), 9) for v in classifier.weights[i]], "at": places[g]} for i, g in enumerate(classifier.grams)]
     weights = F.broadcast(_table(spark, rows, "gram string, w array<double>, at array<int>"))
-    lines = paragraphs(documents)
-    count = F.size("words")
-    grams = F.array_distinct(F.flatten(F.array(*(
-        F.transform(F.sequence(F.lit(1), F.greatest(count - (n - 1), F.lit(1))), _gram_at(n)) for n in SIZES
-    ))))
+    lines = paragraphs(documents, classifier)
     hits = lines.select(
-        "doc_id", "paragraph", F.xxhash64("words").alias("_same"), F.explode(grams).alias("gram")
+        "doc_id", "paragraph", F.xxhash64("words").alias("_same"), F.explode("grams").alias("gram")
     ).join(weights, "gram")
     k = len(classifier.classes)
     scored = hits.groupBy("doc_id", "paragraph", "_same").agg(
@@ -203,7 +268,7 @@ def find_licenses(spark, documents, classifier, threshold=0.5, cover=0.6):
         F.aggregate("_hits", F.lit(float(classifier.bias[c])), _add_weight(c)) for c in range(k)
     ))
     families = F.array(*map(F.lit, classifier.classes))
-    scored = scored.withColumn("_score", F.transform(total, lambda s: s / classifier.temperature))
+    scored = scored.select("*", _once(F.transform(total, lambda s: s / classifier.temperature)).alias("_score"))
     scored = scored.withColumn("_best", F.array_max("_score"))
     scored = scored.withColumn(
         "probability", 1 / F.aggregate("_score", F.lit(0.0), lambda a, s: a + F.exp(s - F.col("_best")))

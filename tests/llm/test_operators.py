@@ -258,6 +258,21 @@ def test_licences(spark, frame):
     assert licenses.find_licenses(spark, documents(frame, []), classifier).count() == 0
 
 
+def test_licence_notices_without_a_stem(spark, frame):
+    texts = ["All rights reserved.", "GPLv3", "CC BY-SA 4.0", "All seats were taken.", "The rights of the many.", "4.0 by 3"]
+    docs = documents(frame, [(i, f"{words(i, 20)}\n{t}\n{words(i + 50, 20)}") for i, t in enumerate(texts)])
+    classifier = licenses.fit(licenses.corpus_negatives(docs))
+    got = sorted((r.doc_id, r.paragraph, r.family, r.confirmed) for r in licenses.find_licenses(spark, docs, classifier).collect())
+    assert got == [(0, 1, "proprietary", True), (1, 1, "GPL-3.0", True), (2, 1, "CC-BY-SA-4.0", True)]
+    # No notice is taught as unknown, and what the bound leaves out is unknown.
+    assert not set(texts[:3]) & set(licenses.corpus_negatives(docs))
+    kept = {(r.doc_id, r.paragraph) for r in licenses.paragraphs(docs, classifier).collect()}
+    for i, text in enumerate(docs.orderBy("doc_id").toPandas()["text"]):
+        for n, line in enumerate(text.split("\n")):
+            chances = classifier.probabilities(line)
+            assert (i, n) in kept or max(chances, key=chances.get) == "unknown"
+
+
 # --- packing and token files -----------------------------------------------------------------
 
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
