@@ -1,8 +1,8 @@
 """Licence notices: a trained paragraph classifier, its unknown class calibrated, confirmed by templates.
 
 A sparse logistic regression over word n-grams is fitted here to variants of public notices and
-to paragraphs of the corpus that are none. Scoring is DataFrame work only: paragraphs (lines) are
-cut into n-grams, joined with the weights and summed. Before that bounds from the weights, the most
+to paragraphs of the corpus that are none. Scoring is DataFrame work only: paragraphs, parted by
+blank lines, and their single lines are cut into n-grams, joined with the weights and summed. Before that bounds from the weights, the most
 that a paragraph's words and n-grams can add to the lead of any family over unknown, spares most of the corpus
 the n-grams; it leaves out only what would be judged unknown. A prediction is confirmed if enough of
 a template of the predicted family is found in the paragraph.
@@ -13,6 +13,7 @@ import math
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "unknown"
@@ -193,15 +194,48 @@ def _pair(left, right):
     return F.concat(left, F.lit(" "), right)  # null at the end of the words
 
 
+PIECE = ("doc_id", "paragraph", "n_lines", "_block")
+
+
+def _pieces(documents):
+    """Each line of ``_text``, and each paragraph of several lines, as ``_piece``; blank lines part paragraphs.
+
+    ``paragraph`` is the number of its (first) line, ``n_lines`` the lines that are not blank, and
+    ``_block`` tells the paragraphs of a document apart.
+    """
+    full = F.transform(F.split("_text", "\n"), lambda line: line.rlike(r"\S"))
+    rows = documents.select("doc_id", "_text", _once(full).alias("_full")).where(F.col("_full").isNotNull())
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("_full") - 1),
+        lambda i: F.get("_full", i) & ~F.coalesce(F.get("_full", i - 1), F.lit(False)),
+    )
+    # As many as starts: the line feed put before the text lets blank lines at its start part, too.
+    blocks = F.filter(F.split(F.concat(F.lit("\n"), "_text"), r"\n(?:[^\S\n]*\n)+"), lambda block: block.rlike(r"\S"))
+    placed = rows.select("doc_id", F.explode(F.arrays_zip(starts.alias("at"), blocks.alias("text"))).alias("_b"))
+    whole = F.ltrim("_b.text", F.lit("\n"))
+    split = placed.select(
+        "doc_id", F.xxhash64("_b.at", "_b.text").alias("_block"), F.col("_b.at").alias("_at"),
+        F.translate(whole, "\n", " ").alias("_whole"), _once(F.split(whole, "\n")).alias("_lines"),
+    )
+    count = F.size(F.filter("_lines", lambda line: line.rlike(r"\S")))
+
+    def piece(at, n, text):
+        return F.struct(at.alias("paragraph"), n.alias("n_lines"), text.alias("_piece"))
+
+    lines = F.transform("_lines", lambda line, i: piece(F.col("_at") + i, F.lit(1), line))
+    several = F.filter(F.array(piece(F.col("_at"), count, F.col("_whole"))), lambda p: p["n_lines"] > 1)
+    return split.select("doc_id", "_block", F.inline(F.concat(lines, several)))
+
+
 def paragraphs(documents, classifier):
-    """(doc_id, paragraph, words, grams) of the lines of ``documents`` that may be judged a notice.
+    """The pieces of ``documents`` that may be judged a notice, with their words and grams.
 
-    ``grams`` are those of the vocabulary. A line with none of them, or whose words or n-grams cannot
+    ``grams`` are those of the vocabulary. A piece with none of them, or whose words or n-grams cannot
     lift a family above unknown, is left out.
     """
     by_gram, by_word, least = _reach(classifier)
-    lines = documents.select("doc_id", F.posexplode(F.split(F.lower("text"), "\n")).alias("paragraph", "_line"))
-    worded = lines.select("doc_id", "paragraph", _once(F.regexp_extract_all("_line", F.lit("[a-z0-9]+"), 0)).alias("words"))
+    pieces = _pieces(documents.select("doc_id", F.lower("text").alias("_text")))
+    worded = pieces.select(*PIECE, _once(F.regexp_extract_all("_piece", F.lit("[a-z0-9]+"), 0)).alias("words"))
     # Words of no template become null, and so do the n-grams with them.
     marked = worded.select("*", _once(F.transform("words", lambda w: F.when(_among(by_word)(w), w))).alias("_marked"))
     known = marked.select("*", _once(F.array_distinct(F.array_compact("_marked"))).alias("_known"))
@@ -210,8 +244,8 @@ def paragraphs(documents, classifier):
         sized = F.zip_with(sized, F.slice("_marked", n, F.greatest(F.size("words"), F.lit(1))), _pair)
         grams = F.concat(grams, sized)
     near = known.where(_reaches("_known", by_word, least)).select(
-        "doc_id", "paragraph", "words", _once(F.array_distinct(F.array_compact(grams))).alias("_grams")
-    ).select("doc_id", "paragraph", "words", _once(F.filter("_grams", _among(by_gram))).alias("grams"))
+        *PIECE, "words", _once(F.array_distinct(F.array_compact(grams))).alias("_grams")
+    ).select(*PIECE, "words", _once(F.filter("_grams", _among(by_gram))).alias("grams"))
     return near.where(_reaches("grams", by_gram, least))
 
 
@@ -223,9 +257,9 @@ def _runs(text):
 
 
 def corpus_negatives(documents, n=400):
-    """At most ``n`` distinct lines of the corpus, first by hash, that share no run of words with a template."""
-    lines = documents.select(F.explode(F.split(F.col("text"), "\n")).alias("_line")).where(F.length("_line") > 0)
-    # Only the words of the templates matter to the model, so a line may be cut.
+    """At most ``n`` distinct lines and paragraphs of the corpus, first by hash, that share no run of words with a template."""
+    lines = _pieces(documents.select("doc_id", F.col("text").alias("_text"))).select(F.col("_piece").alias("_line")).where(F.length("_line") > 0)
+    # Only the words of the templates matter to the model, so a piece may be cut.
     hashed = lines.select(F.xxhash64("_line").alias("_h"), F.substring("_line", 1, LINE_CHARS).alias("_line"))
     last = hashed.select("_h").distinct().orderBy("_h").limit(4 * n).agg(F.max("_h")).first()[0]
     chosen = hashed.where(F.col("_h") <= F.lit(last)).groupBy("_h").agg(F.min("_line").alias("_line")).orderBy("_h")
@@ -245,9 +279,11 @@ def _add_weight(number):
 def find_licenses(spark, documents, classifier, threshold=0.5, cover=0.6):
     """A row for each paragraph of ``documents`` (doc_id, text) that is a licence notice.
 
-    Columns: doc_id, paragraph (line number from 0), family, probability, template (its number),
-    similarity (the share of the template's n-grams found) and confirmed (at least ``cover``, for a
-    template of that family). Paragraphs whose likeliest class is unknown, or has less than
+    Columns: doc_id, paragraph (number of its first line, from 0), family, probability, template (its
+    number), similarity (the share of the template's n-grams found), confirmed (at least ``cover``, for
+    a template of that family) and n_lines. Single lines and paragraphs of several lines, joined by
+    blanks, are judged alike; where a line has as much of a template as its paragraph the line is
+    given, else the paragraph, without its unconfirmed lines. Paragraphs whose likeliest class is unknown, or has less than
     ``threshold``, give no row. Rows equal in doc_id are told apart by their text. Null texts have
     no paragraphs, and a null doc_id is kept.
     """
@@ -257,10 +293,10 @@ def find_licenses(spark, documents, classifier, threshold=0.5, cover=0.6):
     weights = F.broadcast(_table(spark, rows, "gram string, w array<double>, at array<int>"))
     lines = paragraphs(documents, classifier)
     hits = lines.select(
-        "doc_id", "paragraph", F.xxhash64("words").alias("_same"), F.explode("grams").alias("gram")
+        *PIECE, F.xxhash64("words").alias("_same"), F.explode("grams").alias("gram")
     ).join(weights, "gram")
     k = len(classifier.classes)
-    scored = hits.groupBy("doc_id", "paragraph", "_same").agg(
+    scored = hits.groupBy(*PIECE, "_same").agg(
         # Repeated rows of a document have the same grams; each is counted once.
         F.collect_set(F.struct("gram", "w", "at")).alias("_hits")
     )
@@ -283,8 +319,17 @@ def find_licenses(spark, documents, classifier, threshold=0.5, cover=0.6):
         ),
     )
     found = found.withColumn("_match", F.array_max(compared))
-    return found.select(
-        "doc_id", "paragraph", "family", F.round("probability", 6).alias("probability"),
+    found = found.select(
+        *PIECE, "family", F.round("probability", 6).alias("probability"),
         (-F.col("_match.i")).alias("template"), F.round("_match.similarity", 6).alias("similarity"),
         (F.col("_match.similarity") >= cover).alias("confirmed"),
     )
+    # A paragraph stands for the lines of a wrapped notice, and a line for a paragraph that says no more.
+    block = Window.partitionBy("doc_id", "_block")
+    several = F.col("n_lines") > 1
+    by_line = F.max(F.when(~several, F.col("similarity"))).over(block.partitionBy("doc_id", "_block", "family"))
+    found = found.withColumn("_by_line", by_line).where(~several | F.col("_by_line").isNull() | (F.col("_by_line") < F.col("similarity")))
+    found = found.withColumn("_whole", F.max(F.when(several, F.struct("confirmed", "similarity", "family"))).over(block))
+    fragment = F.col("_whole.confirmed") | ((F.col("_whole.family") == F.col("family")) & (F.col("_whole.similarity") > F.col("similarity")))
+    found = found.where(several | F.col("confirmed") | ~F.coalesce(fragment, F.lit(False)))
+    return found.select("doc_id", "paragraph", "family", "probability", "template", "similarity", "confirmed", "n_lines")

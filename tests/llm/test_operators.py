@@ -273,6 +273,18 @@ def test_licence_notices_without_a_stem(spark, frame):
             assert (i, n) in kept or max(chances, key=chances.get) == "unknown"
 
 
+def test_licence_notices_wrapped_over_lines(spark, frame):
+    wrapped = [(i, family, text.split()) for i, (family, text) in enumerate(licenses.TEMPLATES) if len(text.split()) >= 15 and "rights reserved" not in text]
+    rows = []
+    for i, _, found in wrapped:
+        lines = [" ".join(found[k : k + 4]) for k in range(0, len(found), 4)]
+        rows.append((i, " \n" + words(i, 20) + "\n\n\n# " + "\n# ".join(lines) + "\n \t\n" + words(i + 50, 20)))
+    docs = documents(frame, [*rows, (99, "\n".join(words(i, 9) for i in range(60)))])
+    found = licenses.find_licenses(spark, docs, licenses.fit(licenses.corpus_negatives(docs))).collect()
+    got = sorted((r.doc_id, r.paragraph, r.family, r.similarity, r.confirmed, r.n_lines) for r in found)
+    assert got == [(i, 4, family, 1.0, True, -(-len(w) // 4)) for i, family, w in wrapped]
+
+
 # --- packing and token files -----------------------------------------------------------------
 
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
