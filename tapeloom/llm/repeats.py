@@ -18,8 +18,9 @@ repeats can be, and in parts that do not need each other:
 4. Every occurrence of a group but the earliest is removed; spans of all groups are merged.
 
 A task holds one batch of parts, ``BATCH_BYTES`` or one anchor's different stretches. Anchors with
-more than ``HOT`` occurrences are split window by window, so that a part holds copies of one
-window only, of which equal ones are kept once; memory is bounded then too.
+more than ``HOT`` occurrences are split window by window, and equal windows are grouped by Spark without
+Python: the first occurrence is found before the shuffle and joined back, by broadcast where a window
+is in more than ``HOT`` documents, so no task holds all occurrences of one.
 """
 
 import hashlib
@@ -218,8 +219,8 @@ def _listed(length):
     return run
 
 
-def _cut(length, hot):
-    """Stretches around the anchors of ``again``; those of hot anchors window by window.
+def _cut(length, hot, windows=False):
+    """Stretches around the anchors of ``again`` that are not hot, or ``windows`` of those that are.
 
     Equal stretches of a document are one row with all their places.
     """
@@ -240,7 +241,9 @@ def _cut(length, hot):
                 at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
                 for i in np.flatnonzero(wanted[at] == hashes):
                     start, count, part = int(starts[i]), int(counts[i]), int(hashes[i].view(np.int64))
-                    if part in hot:
+                    if (part in hot) != windows:
+                        continue
+                    if windows:
                         prints = rolling(data[start : start + count + length - 1], length).view(np.int64)
                         for j, single in enumerate(prints.tolist()):
                             kind = single, -1, 1, raw[start + j : start + j + length]
@@ -369,9 +372,35 @@ class Repeats:
         # At most anchors / HOT parts can be hot.
         hot = frozenset(r["part"] for r in counts.where(F.col("n") > HOT).select("part").collect())
         again = listed.join(counts, "part").groupBy("doc").agg(F.collect_set("part").alias("again"))
-        stretches = texts.join(again, "doc").select("doc", "tie", "text", "again").mapInArrow(_cut(self.length, hot), STRETCHES)
+        wanted = texts.join(again, "doc").select("doc", "tie", "text", "again")
+        stretches = wanted.mapInArrow(_cut(self.length, hot), STRETCHES)
         ordered = stretches.repartition("part").sortWithinPartitions("part", "bytes", "before", "n_windows", "doc", "tie")
-        return ordered.mapInArrow(_grouped(self.length), GROUPS)
+        groups = ordered.mapInArrow(_grouped(self.length), GROUPS)
+        if not hot:
+            return groups
+        windows = wanted.mapInArrow(_cut(self.length, hot, windows=True), STRETCHES).select("bytes", "doc", "tie", "starts")
+        return groups.unionByName(self._hot_groups(windows))
+
+    def _hot_groups(self, windows):
+        """A group for each of ``windows`` that occurs again, without a task that holds all its occurrences."""
+        windows.write.parquet(f"{self.folder}/windows")
+        windows = self.spark.read.schema("bytes binary, doc long, tie long, starts array<bigint>").parquet(f"{self.folder}/windows")
+        place = F.struct("doc", "tie", F.array_min("starts").alias("start"))
+        firsts = windows.groupBy("bytes").agg(F.min(place).alias("least"), F.sum(F.size("starts")).alias("n"), F.count("*").alias("n_rows"))
+        firsts.where("n > 1").select("bytes", "least", "n_rows").write.parquet(f"{self.folder}/firsts")
+        firsts = self.spark.read.schema(
+            "bytes binary, least struct<doc:bigint,tie:bigint,start:bigint>, n_rows long"
+        ).parquet(f"{self.folder}/firsts")
+        # At most rows / HOT windows are in more than HOT rows; others are joined by shuffle.
+        heavy = F.broadcast(firsts.where(F.col("n_rows") > HOT).select("bytes", "least"))
+        light = firsts.where(F.col("n_rows") <= HOT).select("bytes", "least")
+        joined = windows.join(heavy, "bytes").unionByName(windows.join(heavy, "bytes", "left_anti").join(light, "bytes"))
+        placed = joined.select("least", "doc", "tie", F.explode("starts").alias("start"))
+        name = F.concat_ws(":", "least.doc", "least.tie", "least.start", F.lit(self.length))
+        return placed.select(
+            name.alias("group"), F.lit(self.length).alias("length"), "doc", "tie", "start",
+            (F.struct("doc", "tie", "start") == F.col("least")).alias("first"),
+        )
 
     def removed(self):
         """(doc, tie, spans): merged runs [start, stop) that occur earlier, of every original with any."""

@@ -211,6 +211,20 @@ def test_repeats_equal_brute_force(spark, frame, monkeypatch, hot, batch, small)
     assert got == plain_removal(rows)
 
 
+@pytest.mark.parametrize("hot", [1, 3])
+def test_hot_windows_do_not_meet_in_python(spark, frame, monkeypatch, hot):
+    def refuse(length):
+        return lambda batches: (batch for batch in batches if batch is None)
+
+    passage = words(43, 60)
+    rows = [(i, words(100 + i, 12) + " " + passage + " " + words(200 + i, 12)) for i in range(12)]
+    rows.append((20, passage + " " + words(44, 5) + " " + passage))
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "_grouped", refuse)
+    got = sorted((tuple(r) for r in repeats.removal_digests(documents(frame, rows)).collect()), key=repr)
+    assert got == plain_removal(rows)
+
+
 def test_repeat_groups_are_maximal_and_complete(spark, frame):
     passage = words(30, 60)
     rows = [(i, f"{chr(65 + i)}{passage}{chr(80 + i)}" + words(31 + i, 10)) for i in range(5)]
