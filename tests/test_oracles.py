@@ -33,3 +33,9 @@ def test_slicing_every_busy_key_changes_nothing(spark, connection, monkeypatch,
     monkeypatch.setattr(spread, "ROWS_PER_SLICE", 1)
     problem, _ = differences(spark, connection, FOLDER, name)
     assert problem is None, problem
+
+
+def test_span_tables_are_compared_in_every_bar_column(spark):
+    rows = catalog.QUERIES["market_span_tables"](spark, FOLDER)
+    assert rows.columns == [*catalog.DAY, "span", "row_no", *catalog.BARS]
+    assert {r["span"] for r in rows.select("span").distinct().collect()} == set(catalog.HISTORY_SPANS)
