@@ -3,7 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tapeloom.llm import chat, decontaminate, jaccard, langid, licenses, packing, quality, repeats, tokenfile, warc
+from tapeloom.llm import (
+    chat, decontaminate, jaccard, langid, licenses, packing, quality, repeats, tokenfile, warc, windows,
+)
 from tapeloom.llm.ship import ship
 from tapeloom.settings import scratch_dir
 
@@ -125,3 +127,10 @@ def op10_simple8b_tokens(spark, folder):
         joins_blanks=False, end_id=1,
     )
     return tokenfile.read_index(spark, path)
+
+
+@query
+def op13_order_preserving_windows(spark, folder):
+    return windows.pack_in_order(
+        table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), joins_blanks=False, end_id=2
+    )
