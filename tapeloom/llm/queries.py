@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tapeloom.llm import (
-    chat, decontaminate, jaccard, langid, licenses, packing, quality, repeats, tokenfile, warc, windows,
+    chat, decontaminate, jaccard, langid, licenses, packing, quality, repeats, tokenfile, warc, whitening,
+    windows,
 )
 from tapeloom.llm.ship import ship
 from tapeloom.settings import scratch_dir
@@ -129,6 +130,11 @@ def op10_simple8b_tokens(spark, folder):
     return tokenfile.read_index(spark, path)
 
 
+@query
+def op12_jacobi_davidson_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 @query
 def op13_order_preserving_windows(spark, folder):
     return windows.pack_in_order(
