@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tapeloom.llm import (
-    chat, decontaminate, jaccard, langid, licenses, packing, quality, repeats, tokenfile, warc, whitening,
-    windows,
+    alignment, chat, decontaminate, jaccard, langid, licenses, packing, quality, repeats, tokenfile, warc,
+    whitening, windows,
 )
 from tapeloom.llm.ship import ship
 from tapeloom.settings import scratch_dir
@@ -130,6 +130,14 @@ def op10_simple8b_tokens(spark, folder):
     return tokenfile.read_index(spark, path)
 
 
+@query
+def op11_arrow_token_alignment(spark, folder):
+    return alignment.align_tokens(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 @query
 def op12_jacobi_davidson_whitening(spark, folder):
     return whitening.whiten(table(spark, folder, "embeddings"))

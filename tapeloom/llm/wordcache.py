@@ -103,16 +103,17 @@ class WordCache:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit bytes.
 
     ``path`` names a tokenizer file. With ``joins_blanks`` a blank belongs to the word after it,
-    as in byte-level vocabularies; else white space only separates. A null or empty text has no
-    ids. Memory is bounded by two generations: when the young one is full it becomes the old one,
+    as in byte-level vocabularies; else white space only separates. With ``plain_specials`` the
+    strings of special tokens are text like other text. A null or empty text has no ids. Memory is bounded by two generations: when the young one is full it becomes the old one,
     and words still in use move back.
     """
 
-    def __init__(self, path, joins_blanks):
+    def __init__(self, path, joins_blanks, plain_specials=False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker on every core already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain_specials
         self.blank = " " if joins_blanks else ""
         self.young = Stretches(self, {})
         with open(path, encoding="utf-8") as file:
@@ -150,13 +151,25 @@ class WordCache:
             )
         return self.ids_of(head) + ids
 
+    def encode_after_blank(self, text):
+        """``encode`` of a blank and ``text``, where blanks join the word after them; the head is remembered too."""
+        try:
+            ids = b"".join(map(self.young.__getitem__, text.split(" ")))
+        except Unsafe:
+            return self.encode(" " + text)
+        if len(self.young) > WORDS_HELD:
+            self.young = Stretches(self, dict(self.young))
+        if len(self.pieces) > PIECES_HELD:
+            self.pieces.clear()
+        return ids
+
 
 _CACHES = {}
 
 
-def cached(path, joins_blanks):
+def cached(path, joins_blanks, plain_specials=False):
     """The worker's own ``WordCache`` for a tokenizer file, kept from task to task."""
-    key = path, joins_blanks
+    key = path, joins_blanks, plain_specials
     if key not in _CACHES:
-        _CACHES[key] = WordCache(path, joins_blanks)
+        _CACHES[key] = WordCache(*key)
     return _CACHES[key]
