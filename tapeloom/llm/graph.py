@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from tapeloom.settings import scratch_dir
 
+ROUNDS = 100  # the logarithm of the longest chain, with room to spare
+
 
 def _large_star(edges):
     """Every neighbour larger than a node is tied to the smallest node the node can see."""
@@ -25,7 +27,7 @@ def _small_star(edges):
 def components(spark, edges):
     """(node, root) of every node of ``edges`` (a, b); root is the smallest node it can reach.
 
-    Rounds grow with the logarithm of the longest chain. Each is written to the shared folder, so
+    Raises if ``ROUNDS`` do not settle it. Rounds grow with the logarithm of the longest chain. Each is written to the shared folder, so
     lineage stays short and a lost executor costs one round. Nothing of the graph is collected but
     three sums a round. Loops and repeated edges do no harm; edges with a null end are left out.
     """
@@ -33,7 +35,7 @@ def components(spark, edges):
     larger, smaller = F.greatest("a", "b"), F.least("a", "b")
     now = edges.where("a <> b").select(larger.alias("a"), smaller.alias("b")).distinct()
     before = None
-    for turn in range(100):
+    for turn in range(ROUNDS):
         now = _small_star(now if turn == 0 else _large_star(now).where("a <> b").distinct()).distinct()
         now.write.parquet(f"{folder}/{turn}")
         now = spark.read.schema("a long, b long").parquet(f"{folder}/{turn}")
@@ -43,5 +45,7 @@ def components(spark, edges):
         if sums == before:
             break
         before = sums
+    else:
+        raise ArithmeticError(f"components have not settled after {ROUNDS} rounds")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

@@ -5,10 +5,16 @@
    hash space is cut into more parts than that, at least one part is the same in both. So
    every node is listed under the sum of each of its parts. A part holds several shingles, which
    unrelated documents do not share as a whole, however many passages they have in common.
-3. Nodes listed together form clusters. A cluster, sorted by set size, is cut into blocks, and
-   pairs of blocks whose sizes can match are the tasks: in each the incidence matrix of one block
-   is multiplied with that of the other, which counts the overlaps of all pairs at once.
-4. Pairs that reach the bound given by their sizes are links. A task returns a spanning forest of
+3. Nodes listed together are often so by chance: a part may hold no more than shingles of a passage
+   that many documents share. So each node has a sketch, the number of its shingles in each cell of
+   the hash space. The sum of the lesser counts bounds an overlap from above, so a pair that stays
+   below the wanted similarity by it is no link. First every node is held against the least one
+   it is listed with; where that leaves a signature's nodes in several components, all of them are
+   compared in blocks. What stays plausible forms clusters, which shared passages do not chain.
+4. A cluster, sorted by set size, is cut into blocks, and pairs of blocks whose sizes can match are
+   the tasks: in each the incidence matrix of one block is multiplied with that of the other, which
+   counts the overlaps of all pairs at once.
+5. Pairs that reach the bound given by their sizes are links. A task returns a spanning forest of
    its links, at most as many edges as it has nodes, so a group of copies never becomes all pairs.
 
 A link is lost only if 64-bit hashes collide (for 10^9 different sets: once in 40 runs).
@@ -20,17 +26,17 @@ import xxhash
 from pyspark.sql import Window, functions as F
 
 from tapeloom.llm.graph import components
-from tapeloom.operators.spread import number_rows
+from tapeloom.operators.spread import number_rows, spread_join
 from tapeloom.settings import scratch_dir
 
 WORDS_HELD = 200_000  # hashes of words a worker remembers
 BLOCK_NODES, BLOCK_SHINGLES, LEAST_NODES = 1024, 1 << 20, 16  # bounds of a block
-BROADCAST_NODES = 300_000  # nodes in clusters, 40 bytes each, up to which they are broadcast
+BROADCAST_NODES = 300_000  # rows of at most 40 bytes up to which a written table is broadcast
 SPARSE = 16  # shingles in so many nodes or fewer are multiplied pair by pair
 
-SETS = "doc_id long, n_shingles long, node long"
-PARTS = "doc_id long, node long, parts array<bigint>"
-ROWS = "task string, node long, side int, grams binary"
+SETS = "doc_id long, tag long, n_shingles long, node long, sketch binary"
+PARTS = "doc_id long, tag long, node long, parts array<bigint>"
+SKETCHED = "node long, n long, sketch binary"
 LINKS = "a long, b long"
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -145,6 +151,8 @@ class Parts:
                 found.append(signatures)
                 if not gaps:
                     break
+            else:
+                raise ArithmeticError(f"no cut of the hash space fills the parts of {len(grams)} shingles")
         return np.concatenate(found)
 
 
@@ -158,14 +166,39 @@ def _node(grams):
     return mixed(np.atleast_1d(total) + _times_a(len(grams)))[0]
 
 
+def sketch(grams):
+    """How many shingles fall in each of a power of two of cells, 2 to 4 a cell; 255 stands for more."""
+    if not len(grams):
+        return b""
+    bits = max(4, int(len(grams)).bit_length() - 2)
+    counts = np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _folded(data, cells):
+    """A sketch with fewer cells; counts are 16 bits wide, and one that was 255 is beyond all others."""
+    counts = np.frombuffer(data, dtype=np.uint8).astype(np.uint16)
+    counts[counts == 255] = 1 << 14
+    return np.minimum(counts.reshape(cells, -1).sum(axis=1, dtype=np.uint32), 1 << 14).astype(np.uint16)
+
+
+def plausible(one, others, sizes, percent):
+    """Which of ``others`` may reach the similarity with ``one``: (size, folded sketch), rows of sketches, sizes."""
+    n, cells = one
+    bound = np.minimum(cells, others).sum(axis=1, dtype=np.int64)
+    bound = np.minimum(bound, np.minimum(n, sizes))
+    return 100 * bound >= percent * (n + sizes - bound)
+
+
 def _sets(size):
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(text.as_py(), size) for text in batch.column(1)]
+            sets = [shingle_set(text.as_py(), size) for text in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(map(len, sets), pa.int64()),
-                 _signed(np.array([_node(s) for s in sets], dtype=np.uint64))],
-                names=["doc_id", "n_shingles", "node"],
+                [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(map(len, sets), pa.int64()),
+                 _signed(np.array([_node(s) for s in sets], dtype=np.uint64)),
+                 pa.array([sketch(s) for s in sets], pa.binary())],
+                names=["doc_id", "tag", "n_shingles", "node", "sketch"],
             )
 
     return run
@@ -176,21 +209,47 @@ def _listed(size, percent):
         parts = Parts(percent)
         for batch in batches:
             nodes, listed, ends = [], [], [0]
-            for text in batch.column(1):
+            for text in batch.column(2):
                 grams = shingle_set(text.as_py(), size)
                 nodes.append(_node(grams))
                 listed.append(parts.signatures(grams))
                 ends.append(ends[-1] + len(listed[-1]))
             flat = np.concatenate(listed) if listed else np.empty(0, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), _signed(np.array(nodes, dtype=np.uint64)),
+                [batch.column(0).cast(pa.int64()), batch.column(1), _signed(np.array(nodes, dtype=np.uint64)),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(flat))],
-                names=["doc_id", "node", "parts"],
+                names=["doc_id", "tag", "node", "parts"],
             )
 
     return run
 
 
+def _plausible_edges(percent):
+    """Edges (a, b) of rows (a, b, n, m, sketch, sketch of b) that are not ruled out."""
+    def run(batches):
+        for batch in batches:
+            found = []
+            for a, b, n, m, left, right in zip(*(c.to_pylist() for c in batch.columns)):
+                cells = min(len(left), len(right))
+                if plausible((n, _folded(left, cells)), _folded(right, cells)[None, :], np.array([m]), percent)[0]:
+                    found.append((a, b))
+            yield _edges(found)
+
+    return run
+
+
+def plausible_forest(left, right, percent):
+    """Edges of a spanning forest of the plausible pairs of two lists of (node, size, sketch)."""
+    cells = min(len(x[2]) for x in (*left, *right))
+    tables = [
+        (np.array([x[1] for x in side], dtype=np.int64), np.stack([_folded(x[2], cells) for x in side]))
+        for side in (left, right)
+    ]
+    (n, a), (m, b) = tables
+    hits = np.stack([plausible((n[i], a[i]), b, m, percent) for i in range(len(left))])
+    return forest(hits, [x[0] for x in left], [x[0] for x in right])
+
+
 def overlaps(left, right):
     """Overlap counts (left, right) of two lists of shingle sets: a product of incidence matrices."""
     counts = np.zeros((len(left), len(right)), dtype=np.float32)
@@ -250,29 +309,45 @@ def forest(links, left, right):
     return found
 
 
-def _products(percent):
-    def links_of(held):
-        left = [(node, grams) for node, side, grams in held if side != 2]
-        right = [(node, grams) for node, side, grams in held if side == 2] or left
-        hits = linked([g for _, g in left], [g for _, g in right], percent)
-        return [e for e in forest(hits, [n for n, _ in left], [n for n, _ in right]) if e[0] != e[1]]
-
+def _by_task(links_of):
+    """``links_of`` the rows (side, node, ...) of each task, of batches sorted by task."""
     def run(batches):
         task, held = None, []
         for batch in batches:
             found = []
-            tasks = batch.column(0).to_pylist()
-            for i, name in enumerate(tasks):
+            for name, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if name != task:
                     found.extend(links_of(held))
                     task, held = name, []
-                held.append((batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), np.frombuffer(batch.column(3)[i].as_py(), dtype="<u8")))
+                held.append(row)
             yield _edges(found)
         yield _edges(links_of(held))
 
     return run
 
 
+def _two_sides(held):
+    left = [row for side, *row in held if side != 2]
+    return left, [row for side, *row in held if side == 2] or left
+
+
+def _products(percent):
+    def links_of(held):
+        left, right = ([(node, np.frombuffer(grams, dtype="<u8")) for node, grams in side] for side in _two_sides(held))
+        hits = linked([g for _, g in left], [g for _, g in right], percent)
+        return [e for e in forest(hits, [n for n, _ in left], [n for n, _ in right]) if e[0] != e[1]]
+
+    return _by_task(links_of)
+
+
+def _plausible_products(percent):
+    def links_of(held):
+        left, right = _two_sides(held)
+        return [e for e in plausible_forest(left, right, percent) if e[0] != e[1]] if held else []
+
+    return _by_task(links_of)
+
+
 def _edges(found):
     return pa.RecordBatch.from_arrays(
         [pa.array([e[i] for e in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
@@ -280,36 +355,88 @@ def _edges(found):
 
 
 def _grams(size):
+    """Shingles of the texts whose set is the wanted ``node``; other texts of the same key are passed over."""
     def run(batches):
         for batch in batches:
-            grams = [shingle_set(t.as_py(), size).astype("<u8").tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(grams, pa.binary())], names=["node", "grams"])
+            wanted = batch.column("node").to_pylist()
+            sets = [shingle_set(t.as_py(), size) for t in batch.column("text")]
+            kept = [(n, s) for n, s in zip(wanted, sets) if int(_node(s).view(np.int64)) == n]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n for n, _ in kept], pa.int64()), pa.array([s.astype("<u8").tobytes() for _, s in kept], pa.binary())],
+                names=["node", "grams"],
+            )
 
     return run
 
 
-def candidate_clusters(spark, texts, sets, folder, size, percent):
-    """(node, cluster) of nodes listed under a signature together with another node.
+def _bounded(frame):
+    """A broadcast hint for a written table of at most ``BROADCAST_NODES`` rows."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_NODES else frame
+
+
+def _left_join(rows, written, key):
+    """``rows`` with the columns of a written table; a key that many rows share is cut into slices."""
+    if written.count() <= BROADCAST_NODES:
+        return rows.join(F.broadcast(written), key, "left")
+    return spread_join(rows, written, [key], ["doc_id", "tag"], how="left")
+
+
+def listed_together(spark, texts, sets, folder, size, percent):
+    """(part, node, hub) of nodes listed under a signature with others; ``hub`` is the least of them.
 
     Of documents with equal sets only one lists its parts, so copies are gone before the shuffle.
     Signatures are made a second time from the texts rather than stored: they are about half as
     large as the texts.
     """
-    full = sets.where("n_shingles > 0")
-    owners = full.groupBy("node").agg(F.min("doc_id").alias("owner"), F.count("*").alias("rows")).where("rows > 1")
-    owners.drop("rows").write.parquet(f"{folder}/owners")
-    owners = spark.read.schema("node long, owner long").parquet(f"{folder}/owners")
-    if owners.count() <= BROADCAST_NODES:
-        owners = F.broadcast(owners)
+    owners = sets.where("n_shingles > 0").groupBy("node").agg(
+        F.min(F.struct("doc_id", "tag")).alias("owner"), F.count("*").alias("rows")
+    ).where("rows > 1")
+    owners.select("node", F.col("owner.doc_id").alias("owner_id"), F.col("owner.tag").alias("owner_tag")).write.parquet(f"{folder}/owners")
+    owners = _bounded(spark.read.schema("node long, owner_id long, owner_tag long").parquet(f"{folder}/owners"))
     made = texts.mapInArrow(_listed(size, percent), PARTS)
-    single = made.join(owners, "node", "left").where("owner IS NULL OR doc_id <=> owner")
-    listed = single.select(F.explode("parts").alias("part"), "node")
-    edges = (
-        listed.withColumn("hub", F.min("node").over(Window.partitionBy("part")))
-        .where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    lists = F.col("owner_tag").isNull() | ((F.col("tag") == F.col("owner_tag")) & F.col("doc_id").eqNullSafe(F.col("owner_id")))
+    single = made.join(owners, "node", "left").where(lists)
+    # Rows equal in doc_id and text still list the same parts twice: they are one node.
+    part = Window.partitionBy("part")
+    hubs = single.select(F.explode("parts").alias("part"), "node").withColumns(
+        {"hub": F.min("node").over(part), "_last": F.max("node").over(part)}
     )
-    edges.write.parquet(f"{folder}/candidates")
-    edges = spark.read.schema(LINKS).parquet(f"{folder}/candidates")
+    hubs.where("hub <> _last").drop("_last").write.parquet(f"{folder}/listed")
+    return spark.read.schema("part long, node long, hub long").parquet(f"{folder}/listed")
+
+
+def candidate_clusters(spark, listed, sets, folder, percent):
+    """(node, cluster) of nodes that a chain of plausible pairs ties together."""
+    members = listed.select("node").distinct()
+    sketched = sets.select("node", F.col("n_shingles").alias("n"), "sketch").join(members, "node", "left_semi")
+    sketched.dropDuplicates(["node"]).write.parquet(f"{folder}/sketched")
+    sketched = spark.read.schema(SKETCHED).parquet(f"{folder}/sketched")
+    stars = listed.where("node <> hub").select("node", "hub").distinct().join(sketched, "node")
+    hubs = sketched.select(F.col("node").alias("hub"), F.col("n").alias("m"), F.col("sketch").alias("sketch2"))
+    sizes_fit = "100 * least(n, m) >= %d * greatest(n, m)" % percent
+    pairs = spread_join(stars, hubs, ["hub"], ["node"]).where(sizes_fit)
+    pairs = pairs.select("node", "hub", "n", "m", "sketch", "sketch2")
+    pairs.mapInArrow(_plausible_edges(percent), LINKS).write.parquet(f"{folder}/stars")
+    stars = spark.read.schema(LINKS).parquet(f"{folder}/stars")
+    # A signature whose nodes are in one component is done, and so is one of two nodes.
+    components(spark, stars).write.parquet(f"{folder}/tied")
+    tied = _bounded(spark.read.schema("node long, root long").parquet(f"{folder}/tied"))
+    placed = listed.select("part", "node").join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Rows of a part are in one file each, so these counts combine before their shuffle.
+    open_parts = placed.groupBy("part").agg(
+        F.count("*").alias("nodes"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members"),
+    ).where("nodes > 2 AND low <> high")
+    # Signatures with the same nodes are compared once.
+    chosen = open_parts.groupBy("members", "nodes").agg(F.min("part").alias("part")).select("part")
+    chosen.write.parquet(f"{folder}/open")
+    chosen = _bounded(spark.read.schema("part long").parquet(f"{folder}/open"))
+    rows = listed.select("part", "node").join(chosen, "part").join(sketched.select("node", "n"), "node")
+    tasks = block_tasks(rows.select("node", F.col("part").alias("cluster"), "n"), percent)
+    rows = spread_join(tasks, sketched, ["node"], ["task"]).select("task", "side", "node", "n", "sketch")
+    rows = rows.repartition("task").sortWithinPartitions("task", "side", "node")
+    rows.mapInArrow(_plausible_products(percent), LINKS).write.parquet(f"{folder}/plausible")
+    edges = stars.unionByName(spark.read.schema(LINKS).parquet(f"{folder}/plausible"))
     return components(spark, edges).select("node", F.col("root").alias("cluster"))
 
 
@@ -336,60 +463,80 @@ def block_tasks(nodes, percent):
     return placed.join(tasks, ["cluster", "block"]).select("node", "task", "side")
 
 
-def near_duplicates(documents, size=3, percent=90):
-    """(doc_id, n_shingles, component_id) of every row of ``documents`` (doc_id, text).
+def _classes(documents, size, percent):
+    """(doc_id, tag, n_shingles, node, class) of every row; tag is the hash of its text.
 
-    Documents whose shingle sets have a Jaccard similarity of at least ``percent`` are linked;
-    component_id is the smallest doc_id reachable by links. Empty sets are linked with nothing.
-    Rows equal in doc_id are documents of their own with that id. A row without doc_id has no
-    component (null), but carries links between others that are equal to it.
+    ``class`` is one node of those that links tie together, null for an empty set.
     """
     spark = documents.sparkSession
     folder = scratch_dir(spark, "jaccard")
-    texts = documents.select("doc_id", "text")
+    texts = documents.select("doc_id", F.xxhash64("text").alias("tag"), "text")
     texts.mapInArrow(_sets(size), SETS).write.parquet(f"{folder}/sets")
     sets = spark.read.schema(SETS).parquet(f"{folder}/sets")
-    clusters = candidate_clusters(spark, texts, sets, folder, size, percent)
+    listed = listed_together(spark, texts, sets, folder, size, percent)
+    clusters = candidate_clusters(spark, listed, sets, folder, percent)
+    # Of the rows of a node, one gives the shingles: the least by (doc_id, tag), without doc_id first.
     full = sets.where("n_shingles > 0")
-    # Of equal sets, one document stands for the node.
-    nodes = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
-    clusters.join(nodes, "node").write.parquet(f"{folder}/clusters")
-    members = spark.read.schema("node long, cluster long, doc_id long, n long").parquet(f"{folder}/clusters")
-    chosen = members.where("doc_id IS NOT NULL").select("doc_id", "node", "n")
-    if members.count() <= BROADCAST_NODES:
-        chosen = F.broadcast(chosen)
-    # A doc_id may have several rows: only the one with the node's set is used.
-    grams = texts.join(chosen, "doc_id").select("node", "text").mapInArrow(_grams(size), "node long, grams binary")
-    grams = grams.join(chosen.select("node", "n"), "node").where(F.octet_length("grams") == 8 * F.col("n"))
-    grams = grams.select("node", "grams").dropDuplicates(["node"])
+    nodes = full.groupBy("node").agg(F.min(F.struct("doc_id", "tag")).alias("row"), F.max("n_shingles").alias("n"))
+    clusters.join(nodes, "node").select("node", "cluster", "row.*", "n").write.parquet(f"{folder}/clusters")
+    members = spark.read.schema("node long, cluster long, doc_id long, tag long, n long").parquet(f"{folder}/clusters")
+    chosen = _bounded(members.select("node", F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")))
+    at = (F.col("tag") == F.col("_tag")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    grams = texts.join(chosen, at).select("node", "text").mapInArrow(_grams(size), "node long, grams binary")
     tasks = block_tasks(members.select("node", "cluster", "n"), percent)
-    rows = grams.join(tasks, "node").select("task", "node", "side", "grams")
+    rows = grams.dropDuplicates(["node"]).join(tasks, "node").select("task", "side", "node", "grams")
     rows = rows.repartition("task").sortWithinPartitions("task", "side", "node")
     rows.mapInArrow(_products(percent), LINKS).write.parquet(f"{folder}/links")
     found = components(spark, spark.read.schema(LINKS).parquet(f"{folder}/links"))
-    named = found.join(nodes.select("node", "doc_id"), "node")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("_least"))
-    wide = found.join(least, "root").select("node", "_least")
-    narrow = nodes.select("node", F.col("doc_id").alias("_own"))
-    alone = F.least("_own", F.coalesce("_least", "_own"))
-    class_of = narrow.join(wide, "node", "left").select("node", alone.alias("_component"))
-    return (
-        sets.select("doc_id", "n_shingles", "node")
-        .join(class_of, "node", "left")
-        .select(
-            "doc_id", "n_shingles",
-            F.when(F.col("doc_id").isNull(), None)
-            .otherwise(F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("_component")))
-            .alias("component_id"),
-        )
+    found.withColumnRenamed("root", "class").write.parquet(f"{folder}/classes")
+    found = spark.read.schema("node long, class long").parquet(f"{folder}/classes")
+    own = F.when(F.col("n_shingles") > 0, F.coalesce("class", "node"))
+    return _left_join(sets.drop("sketch"), found, "node").withColumn("class", own)
+
+
+def near_duplicates(documents, size=3, percent=90):
+    """(doc_id, n_shingles, component_id) of every row of ``documents`` (doc_id, text).
+
+    Documents whose shingle sets have a Jaccard similarity of at least ``percent`` are linked;
+    component_id is the smallest doc_id reachable by links. Empty sets are linked with nothing.
+    Rows equal in doc_id are documents of their own with that id. A row without doc_id has no
+    component (null), but links others like any row.
+    """
+    rows = _classes(documents, size, percent)
+    least = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+    shared = least.where("rows > 1").select("class", "least")
+    return spread_join(rows, shared, ["class"], ["doc_id", "tag"], how="left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id")
     )
 
 
 def keep_one(documents, size=5, percent=80):
     """The rows of ``documents``, all columns, that stand for their group: the smallest doc_id of it.
 
-    Of rows with the same smallest doc_id and text, one stays. Rows without doc_id, and
-    without words, stay.
+    Of rows with the smallest doc_id of a group, the one with the least hash of its text stays; of
+    rows equal in both, one. Rows of one doc_id with different texts are in groups of their own
+    texts. Rows without doc_id, and without words, stay. Texts are read in place; they are shuffled
+    only if more rows go than ``BROADCAST_NODES``, or are repeated.
     """
-    groups = near_duplicates(documents, size, percent).where("doc_id IS NOT NULL AND component_id <> doc_id")
-    return documents.dropDuplicates(["doc_id", "text"]).join(groups.select("doc_id").distinct(), "doc_id", "left_anti")
+    spark = documents.sparkSession
+    folder = scratch_dir(spark, "kept")
+    rows = _classes(documents, size, percent).where("class IS NOT NULL AND doc_id IS NOT NULL")
+    keys = rows.groupBy("class", "doc_id", "tag").agg(F.count("*").alias("copies"))
+    first = keys.groupBy("class").agg(F.min(F.struct("doc_id", "tag")).alias("first"), F.sum("copies").alias("rows"))
+    groups = keys.join(first.where("rows > 1"), "class")
+    stays = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("tag") == F.col("first.tag"))
+    groups.select("doc_id", "tag", "copies", stays.alias("stays")).write.parquet(f"{folder}/groups")
+    groups = spark.read.schema("doc_id long, tag long, copies long, stays boolean").parquet(f"{folder}/groups")
+    tag = "_tag"
+    while tag in documents.columns:
+        tag += "_"
+    key = ["doc_id", tag]
+    gone = _bounded(groups.where("NOT stays").select("doc_id", F.col("tag").alias(tag)))
+    left = documents.withColumn(tag, F.xxhash64("text")).join(gone, key, "left_anti")
+    repeated = groups.where("stays AND copies > 1").select("doc_id", F.col("tag").alias(tag))
+    if repeated.count():
+        repeated = _bounded(repeated)
+        left = left.join(repeated, key, "left_anti").unionByName(
+            left.join(repeated, key, "left_semi").dropDuplicates(key)
+        )
+    return left.drop(tag)

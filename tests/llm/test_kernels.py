@@ -246,6 +246,24 @@ def test_similar_sets_share_a_signature(percent):
     assert tried > 1000
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sketches_never_rule_out_a_link(percent):
+    draw, ruled_out = random.Random(8), 0
+    for turn in range(600):
+        n = draw.choice([1, 3, 20, 100, 900, 4000])
+        a = {draw.getrandbits(64) for _ in range(n)}
+        b = set(list(a)[: max(1, int(n * draw.uniform(0.4, 1.2)))]) | {draw.getrandbits(64) for _ in range(draw.randint(0, n // 4 + 1))}
+        if turn % 20 == 0:  # all shingles in one cell
+            a, b = ({x % 5000 for x in s} for s in (a, b))
+        left, right = (np.array(sorted(s), dtype=np.uint64) for s in (a, b))
+        one, two = jaccard.sketch(left), jaccard.sketch(right)
+        edges = jaccard.plausible_forest([(1, len(a), one)], [(2, len(b), two)], percent)
+        if 100 * len(a & b) >= percent * len(a | b):
+            assert edges == [(2, 1)]
+        ruled_out += not edges
+    assert ruled_out > 100
+
+
 def test_products_count_overlaps(monkeypatch):
     draw = random.Random(5)
     sets = [np.unique(np.array(draw.choices(range(60), k=draw.randint(1, 40)), dtype=np.uint64)) for _ in range(60)]
@@ -308,12 +326,11 @@ def test_stretches_of_long_texts_are_pooled_over_every_byte(monkeypatch):
 # --- licences --------------------------------------------------------------------------------
 
 
-def test_every_template_is_recognised_and_has_an_anchor():
+def test_every_template_is_recognised():
     classifier = licenses.fit(["a plain line of text", "the version of the work"])
     for family, text in licenses.TEMPLATES:
         chances = classifier.probabilities(text)
         assert max(chances, key=chances.get) == family
-        assert any(stem in text.lower() for stem in licenses.ANCHORS)
     for text in licenses.DISTRACTORS:
         chances = classifier.probabilities(text)
         assert max(chances, key=chances.get) == licenses.UNKNOWN

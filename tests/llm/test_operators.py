@@ -394,6 +394,47 @@ def test_jaccard_components_equal_brute_force(spark, frame, monkeypatch, percent
     assert got == plain_components(rows, 3, percent)
 
 
+def test_links_of_equal_ids_and_through_rows_without_id(spark, frame):
+    near, other = words(81, 200), words(82, 200)
+    rows = [(5, words(80, 200)), (5, near), (9, edited(near, 3, 0.005))]
+    got = {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(documents(frame, rows), 3, 90).collect()}
+    assert got == {(5, 5), (9, 5)}
+    bridge = other.split()
+    chain = [(3, other), (None, " ".join(["q"] * 3 + bridge[3:])), (8, " ".join(["q"] * 3 + bridge[3:-3] + ["r"] * 3))]
+    rows = [(d, t) for d, t in chain] + [(50 + i, words(90 + i, 150)) for i in range(5)]
+    percent = 95
+    got = sorted((tuple(r) for r in jaccard.near_duplicates(documents(frame, rows), 3, percent).collect()), key=repr)
+    assert got == plain_components(rows, 3, percent) and (8, 198 + 0, 3) in got
+
+
+def test_shared_passages_do_not_chain_clusters(spark, frame):
+    """Documents with a long passage in common share signatures, but are plausible pairs with no other."""
+    from tapeloom.settings import scratch_dir
+
+    passage = words(77, 40)
+    rows = [(i, words(500 + i, 60) + " " + passage + " " + words(900 + i, 60)) for i in range(300)]
+    rows += [(1000 + i, edited(rows[i][1], i, 0.01)) for i in range(10)]
+    docs = documents(frame, rows)
+    folder = scratch_dir(spark, "clusters")
+    texts = docs.selectExpr("doc_id", "xxhash64(text) AS tag", "text")
+    texts.mapInArrow(jaccard._sets(5), jaccard.SETS).write.parquet(f"{folder}/sets")
+    sets = spark.read.schema(jaccard.SETS).parquet(f"{folder}/sets")
+    listed = jaccard.listed_together(spark, texts, sets, folder, 5, 80)
+    clusters = jaccard.candidate_clusters(spark, listed, sets, folder, 80).collect()
+    sizes = {}
+    for row in clusters:
+        sizes[row.cluster] = sizes.get(row.cluster, 0) + 1
+    assert max(sizes.values()) <= 4
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs, 5, 80).collect()}
+    assert {d: c for d, c in got.items() if d >= 1000} == {1000 + i: i for i in range(10)}
+
+
+def test_rows_of_one_id_with_different_texts_stay(spark, frame):
+    rows = [(2, BASE), (7, BASE), (7, words(71, 60)), (7, words(71, 60)), (None, BASE), (None, BASE)]
+    kept = sorted((str(r.doc_id), r.text) for r in jaccard.keep_one(documents(frame, rows)).collect())
+    assert kept == sorted([("2", BASE), ("7", words(71, 60)), ("None", BASE), ("None", BASE)])
+
+
 def test_one_document_of_each_group_stays(spark, frame):
     rows = [(5, BASE), (2, BASE), (2, BASE), (9, edited(BASE, 1, 0.01)), (None, BASE), (7, None), (8, ""), (1, words(70, 50))]
     kept = jaccard.keep_one(documents(frame, rows))
