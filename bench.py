@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from checks import catalog  # noqa: E402
 from checks.relations import Relations  # noqa: E402
 from tapeloom.operators import prompts, tables  # noqa: E402
-from tapeloom.plans import extraction, tokenization  # noqa: E402
+from tapeloom.plans import extraction  # noqa: E402
 from tapeloom.settings import local_session  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -33,11 +33,11 @@ HEADLINE = {
     "market_span_tables_to_1month": lambda r: extraction.market_span_tables(
         tables.report_keys(r.report_key()), r.instrument(), r.contract(), r.bar(), {"1day": 1, "1week": 7, "1month": 30}
     ),
-    "tokenize_dataset": lambda r: tokenization.tokenize_dataset(catalog.built(r)),
+    "tokenize_dataset": catalog.tokenized_reports,
 }
 NAMES = (
     "report_market_table render_table build_dataset build_dataset_with_data_examples training_pairs "
-    "tokenize_dataset market_span_tables_to_1month active_contracts window_bars window_bars_exploded "
+    "tokenize_dataset market_span_tables_to_1month market_span_tables active_contracts window_bars window_bars_exploded "
     "dedupe_keep_first sample_examples encode_text round_prices"
 )
 

@@ -434,15 +434,10 @@ def history_spans(r):
     """SELECT report_id, ord, name, data_source, symbol FROM report r JOIN instrument i ON r.market = i.market""",
 )
 def report_items(r):
-    items = tables.report_items(r.report_key(), r.instrument())
+    items = extraction.items_of_reports(r.report_key(), r.instrument())
     return items.select("report_id", "ord", "name", "data_source", "symbol")
 
 
-def futures_items(r):
-    futures = r.instrument().where(F.col("data_source") == "cme")
-    return tables.report_items(r.report_key(), futures)
-
-
 ACTIVE_SQL = """FROM report r JOIN labelled a ON a.market = r.market AND a.report_date = r.report_date"""
 
 
@@ -452,7 +447,7 @@ ACTIVE_SQL = """FROM report r JOIN labelled a ON a.market = r.market AND a.repor
 )
 @dated("expiration_date")
 def active_contracts(r):
-    active = calendar.active_contracts(futures_items(r), r.contract())
+    active = extraction.contracts_of_reports(r.report_key(), r.instrument(), r.contract())
     return active.select("report_id", "ord", "contract_symbol", "rank", "expiration_date")
 
 
@@ -461,7 +456,7 @@ def active_contracts(r):
     f"SELECT report_id, a.ord, a.symbol AS contract_symbol, a.label {ACTIVE_SQL}",
 )
 def label_contracts(r):
-    labelled = calendar.label_contracts(calendar.active_contracts(futures_items(r), r.contract()))
+    labelled = extraction.contracts_of_reports(r.report_key(), r.instrument(), r.contract())
     return labelled.select("report_id", "ord", "contract_symbol", "label")
 
 
@@ -960,6 +955,11 @@ def token_view(rows, *more):
     )
 
 
+def tokenized_reports(r, **how):
+    """Token rows from reports and tables, every shared text encoded once."""
+    return tokenization.tokenize_reports(r.report(), r.split_ref(), rendered(r), written_instruction(r), **how)
+
+
 def tokens_sql(context, target, where):
     return f"""SELECT split, report_id, {ids_digest_sql('i')} AS input_md5, {ids_digest_sql('l')} AS labels_md5,
       len(i) AS n_input, len(i) AS n_mask, len(l) AS n_labels
@@ -968,7 +968,13 @@ def tokens_sql(context, target, where):
 
 @query(["encoded"], tokens_sql(3584, 512, "WHERE len(input_ids) + len(labels) <= 4096"))
 def tokenize_dataset(r):
-    return token_view(tokenization.tokenize_dataset(built(r)))
+    return token_view(tokenized_reports(r))
+
+
+@query(["encoded"], tokens_sql(3584, 512, "WHERE len(input_ids) + len(labels) <= 4096"))
+def tokenize_dataset_plugin(r):
+    """A plugged-in tokenizer that declares that it encodes each word by itself."""
+    return token_view(tokenized_reports(r, tokenizer=whitespace_tokenizer(), parts_at_blanks=True))
 
 
 @query(["encoded"], tokens_sql(256, 64, ""))

@@ -3,6 +3,7 @@
 from pyspark.sql import Window, functions as F
 
 from tapeloom.functions.dates import add_business_days, last_weekday_of_month
+from tapeloom.operators.ranges import interval_join
 
 # Month codes January to December, and listed contract months per product.
 MONTH_CODES = "FGHJKMNQUVXZ"
@@ -111,6 +112,9 @@ def symbols_per_product(contracts):
     return listed.select("name", F.col("entries.symbol").alias("symbols"))
 
 
+TERM_BIN = 32  # days; contracts expire about once a month
+
+
 def contract_terms(contracts, n):
     """The dates between which a contract is one of the first ``n`` unexpired ones.
 
@@ -134,17 +138,17 @@ def active_contracts(items, contracts, n=3):
     """First ``n`` contracts expiring strictly after each item's report date, with rank.
 
     ``items`` carry ``report_date`` and the futures ``symbol`` (the base symbol). A base
-    with no unexpired contract gives no rows.
+    with no unexpired contract gives no rows. Terms are binned by time, so an item meets the
+    contracts of its own weeks only, and a symbol with a long calendar is many keys.
     """
-    terms = contract_terms(contracts, n)
-    alive = items.join(
-        terms,
-        (F.col("symbol") == F.col("base_symbol"))
-        & (F.col("report_date") < F.col("expiration_date"))
-        & (F.col("enters").isNull() | (F.col("enters") <= F.col("report_date"))),
+    first = items.agg(F.min("report_date")).scalar()  # where the terms of the first contracts begin
+    terms = contract_terms(contracts, n).withColumns(
+        {"_from": F.greatest("enters", first), "_upto": F.date_sub("expiration_date", 1)}
     )
+    dated = terms.where(F.col("_from") <= F.col("_upto")).withColumnRenamed("base_symbol", "symbol")
+    alive = interval_join(items, dated, ["symbol"], "report_date", "_from", "_upto", TERM_BIN)
     before = F.size(F.filter("ahead", lambda expiry: expiry > F.col("report_date")))
-    return alive.withColumn("rank", before + 1).drop("enters", "ahead", "base_symbol")
+    return alive.withColumn("rank", before + 1).drop("enters", "ahead", "_from", "_upto")
 
 
 RANK_LABELS = ["front month", "second month", "third month"]  # Fixed values.

@@ -90,6 +90,30 @@ def leave_out(spares, day, n):
     return F.when(F.size(others) > n, drawn).otherwise(F.transform(by_input, lambda x: x["v"]))
 
 
+def example_ids(rows, keys, name):
+    """Per group the spares as (place, report_date, example_id), without their texts."""
+    entry = F.struct("place", "report_date", "example_id")
+    return rows.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias(name))
+
+
+def leave_out_ids(spares, day, n):
+    """``leave_out`` on ids: the first ``n`` of the draw if there are more, else in input order."""
+    others = F.filter(spares, lambda x: x["report_date"] != day)["example_id"]
+    return F.when(F.size(others) > n, F.slice(others, 1, n)).otherwise(F.array_sort(others))
+
+
+def listed_texts(lists, rows, ids, name):
+    """(ids, examples) of each distinct list of example ids; ``rows`` hold the drawn examples.
+
+    Lists are as few as groups times the dates they leave out, however many reports show them.
+    """
+    drawn = rows.select("example_id", example_fields(rows).alias("_example")).dropDuplicates(["example_id"])
+    places = lists.select(ids).distinct().select(ids, F.posexplode(ids).alias("_at", "example_id"))
+    entry = F.array_sort(F.collect_list(F.struct("_at", "_example")))
+    listed = places.join(drawn, "example_id").groupBy(ids).agg(entry.alias("_list"))
+    return listed.select(ids, F.col("_list._example").alias(name))
+
+
 def attach_examples(frame, groups, keys, names=("examples",)):
     """Example lists of the group of each row; no group is an empty list.
 

@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from tapeloom.operators.examples import (
     SEED,
     example_fields,
+    example_ids,
     format_examples,
-    group_examples,
-    group_spares,
-    leave_out,
+    leave_out_ids,
+    listed_texts,
     sample_examples,
     spare_examples,
 )
@@ -58,24 +58,31 @@ def data_example_rows(examples, tables, rendered, n, seed, pick=sample_examples)
     return drawn.join(rendered, DAY)
 
 
-def attach_lists(tables, rows, keys, n, name, exclude_self):
+def attach_lists(members, rows, keys, n, name, exclude_self):
     """Example list of each table key, without the key's own date if asked.
 
-    A (market, source) has one table per day, so the calendar bounds every key of this join.
+    Keys meet lists of ids first, without any text, a busy (market, source) in slices; the texts
+    of each distinct list are gathered once and join on the list itself.
     """
+    spares = example_ids(rows.select(*keys, "place", "report_date", "example_id"), keys, "_spares")
+    joined = spread_join(members, spares, keys, ["report_date"], how="left")
     if exclude_self:
-        joined = tables.join(group_spares(rows, keys, name), keys, "left")
-        listed = leave_out(F.col(name), F.col("report_date"), n)
+        listed = leave_out_ids(F.col("_spares"), F.col("report_date"), n)
     else:
-        joined = tables.join(group_examples(rows, keys, name), keys, "left")
-        listed = F.col(name)
-    return joined.withColumn(name, F.coalesce(listed, F.array()))
+        listed = F.col("_spares.example_id")
+    with_ids = joined.withColumn("_ids", F.coalesce(listed, F.array())).drop("_spares")
+    texts = listed_texts(with_ids, rows, "_ids", name)
+    told = spread_join(with_ids, texts, ["_ids"], REPORT_KEY, how="left")
+    return told.withColumn(name, F.coalesce(name, F.array())).drop("_ids")
 
 
 def report_context(
     tables, rendered, examples, n_data=0, n_report=2, seed=SEED, exclude_self=False
 ):
-    """Table and example lists per (split, source, market, report_date)."""
+    """Example lists, then tables, per (split, source, market, report_date).
+
+    ``tables`` are the keys that have a table; their texts join last, by market day.
+    """
     pick = spare_examples if exclude_self else sample_examples
     context = tables
     none = F.array().cast(_list_type(examples))
@@ -91,7 +98,7 @@ def report_context(
         context = attach_lists(context, rows, keys, n_report, "report_examples", exclude_self)
     else:
         context = context.withColumn("report_examples", none)
-    return context
+    return context.join(rendered, DAY)
 
 
 def _list_type(examples):
@@ -116,7 +123,7 @@ def build_dataset(
     once, on their key, with busy keys cut into slices. ``instruction`` is a one-row frame.
     """
     keys = report_keys(reports)
-    tables = keyed_tables(keys, split_ref, rendered)
+    tables = keyed_tables(keys, split_ref, rendered.select(*DAY))
     context = report_context(tables, rendered, examples, n_data, n_report, seed, exclude_self)
     joined = spread_join(reports, context, REPORT_KEY, ["report_id"], counts=keys)
     told = joined.withColumn("instruction", instruction.scalar())

@@ -3,7 +3,7 @@
 from pyspark.sql import Window, functions as F
 
 from tapeloom.operators.calendar import active_contracts, label_contracts
-from tapeloom.operators.ranges import history_spans, history_window, interval_join
+from tapeloom.operators.ranges import history_window, interval_join
 from tapeloom.operators.spread import spread_join
 from tapeloom.operators.tables import (
     REPORT_KEY,
@@ -80,14 +80,14 @@ def extract_by_product(routed, bars, bin_days):
     return extract_bars(routed.where(F.col("by") == "product"), bars, bin_days)
 
 
-def market_tables(days, instruments, contracts, bars, n_contracts=3, bin_days=8):
-    """Table rows of each market day, numbered in table order.
+def market_day_rows(days, instruments, contracts, bars, n_contracts, bin_days):
+    """Bars of each market day without repeats, and the window that puts them in table order.
 
-    ``days`` carries (market, report_date, start_date, end_date), and ``span`` if several
-    windows are wanted. Everything after the range join is partitioned by market day
-    once, so the ordered dedupe and the numbering share that one shuffle.
+    ``days`` carries (market, report_date, start_date, end_date). Everything after the range join
+    is partitioned by market day once, so the ordered dedupe and the numbering share that one
+    shuffle.
     """
-    group = [c for c in ("span", "market", "report_date") if c in days.columns]
+    group = ["market", "report_date"]
     items = report_items(days, instruments)
     routed = route_items(items, contracts, n_contracts)
     found = extract_bars(routed, bars_in_reach(bars, days), bin_days)
@@ -102,8 +102,14 @@ def market_tables(days, instruments, contracts, bars, n_contracts=3, bin_days=8)
         "product",
         F.col("symbol").asc_nulls_last(),
     )
+    return unique, order
+
+
+def market_tables(days, instruments, contracts, bars, n_contracts=3, bin_days=8):
+    """Table rows of each market day, numbered in table order."""
+    unique, order = market_day_rows(days, instruments, contracts, bars, n_contracts, bin_days)
     numbered = unique.withColumn("row_no", F.row_number().over(order))
-    return numbered.select(*group, "row_no", *BAR_COLUMNS)
+    return numbered.select("market", "report_date", "row_no", *BAR_COLUMNS)
 
 
 def market_day_tables(keys, instruments, contracts, bars, history_days=7, n_contracts=3):
@@ -113,9 +119,29 @@ def market_day_tables(keys, instruments, contracts, bars, history_days=7, n_cont
 
 
 def market_span_tables(keys, instruments, contracts, bars, spans, n_contracts=3, bin_days=32):
-    """``market_tables`` for several named spans at once."""
-    days = history_spans(market_days(keys), spans)
-    return market_tables(days, instruments, contracts, bars, n_contracts, bin_days)
+    """``market_day_tables`` for several named spans, with the column ``span``, from one range join.
+
+    All windows of a day end on that day, so the longest holds the others, and copies of a bar
+    have its day and so its spans. Bars are found and deduped once, for the longest span; a
+    row's number in a span is the count of rows up to it that are young enough. Rows are
+    copied to their spans at the very end.
+    """
+    spans = {name: days for name, days in spans.items() if days >= 0}
+    days = history_window(market_days(keys), max(spans.values(), default=0))
+    unique, order = market_day_rows(days, instruments, contracts, bars, n_contracts, bin_days)
+    age = F.datediff("report_date", "trade_date")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Shorter spans count among the rows of the longest; sums are NULL outside a span.
+    places = {
+        name: F.when(age <= n, F.sum(F.when(age <= n, 1)).over(upto).cast("int")) for name, n in spans.items()
+    }
+    numbered = unique.withColumn(
+        "_places", F.array(*[F.struct(F.lit(k).alias("span"), v.alias("row_no")) for k, v in places.items()])
+    )
+    copied = F.inline(F.filter("_places", lambda place: place["row_no"].isNotNull()))
+    return numbered.select("market", "report_date", *BAR_COLUMNS, copied).select(
+        "span", "market", "report_date", "row_no", *BAR_COLUMNS
+    )
 
 
 def report_market_table(
@@ -131,9 +157,7 @@ def report_market_table(
     slim = reports.select("report_id", *REPORT_KEY)
     if split_ref is not None:
         slim = join_split(slim, split_ref)
-    day = ["market", "report_date"]
-    counts = keys.groupBy(*day).agg(F.sum("n").alias("n"))
-    return spread_join(slim, tables, day, ["report_id"], counts=counts)
+    return fan_out(slim, tables, keys)
 
 
 def keyed_report_tables(reports, split_ref, tables):
@@ -142,6 +166,26 @@ def keyed_report_tables(reports, split_ref, tables):
     return keys.join(tables, ["market", "report_date"])
 
 
+def fan_out(reports, by_day, keys):
+    """Every report with the rows of its market day; a day with very many reports is cut into slices."""
+    counts = keys.groupBy("market", "report_date").agg(F.sum("n").alias("n"))
+    return spread_join(reports, by_day, ["market", "report_date"], ["report_id"], counts=counts)
+
+
+def items_of_reports(reports, instruments):
+    """``report_items`` made once per market day, whose number the calendar bounds."""
+    keys = report_keys(reports)
+    return fan_out(reports, report_items(market_days(keys), instruments), keys)
+
+
+def contracts_of_reports(reports, instruments, contracts, n_contracts=3):
+    """Active contracts of every report with rank and label, found once per market day."""
+    keys = report_keys(reports)
+    futures = (F.col("data_source") == "cme") & F.col("symbol").isNotNull()
+    items = report_items(market_days(keys), instruments.where(futures))
+    return fan_out(reports, label_contracts(active_contracts(items, contracts, n_contracts)), keys)
+
+
 def bars_of_contracts(bars, active):
     """Bars whose symbol is one of the active contracts', whatever their day."""
     symbols = active.select(F.col("contract_symbol").alias("symbol")).distinct()

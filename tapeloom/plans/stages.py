@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 from tapeloom.operators.calendar import calendar_years, contract_calendar
 from tapeloom.operators.examples import SEED
-from tapeloom.operators.prompts import date_ranges
 from tapeloom.operators.render import render_table
 from tapeloom.operators.tables import rejected_reports, report_keys
 from tapeloom.operators.tokens import MAX_OUTPUT, MAX_SEQUENCE
 from tapeloom.plans.dataset import DAY, build_dataset
 from tapeloom.plans.extraction import keyed_report_tables, market_day_tables
-from tapeloom.plans.tokenization import tokenize_dataset
+from tapeloom.plans.tokenization import tokenize_reports
 from tapeloom.settings import HISTORY_SPANS
 from tapeloom.sources import scans, sinks
 
@@ -41,6 +40,7 @@ class Config:
     seed: str = SEED
     model: str = "hashed-words"
     tokenizer: Optional[Callable] = None
+    parts_at_blanks: bool = False  # the tokenizer encodes every word by itself
     max_sequence: int = MAX_SEQUENCE
     max_output: int = MAX_OUTPUT
     skip_overlength: bool = True
@@ -106,8 +106,10 @@ def rejects(spark, config):
 
 
 def construct(spark, config):
-    """Dataset rows of every split."""
-    rendered = render_table(spark.read.parquet(config.path("market_days", config.span)), DAY)
+    """Text tables of every market day, then dataset rows of every split."""
+    tables = render_table(spark.read.parquet(config.path("market_days", config.span)), DAY)
+    tables.write.mode("overwrite").parquet(config.path("rendered", config.span))
+    rendered = spark.read.parquet(config.path("rendered", config.span))
     reports = spark.read.parquet(config.path("reports"))
     if config.examples:
         examples = spark.read.parquet(config.path("examples"))
@@ -137,15 +139,19 @@ def read_dataset(spark, config):
 
 
 def tokenize(spark, config):
-    """Token rows of every split of the dataset, in date order."""
-    dataset = read_dataset(spark, config)
-    rows = tokenize_dataset(
-        date_ranges(dataset),
+    """Token rows of every split, in date order, from the same reports and tables as the dataset."""
+    rows = tokenize_reports(
+        spark.read.parquet(config.path("reports")),
+        scans.scan_split_reference(spark, config.split_reference),
+        spark.read.parquet(config.path("rendered", config.span)),
+        scans.scan_instruction(spark, config.instruction),
         config.max_sequence,
         config.max_output,
         context_length=config.context_length,
         skip_overlength=config.skip_overlength,
         tokenizer=config.tokenizer,
+        parts_at_blanks=config.parts_at_blanks,
+        ordered=True,
     )
     sinks.write_tokens(rows, config.path("tokens", config.span), config.model)
 

@@ -1,5 +1,7 @@
 """Readers. Every one declares its schema and returns the engine's own column names."""
 
+import csv
+
 from pyspark.sql import functions as F, types as T
 
 from tapeloom import schemas
@@ -140,23 +142,38 @@ def scan_cash_index(spark, path, value_column):
 def scan_yields(spark, path):
     """Every ``.csv`` below a folder, each read by its own header, with the path of each row.
 
-    A file is one short history, hence one row before it is cut into lines. A column that a
-    file does not have is NULL.
+    A file is one short history, hence one row before it is cut into lines; a quoted cell may hold
+    commas, not line ends. Files of one layout, that is one header line, share a schema of
+    their own; layouts are as few as a vendor's formats. A column that a file does not have
+    is NULL, and of two columns of one name the first counts.
     """
     files = (
         spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.csv")
         .text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file"), F.split("value", r"\r\n|\r|\n").alias("lines"))
+        .select("file", F.col("lines")[0].alias("header"), F.explode("lines").alias("line"))
     )
-    trimmed = lambda line: F.transform(F.split(line, ","), lambda x: F.btrim(x, F.lit(' "\t\ufeff')))
-    rows = files.select("file", trimmed(F.col("lines")[0]).alias("header"), F.explode("lines").alias("line"), F.col("lines")[0].alias("first"))
-    cells = rows.where((F.col("line") != F.col("first")) & (F.trim("line") != "")).withColumn("cells", trimmed(F.col("line")))
+    rows = files.where((F.col("line") != F.col("header")) & (F.trim("line") != ""))
+    cells = T.StructType([T.StructField(c, T.StringType()) for c in schemas.YIELD_COLUMNS])
+    parsed = F.lit(None).cast(cells)
+    for layout in files.select("header").distinct().collect():
+        parsed = F.when(F.col("header") == layout.header, _by_layout("line", layout.header)).otherwise(parsed)
+    return rows.select(parsed.alias("_cells"), "file").select("_cells.*", "file")
+
+
+def _by_layout(line, header):
+    """The yield columns of a line, by the header line of its file."""
+    names = [name.strip(' "\t\ufeff') for name in next(csv.reader([header], skipinitialspace=True), [])]
+    schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))])
+    quoting = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    cells = F.from_csv(line, schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), quoting)
 
     def named(column):
-        place = F.array_position("header", column)
-        return blank_to_null(F.when(place > 0, F.try_element_at("cells", place.cast("int")))).alias(column)
+        if column not in names:
+            return F.lit(None).cast("string").alias(column)
+        return blank_to_null(F.trim(cells[f"_{names.index(column)}"])).alias(column)
 
-    return cells.select(*[named(c) for c in schemas.YIELD_COLUMNS], "file")
+    return F.struct(*[named(c) for c in schemas.YIELD_COLUMNS])
 
 
 def strip_names(frame):

@@ -14,7 +14,7 @@ from tapeloom.operators.calendar import contract_calendar
 from tapeloom.operators.examples import sample_examples
 from tapeloom.operators.tables import report_keys
 from tapeloom.operators.tokens import encode_text
-from tapeloom.plans import extraction, stages
+from tapeloom.plans import dataset, extraction, stages, tokenization
 from tapeloom.settings import HISTORY_SPANS
 from tapeloom.sources import scans, vendors
 
@@ -160,6 +160,75 @@ def test_encoding_is_not_repeated_by_the_filter(spark):
     assert not re.search(r"Filter \(.*split\(", plan)
 
 
+def test_all_spans_come_from_one_range_join(spark):
+    plan = plan_of(catalog.QUERIES["market_span_tables"](spark, FOLDER))
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    joins = [line for line in final.splitlines() if "Join" in line and "_bin" in line and "trade_date" in line]
+    assert len(joins) == 1
+
+
+def test_a_market_day_table_is_encoded_below_the_joins(spark, relations):
+    """No join, sort or exchange carries table texts; only the project above their scan has them."""
+    rows = catalog.tokenized_reports(relations)
+    texts = [line for line in plan_of(rows).splitlines() if "table_data" in line]
+    assert texts and all(re.search(r"FileScan|ColumnarToRow|Project|Filter", line) for line in texts)
+    assert not any("passage" in line for line in texts)
+
+
+def test_example_lists_meet_keys_without_texts(relations):
+    """(market, source) is met by narrow keys; tables and lists are put beside them afterwards."""
+    rows = catalog.built(relations, n_data=1).select("report_id", "prompts.formatted_prompt")
+    for line in plan_of(rows).splitlines():
+        if "Join" in line and re.search(r"Join.*\[(split, )?market, source, _slice\]", line):
+            assert "table_data" not in line and "passage" not in line
+
+
+def test_the_dataset_runs_once_for_numbered_pairs(spark, relations):
+    plan = plan_of(catalog.QUERIES["training_pairs"](spark, FOLDER))
+    assert "passage" not in plan and "Window [sum" in plan  # the pairs are read from files
+
+
+def token_rows(frame):
+    return sorted((r.split, r.report_id, r.input_ids, r.attention_mask, r.labels) for r in frame.collect())
+
+
+def load_stems():
+    """Ids of every blank-separated word by its first letters; ids of a word may be several."""
+    return lambda text: [i for w in text.split() for i in ([len(w), ord(w[0])] if len(w) % 2 else [ord(w[-1])])]
+
+
+@pytest.mark.parametrize("tokenizer", [None, load_stems])
+@pytest.mark.parametrize("skip", [True, False])
+def test_parts_encoded_once_equal_whole_texts(spark, tokenizer, skip):
+    keys = "source string, market string, report_date date"
+    days = [dt.date(2021, 1, i) for i in (1, 2, 3)]
+    reports = spark.createDataFrame(
+        [(i, "s", m, d, f"01/{d.day:02d}/2021", text) for i, (m, d, text) in enumerate([
+            ("corn", days[0], "up a bit"), ("corn", days[0], " \n down  by\tmuch "), ("corn", days[1], ""),
+            ("gold", days[0], "word " * 40), ("gold", days[2], "no table"), ("corn", days[1], None), ("empty", days[0], "none"),
+        ])],
+        f"report_id long, {keys}, date string, passage string",
+    )
+    split_ref = spark.createDataFrame(
+        [("s", m, d, split) for m in ("corn", "gold", "empty") for d in days for split in ("train", "test")], f"{keys}, split string"
+    )
+    rendered = spark.createDataFrame(
+        [("corn", days[0], "open  close\n 1.0   2.0"), ("corn", days[1], "x " * 90), ("gold", days[0], " \n "), ("empty", days[0], "")],
+        "market string, report_date date, table_data string",
+    )
+    instruction = spark.createDataFrame([("Do it:\n1. well",)], "instruction string")
+    examples = reports.withColumnRenamed("report_id", "example_id")
+    whole = dataset.build_dataset(reports, split_ref, rendered, examples, instruction)
+    budget = dict(max_sequence=60, max_output=12, skip_overlength=skip, tokenizer=tokenizer)
+    expected = token_rows(tokenization.tokenize_dataset(whole.where("report IS NOT NULL"), **budget))
+    inputs = reports.where("passage IS NOT NULL"), split_ref, rendered, instruction
+    assert token_rows(tokenization.tokenize_reports(*inputs, **budget, parts_at_blanks=True)) == expected
+    assert token_rows(tokenization.tokenize_reports(*inputs, **budget, ordered=True)) == expected
+    assert len(expected) in ((6, 8) if skip else (10,))
+    if skip:  # a pair without a target is no pair
+        assert token_rows(tokenization.tokenize_reports(reports, *inputs[1:], **budget, parts_at_blanks=True)) == expected
+
+
 def test_stored_tables_prune_folders(spark, relations):
     path = catalog.written_report_tables(relations)
     plan = plan_of(scans.scan_report_tables(spark, path, "1week", "test"))
@@ -198,12 +267,12 @@ def test_pipeline_over_files(spark, tmp_path):
     contracts = spark.read.parquet(config.path("contracts"))
     pairs = [(r.symbol, r.expiration_date) for r in contracts.collect()]
     with_rows = [k for k, v in loop_tables(instruments, bars, pairs, reports, 7).items() if v]
-    dataset = scans.scan_dataset(spark, config.path("dataset", "1week"), file_format="parquet").collect()
-    assert len(dataset) == len(with_rows) == sum(r.n_rows for r in stages.split_counts(spark, config).collect())
-    sample = dataset[0]
+    built = scans.scan_dataset(spark, config.path("dataset", "1week"), file_format="parquet").collect()
+    assert len(built) == len(with_rows) == sum(r.n_rows for r in stages.split_counts(spark, config).collect())
+    sample = built[0]
     assert sample.prompts.formatted_prompt.startswith("Do it.\n\nData Examples:\nData Example 1:\nMarket: ")
     assert sample.table_data in sample.prompts.formatted_prompt
     assert sample.report.endswith("\nsecond line")
     tokens = scans.scan_tokens(spark, config.path("tokens", "1week"), "hashed-words").collect()
-    assert len(tokens) == len(dataset)
+    assert len(tokens) == len(built)
     assert all(len(t.input_ids) == len(t.attention_mask) for t in tokens)

@@ -140,7 +140,8 @@ def test_scratch_follows_the_shared_folder():
     assert scratch_dir(shared, "x").startswith("hdfs://shared/tapeloom-x-")
     with pytest.raises(ValueError):
         scratch_dir(Session(spark_master="yarn"), "x")
-    assert scratch_dir(Session(spark_master="local[2]"), "x").endswith("/x")
+    own = [scratch_dir(Session(spark_master="local[2]"), "x") for _ in range(2)]
+    assert own[0] != own[1] and all("/x-" in path for path in own)
 
 
 def test_report_columns_are_found_by_name(spark, tmp_path):
@@ -162,6 +163,23 @@ def test_yields_are_read_by_the_header_of_their_file(spark, tmp_path):
     assert got == [(1.0, 2.0, 3.0, 4.0)] * 2
 
 
+def test_yield_files_with_quoted_cells_and_layouts_of_their_own(spark, tmp_path):
+    (tmp_path / "us_12_year_bond_yield.csv").write_text(
+        'Date,Open,High,Low,Close\n03/04/21,"1,234.5",2,3,4\n03/05/21,"say ""x""",2,3,"4"\n'
+    )
+    (tmp_path / "us_2_year_bond_yield.csv").write_text(
+        '\ufeff"Low", "Note, long" ,Close, "Date",Open\r\n3,"a, b",4," 03/04/21 ","1,234.5"\r\n,,,\r\n'
+    )
+    found = vendors.ingest_yields(spark, str(tmp_path), listed(spark)).collect()
+    got = sorted(((r.symbol, str(r.trade_date), r.open, r.high, r.low, r.close) for r in found), key=repr)
+    assert got == [
+        ("TMUBMUSD02Y", "2021-03-04", 1234.5, None, 3.0, 4.0),
+        ("TMUBMUSD02Y", "None", None, None, None, None),
+        ("TMUBMUSD12Y", "2021-03-04", 1234.5, 2.0, 3.0, 4.0),
+        ("TMUBMUSD12Y", "2021-03-05", None, 2.0, 3.0, 4.0),
+    ]
+
+
 def test_a_broken_instrument_list_fails(spark, tmp_path):
     (tmp_path / "list.json").write_text('[{"market": "m", "name": "b"')
     with pytest.raises(Exception, match="(?i)malformed|parse"):
