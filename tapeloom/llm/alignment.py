@@ -24,6 +24,8 @@ from tapeloom.llm import wordcache
 from tapeloom.settings import scratch_dir
 
 BATCH_BYTES = 1 << 20  # bytes of text aligned at a time; a longer text is aligned alone
+END_BITS = 40  # of a key of document and end: texts of up to a terabyte
+WIDE = 64  # pairs of tokens in a group beyond which its ids are counted first
 PARTIAL_PAIRS = 1 << 19  # id pairs a task counts before it hands them on
 FREQUENT = 300_000  # id pairs that are broadcast with their counts: 32 bytes each
 
@@ -60,11 +62,17 @@ class Side:
     """One tokenizer: ids of texts, the bytes of an id, and how its ids are written in a group."""
 
     def __init__(self, encode, byte_table, between, after):
-        self.encode, self.bytes = encode, byte_table
+        self.encode, self.size = encode, len(byte_table)
+        self.bytes = pa.array(byte_table, pa.large_binary())
         self.lengths = pa.array([len(b) for b in byte_table], pa.int64())
         # Written ids: number, and number + size where the group's part of this side ends.
         self.written = [f"{i}{between}" for i in range(len(byte_table))] + [f"{i}{after}" for i in range(len(byte_table))]
 
+    def joined(self, lists):
+        """The bytes of the tokens of every text, put together."""
+        parts = pa.LargeListArray.from_arrays(lists.offsets.cast(pa.int64()), pc.take(self.bytes, lists.values))
+        return pc.binary_join(parts, pa.scalar(b"", pa.large_binary()))
+
     def tokens(self, lists):
         """(documents, ends) of every token; ends count the bytes of the document up to there."""
         documents = pc.list_parent_indices(lists).cast(pa.int64())
@@ -74,6 +82,41 @@ class Side:
         return documents, pc.subtract(running.slice(1), pc.take(at_start, documents))
 
 
+class PieceWords:
+    """Piece ids of texts, looked up word by word.
+
+    Where no piece of the vocabulary has a blank after another character, no merge crosses a single
+    blank between two words, so a text has the ids of its words, each encoded alone, in order. A
+    vocabulary with such a piece, or a text with other white space beside its blanks, is left whole.
+    """
+
+    def __init__(self, processor):
+        self.processor, self.words = processor, {}
+        pieces = (processor.id_to_piece(i) for i in range(processor.get_piece_size()))
+        self.by_word = all("▁" not in piece.lstrip("▁") for piece in pieces)
+
+    def encode(self, texts):
+        split = [text.split(" ") for text in texts]
+        words = set().union(*split) if self.by_word else set()
+        fresh = [w for w in words if w not in self.words]
+        if len(self.words) + len(fresh) > wordcache.WORDS_HELD:
+            self.words.clear()
+            fresh = list(words)
+        safe = [w for w in fresh if w and w == w.strip()]
+        for word, ids in zip(safe, self.processor.encode(safe, num_threads=1)):
+            self.words[word] = wordcache.packed(ids)
+        found, whole = [], []
+        for at, own in enumerate(split):
+            try:
+                found.append(np.frombuffer(b"".join(map(self.words.__getitem__, own)), dtype="<u4").astype(np.int32))
+            except KeyError:
+                found.append(None)
+                whole.append(at)
+        for at, ids in zip(whole, self.processor.encode([texts[at] for at in whole], num_threads=1)):
+            found[at] = np.array(ids, dtype=np.int32)
+        return found
+
+
 class Aligner:
     """Both tokenizers of a worker, and the alignment of a batch of texts."""
 
@@ -86,34 +129,30 @@ class Aligner:
         def byte_ids(texts):
             return [np.frombuffer(cache.encode_after_blank(t), dtype="<u4").astype(np.int32) for t in texts]
 
-        def piece_ids(texts):
-            return [np.array(ids, dtype=np.int32) for ids in processor.encode(texts, num_threads=1)]
-
         self.a = Side(byte_ids, byte_level_bytes(byte_path), ",", "|")
-        self.b = Side(piece_ids, piece_bytes(processor), ",", ";")
+        self.b = Side(PieceWords(processor).encode, piece_bytes(processor), ",", ";")
         self.written = pa.array(self.a.written + self.b.written, pa.string())
 
     def ids(self, texts):
-        """Ids by both sides, none where a side's joined bytes are not those of blank + text."""
-        both = []
-        for a, b, text in zip(self.a.encode(texts), self.b.encode(texts), texts):
-            whole = b" " + text.encode()
-            same = all(
-                b"".join(map(side.bytes.__getitem__, ids.tolist())) == whole for side, ids in ((self.a, a), (self.b, b))
-            )
-            both.append((a, b) if text and same else (a[:0], b[:0]))
-        return [x for x, _ in both], [y for _, y in both]
+        """Lists of ids by both sides, empty where a side's joined bytes are not those of blank + text."""
+        wanted = pa.array([b" " + text.encode() for text in texts], pa.large_binary())
+        ids = self.a.encode(texts), self.b.encode(texts)
+        same = pc.and_(*(pc.equal(side.joined(_lists(own)), wanted) for side, own in zip((self.a, self.b), ids)))
+        kept = [bool(text) and ok for text, ok in zip(texts, same.to_pylist())]
+        if all(kept):
+            return [_lists(own) for own in ids]
+        return [_lists([x if ok else x[:0] for x, ok in zip(own, kept)]) for own in ids]
 
     def align(self, texts):
         """Columns n_a, n_b, n_groups, n_links, groups_sha256 and links of a batch of texts (no nulls)."""
-        lists = [_lists(ids) for ids in self.ids(texts)]
+        lists = self.ids(texts)
         documents, ends = zip(*(side.tokens(own) for side, own in zip((self.a, self.b), lists)))
         flat = [pc.list_flatten(own) for own in lists]
         tables = [
-            pa.table({"doc": d, "end": e, name: pa.array(np.arange(len(d)))})
+            pa.table({"key": pc.bit_wise_or(pc.shift_left(d, END_BITS), e), name: pa.array(np.arange(len(d), dtype=np.int32))})
             for d, e, name in zip(documents, ends, ("i", "j"))
         ]
-        shared = tables[0].join(tables[1], keys=["doc", "end"], join_type="inner", use_threads=False)
+        shared = tables[0].join(tables[1], keys="key", join_type="inner", use_threads=False)
         groups, last = [], []
         for name, table in zip(("i", "j"), tables):
             cut = np.zeros(len(table), dtype=np.int64)
@@ -121,7 +160,7 @@ class Aligner:
             groups.append(np.cumsum(cut) - cut)  # the shared ends before a token, over the whole batch
             last.append(cut.astype(bool))
         n = len(texts)
-        n_groups = np.bincount(shared["doc"].to_numpy(), minlength=n)
+        n_groups = np.bincount(shared["key"].to_numpy() >> END_BITS, minlength=n)
         links = self._links(flat, groups, np.repeat(np.arange(n), n_groups), n)
         return pa.RecordBatch.from_arrays(
             [
@@ -134,16 +173,33 @@ class Aligner:
     @staticmethod
     def _links(flat, groups, doc_of_group, n):
         """(n_links, links) of each document: token pairs that share a group, added up by ids."""
-        counted = [
-            pa.table({"group": pa.array(g), name: ids}).group_by(["group", name], use_threads=False).aggregate([([], "count_all")])
-            .rename_columns(["group", name, f"n_{name}"])
-            for g, ids, name in zip(groups, flat, ("a", "b"))
-        ]
-        pairs = counted[0].join(counted[1], keys="group", join_type="inner", use_threads=False)
-        found = pa.table({
-            "doc": pa.array(doc_of_group[pairs["group"].to_numpy()], pa.int64()), "a": pairs["a"], "b": pairs["b"],
-            "times": pc.multiply(pairs["n_a"], pairs["n_b"]),
-        }).group_by(["doc", "a", "b"], use_threads=False).aggregate([("times", "sum")]).sort_by("doc")
+        n_groups = len(doc_of_group)
+        sizes = [np.bincount(g, minlength=n_groups) for g in groups]
+        wide = sizes[0] * sizes[1] > WIDE
+        ids = [own.to_numpy() for own in flat]
+        # Groups of a few tokens: all pairs of them, by their places.
+        pairs = np.where(wide, 0, sizes[0] * sizes[1])
+        of = np.repeat(np.arange(n_groups), pairs)
+        at = np.arange(len(of)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+        first = [np.cumsum(s) - s for s in sizes]
+        rows = [pa.table({
+            "doc": doc_of_group[of], "a": ids[0][first[0][of] + at // sizes[1][of]],
+            "b": ids[1][first[1][of] + at % sizes[1][of]], "times": np.ones(len(of), dtype=np.int64),
+        })]
+        if wide.any():  # long groups: their distinct ids with how often each is there
+            counted = [
+                pa.table({"group": g[wide[g]], name: own[wide[g]]})
+                .group_by(["group", name], use_threads=False).aggregate([([], "count_all")])
+                .rename_columns(["group", name, f"n_{name}"])
+                for g, own, name in zip(groups, ids, ("a", "b"))
+            ]
+            met = counted[0].join(counted[1], keys="group", join_type="inner", use_threads=False)
+            rows.append(pa.table({
+                "doc": doc_of_group[met["group"].to_numpy()], "a": met["a"], "b": met["b"],
+                "times": pc.multiply(met["n_a"], met["n_b"]),
+            }))
+        found = pa.concat_tables(rows).group_by(["doc", "a", "b"], use_threads=False).aggregate([("times", "sum")])
+        found = found.sort_by("doc")
         doc, times = found["doc"].to_numpy(), found["times_sum"].to_numpy()
         cuts = np.searchsorted(doc, np.arange(n + 1))
         totals = np.append(0, np.cumsum(times))
@@ -160,9 +216,9 @@ class Aligner:
         before_a = np.append(0, np.cumsum(np.bincount(groups[0], minlength=n_groups)))
         before_b = np.append(0, np.cumsum(np.bincount(groups[1], minlength=n_groups)))
         order = np.empty(n_a + n_b, dtype=np.int64)
-        order[np.arange(n_a) + before_b[groups[0]]] = flat[0].to_numpy() + last[0] * len(self.a.bytes)
+        order[np.arange(n_a) + before_b[groups[0]]] = flat[0].to_numpy() + last[0] * self.a.size
         order[np.arange(n_b) + before_a[groups[1] + 1]] = (
-            flat[1].to_numpy() + last[1] * len(self.b.bytes) + len(self.a.written)
+            flat[1].to_numpy() + last[1] * self.b.size + len(self.a.written)
         )
         offsets = pc.add(lists[0].offsets, lists[1].offsets)
         parts = pa.ListArray.from_arrays(offsets, pc.take(self.written, pa.array(order)))

@@ -86,8 +86,9 @@ ODD = [
 ]
 
 
-@pytest.mark.parametrize("frequent, batch_bytes", [(300_000, 1 << 20), (10, 5000), (0, 1)])
-def test_alignment_of_hostile_tables(spark, frame, monkeypatch, frequent, batch_bytes):
+@pytest.mark.parametrize("frequent, batch_bytes, wide", [(300_000, 1 << 20, 64), (10, 5000, 0), (0, 1, 1 << 30)])
+def test_alignment_of_hostile_tables(spark, frame, monkeypatch, frequent, batch_bytes, wide):
+    monkeypatch.setattr(alignment, "WIDE", wide)
     monkeypatch.setattr(alignment, "FREQUENT", frequent)
     monkeypatch.setattr(alignment, "BATCH_BYTES", batch_bytes)
     made = HOSTILE + ODD + [(200 + i, words(i % 7, 40)) for i in range(30)]
@@ -117,3 +118,13 @@ def test_partial_counts_are_handed_on_whole(monkeypatch):
         for row in part.to_pylist():
             total[row["a"], row["b"]] += row["documents"]
     assert total == Counter({(a, b): len(range(a, 20, 3)) for a in range(3) for b in range(3)})
+
+
+def test_words_alone_have_the_pieces_of_whole_texts(monkeypatch):
+    monkeypatch.setattr(alignment.wordcache, "WORDS_HELD", 50)
+    processor = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    held = alignment.PieceWords(processor)
+    assert held.by_word
+    for start in range(0, 200, 20):
+        texts = [t or "" for _, t, *_ in HOSTILE + ODD] + [words(start + i, 30, "abcdefghijéüß漢é.,'\t ") for i in range(20)]
+        assert [ids.tolist() for ids in held.encode(texts)] == [processor.encode(t) for t in texts]
