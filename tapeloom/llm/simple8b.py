@@ -3,7 +3,8 @@
 A 64-bit word holds a selector in its top four bits and equally wide values in the other 60.
 Values too wide for that follow an escape word, whose low bits say how many raw words come.
 A packed array is cut into blocks that are coded on their own; a table of word offsets in front
-lets a reader decode any block, or any range of values, without the ones before it.
+lets a reader decode any block, or any range of values, without the ones before it. The words of all
+blocks of an array are found side by side, a step at a time, so many short blocks are quick.
 """
 
 import numpy as np
@@ -15,71 +16,93 @@ SELECTORS = (
 )
 ESCAPE = 15
 MAGIC = b"TLS8"
-BLOCK = 16384  # values in a block
+BLOCK = 16384  # values in a block, unless the caller has many blocks to pack at once
 
 _COUNTS = np.array([n for n, _ in SELECTORS], dtype=np.int64)
+_BITS = sorted({bits for _, bits in SELECTORS})
+_REST = max(n for n, _ in SELECTORS)  # places that the last word of a block may go beyond its end
 
 
-def _choices(values):
+def _choices(values, ends):
     """For every position the densest selector that fits there; ``ESCAPE`` where none does.
 
-    Beyond the end, values count as zeros, so that the last word may be partly filled.
+    Beyond ``ends``, the end of the block of each position, values count as zeros, so that the
+    last word of a block may be partly filled.
     """
     n = len(values)
-    chosen = np.full(n, ESCAPE, dtype=np.int64)
-    alive = np.arange(n)
-    largest = int(values.max())
+    chosen = np.full(n, ESCAPE, dtype=np.uint8)
+    width = np.searchsorted(1 << np.array(_BITS, dtype=np.uint64), values, side="right").astype(np.uint8)
+    largest = int(width.max())
+    alive = np.arange(n, dtype=np.int64)
+    wide = np.zeros(n + 1, dtype=np.int32)
     for selector in range(len(SELECTORS) - 1, -1, -1):
         count, bits = SELECTORS[selector]
+        fits = _BITS.index(bits)
+        if largest <= fits:
+            chosen[:] = selector
+            continue
         # A denser selector fits only where every less dense one does, so the set shrinks.
-        if largest >> bits:
-            wide = np.zeros(n + 1, dtype=np.int32)
-            np.cumsum(values >= 1 << bits, out=wide[1:])
-            alive = alive[wide[np.minimum(alive + count, n)] == wide[alive]]
+        np.cumsum(width > fits, out=wide[1:])
+        alive = alive[wide[np.minimum(alive + count, ends[alive])] == wide[alive]]
         if not len(alive):
             break
-        if not largest >> bits:
-            chosen[:] = selector
-        else:
-            chosen[alive] = selector
+        chosen[alive] = selector
     return chosen
 
 
-def _encode_block(values):
+def _word_starts(steps, block):
+    """Positions where words begin: all blocks are walked at once, a word of each at a time."""
+    at = np.arange(0, len(steps), block)
+    stop = np.minimum(at + block, len(steps))
+    found = []
+    while len(at):
+        found.append(at)
+        at = at + steps[at]
+        inside = at < stop
+        if not inside.all():
+            at, stop = at[inside], stop[inside]
+    return np.sort(np.concatenate(found))
+
+
+def _encode(values, block):
+    """(words, words of each block) of an array that is not empty."""
     n = len(values)
-    chosen = _choices(values)
-    steps = np.append(_COUNTS, 1).astype(np.uint8)[chosen].tobytes()
-    starts, at = [], 0
-    start_at = starts.append
-    while at < n:
-        start_at(at)
-        at += steps[at]
-    starts = np.array(starts, dtype=np.int64)
-    picks = chosen[starts]
+    blocks = -(-n // block)
+    ends = np.minimum((np.arange(n) // block + 1) * block, n)
+    chosen = _choices(values, ends)
+    starts = _word_starts(np.append(_COUNTS, 1)[chosen], block)
+    picks, owner = chosen[starts], starts // block
     words = np.zeros(len(starts), dtype=np.uint64)
-    padded = np.append(values, np.zeros(240, dtype=np.uint64))
-    for selector in np.unique(picks):
+    padded = np.zeros((blocks, block + _REST), dtype=np.uint64)  # zeros behind every block
+    whole = n // block
+    padded[:whole, :block] = values[: whole * block].reshape(whole, block)
+    padded[whole:, : n - whole * block] = values[whole * block :]
+    padded, places = padded.ravel(), starts + owner * _REST
+    for selector in np.flatnonzero(np.bincount(picks)):
         if selector == ESCAPE:
             continue
         count, bits = SELECTORS[selector]
-        rows = picks == selector
-        packed = np.full(rows.sum(), np.uint64(int(selector) << 60), dtype=np.uint64)
+        rows = np.flatnonzero(picks == selector)
+        at = places[rows]
+        packed = np.full(len(rows), np.uint64(int(selector) << 60), dtype=np.uint64)
         for j in range(count if bits else 0):
-            packed |= padded[starts[rows] + j] << np.uint64(j * bits)
+            packed |= padded[at + j] << np.uint64(j * bits)
         words[rows] = packed
+    sizes = np.bincount(owner, minlength=blocks)
     escaped = picks == ESCAPE
     if not escaped.any():
-        return words
-    # A run of escaped values becomes one escape word with their number, then the raw values.
-    opens = escaped & ~np.append(False, escaped[:-1])
+        return words, sizes
+    # A run of escaped values of a block becomes one escape word with their number, then the raw values.
+    opens = escaped & ~(np.append(False, escaped[:-1]) & np.append(False, owner[1:] == owner[:-1]))
     run = np.cumsum(opens) - 1
     lengths = np.bincount(run[escaped])
     words[escaped] = values[starts[escaped]]
     heads = (np.uint64(ESCAPE) << np.uint64(60)) | lengths.astype(np.uint64)
-    return np.insert(words, np.flatnonzero(opens), heads)
+    return np.insert(words, np.flatnonzero(opens), heads), sizes + np.bincount(owner[opens], minlength=blocks)
 
 
-def _decode_block(words, n):
+def _decode(words, sizes, block):
+    """Values of whole blocks, from their words and the words of each block."""
     raw_at, skip = [], np.zeros(len(words), dtype=bool)
     selectors = (words >> np.uint64(60)).astype(np.int64)
     after = 0
@@ -95,25 +118,29 @@ def _decode_block(words, n):
     counts[raw] = 1
     coded = ~skip
     coded[raw] = False
-    starts = np.cumsum(counts) - counts
-    out = np.zeros(int(counts.sum()), dtype=np.uint64)
+    before = np.cumsum(counts) - counts
+    firsts = np.cumsum(sizes) - sizes
+    # Every block has room behind it for what its last word has too many.
+    starts = before + np.repeat(np.arange(len(sizes)) * (block + _REST) - before[firsts], sizes)
+    out = np.zeros(len(sizes) * (block + _REST), dtype=np.uint64)
     out[starts[raw]] = words[raw]
-    for selector in np.unique(selectors[coded]):
+    for selector in np.flatnonzero(np.bincount(selectors[coded])):
         count, bits = SELECTORS[selector]
-        rows = coded & (selectors == selector)
+        rows = np.flatnonzero(coded & (selectors == selector))
         mask = np.uint64((1 << bits) - 1)
+        at, packed = starts[rows], words[rows]
         for j in range(count if bits else 0):
-            out[starts[rows] + j] = (words[rows] >> np.uint64(j * bits)) & mask
-    return out[:n]
+            out[at + j] = (packed >> np.uint64(j * bits)) & mask
+    return out.reshape(len(sizes), -1)[:, :block].ravel()
 
 
 def pack(values, block=BLOCK):
     """Bytes of an array of unsigned integers of up to 64 bits."""
     values = np.asarray(values, dtype=np.uint64)
-    blocks = [_encode_block(values[i : i + block]) for i in range(0, len(values), block)]
-    offsets = np.cumsum([0, *map(len, blocks)]).astype("<u8")
+    words, sizes = _encode(values, block) if len(values) else (np.empty(0, dtype=np.uint64), np.empty(0, dtype=int))
+    offsets = np.append(0, np.cumsum(sizes)).astype("<u8")
     head = MAGIC + np.array([block], dtype="<u4").tobytes() + np.array([len(values)], dtype="<u8").tobytes()
-    return head + offsets.tobytes() + b"".join(b.astype("<u8").tobytes() for b in blocks)
+    return head + offsets.tobytes() + words.astype("<u8").tobytes()
 
 
 def unpack(data, start=0, stop=None):
@@ -124,16 +151,11 @@ def unpack(data, start=0, stop=None):
     n = int(np.frombuffer(data, "<u8", 1, 8)[0])
     stop = n if stop is None else min(stop, n)
     blocks = -(-n // block)
-    offsets = np.frombuffer(data, "<u8", blocks + 1, 16)
+    offsets = np.frombuffer(data, "<u8", blocks + 1, 16).astype(np.int64)
     body = 16 + 8 * (blocks + 1)
     if start >= stop:
         return np.empty(0, dtype=np.uint64)
     first, last = start // block, (stop - 1) // block
-    found = [
-        _decode_block(
-            np.frombuffer(data, "<u8", int(offsets[i + 1] - offsets[i]), body + 8 * int(offsets[i])),
-            min(block, n - i * block),
-        )
-        for i in range(first, last + 1)
-    ]
-    return np.concatenate(found)[start - first * block : stop - first * block]
+    words = np.frombuffer(data, "<u8", int(offsets[last + 1] - offsets[first]), body + 8 * int(offsets[first]))
+    found = _decode(words, np.diff(offsets[first : last + 2]), block)
+    return found[start - first * block : stop - first * block]

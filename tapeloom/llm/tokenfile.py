@@ -16,6 +16,7 @@ from pyspark.sql import Window, functions as F
 from tapeloom.llm import simple8b, wordcache
 
 GROUP_IDS = 1 << 18
+BLOCK_IDS = 1 << 10  # ids in a block of a group's packed ids
 
 GROUPS = (
     "shard int, start_in_shard long, doc_ids array<bigint>, lengths array<bigint>, payload binary"
@@ -38,7 +39,7 @@ def _encoder(path, joins_blanks, end_id):
                 "start_in_shard": pa.array([start], pa.int64()),
                 "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())),
                 "lengths": pa.array([[len(p) // 4 for p in parts]], pa.list_(pa.int64())),
-                "payload": pa.array([simple8b.pack(ids)], pa.binary()),
+                "payload": pa.array([simple8b.pack(ids, BLOCK_IDS)], pa.binary()),
             })
 
         for batch in batches:

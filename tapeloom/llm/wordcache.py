@@ -28,6 +28,8 @@ SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 # the sign that special tokens begin with, line feed, and composed Latin letters.
 PLAIN = re.compile("[\n -;=-~\u00c0-\u012f\u0131-\u017e]*")
 
+MARKS = frozenset(",.;:!?)")  # marks that are pieces of their own at the end of a word
+
 # Fixed value: the pattern of byte-level vocabularies.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -122,6 +124,14 @@ class WordCache:
 
     def ids_of(self, stretch):
         """Ids of a stretch as if it were a text."""
+        if self.split and stretch.isascii():
+            # A word of letters is one piece by the pattern, and so is a mark after it.
+            word = stretch.removeprefix(self.blank)
+            if word.isalpha():
+                return self.pieces[stretch.lower() if self.split[1] else stretch]
+            if word[-1:] in MARKS and word[:-1].isalpha():
+                lowered = stretch.lower() if self.split[1] else stretch
+                return self.pieces[lowered[:-1]] + self.pieces[lowered[-1]]
         if self.split and PLAIN.fullmatch(stretch):
             pattern, lower = self.split
             if lower:

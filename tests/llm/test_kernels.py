@@ -49,6 +49,18 @@ def test_simple8b_gives_back_what_it_got(values, block):
     assert (simple8b.unpack(packed, a, b) == values[a:b]).all()
 
 
+def test_simple8b_blocks_with_escapes_at_their_ends():
+    draw = random.Random(9)
+    for block in (1, 2, 7, 240):
+        for _ in range(30):
+            values = np.array([draw.choice([0, 1, 5, 1 << 29, 1 << 30, 1 << 63, (1 << 64) - 1]) for _ in range(draw.randint(1, 700))], dtype=np.uint64)
+            packed = simple8b.pack(values, block)
+            assert (simple8b.unpack(packed) == values).all()
+            a = draw.randint(0, len(values))
+            b = draw.randint(a, len(values))
+            assert (simple8b.unpack(packed, a, b) == values[a:b]).all()
+
+
 def test_simple8b_is_dense_and_escapes_look_like_nothing_else():
     assert len(simple8b.pack(np.zeros(2400, dtype=np.uint64))) <= 24 + 8 * 11
     assert len(simple8b.pack(np.full(4000, 2**15 - 1, dtype=np.uint64))) <= 24 + 8 * 1001
