@@ -22,7 +22,7 @@ from checks.relations import EXPIRY, Relations
 from tapeloom import schemas
 from tapeloom.functions import dates, rounding, text
 from tapeloom.operators import calendar, examples, prompts, ranges, tables, tokens
-from tapeloom.plans import dataset, extraction, tokenization
+from tapeloom.plans import dataset, extraction, tokenization, upkeep
 from tapeloom.settings import HISTORY_SPANS, SPLITS, scratch_dir
 from tapeloom.sources import scans, sinks, vendors
 
@@ -133,6 +133,27 @@ def scan_reports(r):
     )
 
 
+@query(
+    ["report"],
+    """SELECT row_number() OVER (ORDER BY report_id) - 1 AS report_id, source, market, date, report_date,
+       md5(passage) AS passage_md5 FROM report""",
+)
+@dated("report_date")
+def land_reports(r):
+    """Report files in the order of the orders, landed with ids by file and place."""
+    path = scratch_dir(r.spark, "landing")
+    ordered = r.report().repartitionByRange("report_id").sortWithinPartitions("report_id")
+    (
+        ordered.select("source", "market", "date", "passage")
+        .write.options(sep="\t", encoding="UTF-16", header=True, quote='"', escape='"')
+        .options(quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(f"{path}/files")
+    )
+    sinks.land_reports(scans.scan_reports(r.spark, f"{path}/files", with_file=True), f"{path}/landed")
+    landed = r.spark.read.parquet(f"{path}/landed")
+    return landed.select("report_id", "source", "market", "date", "report_date", digest("passage").alias("passage_md5"))
+
+
 @query(
     ["instrument", "bar"],
     """SELECT i.*, coalesce(n, 0) AS n_bars FROM instrument i
@@ -331,6 +352,73 @@ def append_bars(r):
     return scans.scan_bars(r.spark, path).select(*schemas.BAR.fieldNames(), "vendor")
 
 
+def feeds(r, path):
+    """One folder of bar files a vendor."""
+    def read(spark, paths):
+        return vendors.conform_bars(scans.read_named(spark, paths, schemas.BAR, with_file=True), keep=("file",))
+
+    return [upkeep.Feed(name, f"{path}/{name}", read) for name in ("cme", "yahoo", "index")]
+
+
+LATE = "day(trade_date) = 15"  # the days whose bars come with the second delivery
+
+
+def deliver(r, path, first):
+    """Files of all vendors: some bars come late, some files are first wrong, some go again."""
+    listed = sourced_bars(r)
+    for feed in feeds(r, path):
+        own = listed.where(F.col("data_source") == feed.vendor).drop("data_source").select(*schemas.BAR.fieldNames())
+        if first:
+            own.where(f"NOT {LATE}").write.option("header", True).csv(feed.path)
+        elif feed.vendor == "yahoo":  # the whole history again, in other files
+            own.repartition(3).write.mode("overwrite").option("header", True).csv(feed.path)
+        else:
+            own.where(LATE).write.mode("append").option("header", True).csv(feed.path)
+
+
+def ingested(r, between=lambda bars: None):
+    """Bars of two deliveries, each ingested, with ``between`` called on the first state."""
+    path = scratch_dir(r.spark, "deliveries")
+    for first in (True, False):
+        deliver(r, f"{path}/files", first)
+        upkeep.ingest_files(r.spark, f"{path}/bars", feeds(r, f"{path}/files"))
+        if first:
+            between(f"{path}/bars")
+    upkeep.ingest_files(r.spark, f"{path}/bars", feeds(r, f"{path}/files"))  # nothing new
+    return f"{path}/bars"
+
+
+@query(["bar", "instrument"], "SELECT b.*, data_source AS vendor FROM bar b JOIN instrument i ON i.ord = b.seq")
+@dated("trade_date")
+def ingest_files(r):
+    return upkeep.current_bars(r.spark, ingested(r))
+
+
+def refreshed(r):
+    """(days made again by the second delivery, path of the tables)."""
+    state = f"{scratch_dir(r.spark, 'refreshed')}/tables"
+
+    def refresh(bars):
+        return upkeep.refresh_tables(r.spark, state, bars, r.report_key(), r.instrument(), r.contract())
+
+    return refresh(ingested(r, refresh)), state
+
+
+@query(["tab"], f"SELECT market, report_date, row_no, {BARS_SQL} FROM tab")
+@dated("report_date", "trade_date")
+def refresh_tables(r):
+    """Tables after a second delivery, of which only the days it touches were made again."""
+    _, state = refreshed(r)
+    return upkeep.current_tables(r.spark, state)
+
+
+@query(["found"], f"SELECT DISTINCT market, report_date FROM found WHERE {LATE}")
+@dated("report_date")
+def refreshed_days(r):
+    """The market days that a second delivery touches."""
+    return refreshed(r)[0]
+
+
 RAW_SQL = """SELECT trade_date, product, b.symbol, open, high, low,
   CASE WHEN data_source = 'yahoo' THEN round_even(close, 2) ELSE close END AS close, volume, seq
   FROM bar b JOIN instrument i ON i.ord = b.seq"""

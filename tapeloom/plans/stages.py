@@ -14,6 +14,7 @@ from tapeloom.operators.examples import SEED
 from tapeloom.operators.render import render_table
 from tapeloom.operators.tables import rejected_reports, report_keys
 from tapeloom.operators.tokens import MAX_OUTPUT, MAX_SEQUENCE
+from tapeloom.plans import upkeep
 from tapeloom.plans.dataset import DAY, build_dataset
 from tapeloom.plans.extraction import keyed_report_tables, market_day_tables
 from tapeloom.plans.tokenization import tokenize_reports
@@ -105,11 +106,16 @@ def rejects(spark, config):
     rejected.write.mode("overwrite").parquet(config.path("rejects"))
 
 
-def construct(spark, config):
-    """Text tables of every market day, then dataset rows of every split."""
+def render(spark, config):
+    """Text tables of every market day."""
     tables = render_table(spark.read.parquet(config.path("market_days", config.span)), DAY)
     tables.write.mode("overwrite").parquet(config.path("rendered", config.span))
-    rendered = spark.read.parquet(config.path("rendered", config.span))
+
+
+def construct(spark, config, rendered=None):
+    """Dataset rows of every split, with the given text tables or those of ``render``."""
+    if rendered is None:
+        rendered = spark.read.parquet(config.path("rendered", config.span))
     reports = spark.read.parquet(config.path("reports"))
     if config.examples:
         examples = spark.read.parquet(config.path("examples"))
@@ -138,12 +144,14 @@ def read_dataset(spark, config):
     )
 
 
-def tokenize(spark, config):
+def tokenize(spark, config, rendered=None):
     """Token rows of every split, in date order, from the same reports and tables as the dataset."""
+    if rendered is None:
+        rendered = spark.read.parquet(config.path("rendered", config.span))
     rows = tokenize_reports(
         spark.read.parquet(config.path("reports")),
         scans.scan_split_reference(spark, config.split_reference),
-        spark.read.parquet(config.path("rendered", config.span)),
+        rendered,
         scans.scan_instruction(spark, config.instruction),
         config.max_sequence,
         config.max_output,
@@ -165,5 +173,28 @@ def run(spark, config, vendors=None):
     """All stages in order."""
     if vendors:
         ingest(spark, config, vendors)
-    for stage in (land_texts, rejects, calendar, extract, construct, tokenize):
+    for stage in (land_texts, rejects, calendar, extract, render, construct, tokenize):
         stage(spark, config)
+
+
+def update(spark, config, feeds):
+    """All stages from landed vendor files, with tables made again only where bars or reports changed.
+
+    ``feeds`` are those of ``upkeep``. Bars and tables are kept as layers beside those of ``run``;
+    dataset and tokens are those that ``run`` gives with the same bars.
+    """
+    bars, tables = config.path("bar_layers"), config.path("table_layers", config.span)
+    upkeep.ingest_files(spark, bars, feeds)
+    for stage in (land_texts, rejects, calendar):
+        stage(spark, config)
+    upkeep.refresh_tables(
+        spark,
+        tables,
+        bars,
+        spark.read.parquet(config.path("reports")),
+        scans.scan_instruments(spark, config.instruments),
+        spark.read.parquet(config.path("contracts")),
+        HISTORY_SPANS[config.span],
+    )
+    for stage in (construct, tokenize):
+        stage(spark, config, upkeep.current_texts(spark, tables))

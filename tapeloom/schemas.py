@@ -27,6 +27,16 @@ BAR_FILE = T.StructType(
     + [T.StructField(BAR_HEADERS[c], T.DoubleType()) for c in VALUE_COLUMNS]
 )
 
+# Futures bars as landed, stamped in UTC.
+FUTURES_FILE = T.StructType(
+    [
+        T.StructField("ts_event", T.TimestampType()),
+        T.StructField("product name", T.StringType()),
+        T.StructField("symbol", T.StringType()),
+    ]
+    + [T.StructField(c, T.DoubleType()) for c in VALUE_COLUMNS]
+)
+
 BAR = T.StructType(
     [
         T.StructField("trade_date", T.DateType()),

@@ -20,7 +20,7 @@ def name_bars(raw):
     )
 
 
-def read_named(spark, path, schema, **options):
+def read_named(spark, path, schema, with_file=False, **options):
     """Delimited files with a header, columns found by name in whatever order.
 
     The order is the first file's; a file with another order fails the read, as a column
@@ -33,7 +33,8 @@ def read_named(spark, path, schema, **options):
         raise ValueError(f"{path}: no column {', '.join(missing)}")
     fields = [schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in found]
     named = reader.schema(T.StructType(fields)).option("enforceSchema", False).csv(path)
-    return named.select(*schema.names)
+    file = [F.col("_metadata.file_path").alias("file")] if with_file else []
+    return named.select(*schema.names, *file)
 
 
 def scan_bars(spark, path, file_format="parquet"):
@@ -133,10 +134,12 @@ def scan_instruction(spark, path):
     return spark.read.text(path, wholetext=True).select(strip(F.col("value")).alias("instruction"))
 
 
-def scan_cash_index(spark, path, value_column):
-    """Cash index file: its date and one value column by name, both still text."""
+def scan_cash_index(spark, path, value_column, with_file=False):
+    """Cash index files: their date and one value column by name, both still text."""
     raw = spark.read.option("header", True).csv(path)
-    return strip_names(raw).select("Date", value_column)
+    file = [F.col("_metadata.file_path").alias("file")] if with_file else []
+    dated, value = ([c for c in raw.columns if c.strip() == name][0] for name in ("Date", value_column))
+    return raw.select(F.col(f"`{dated}`").alias("Date"), F.col(f"`{value}`").alias(value_column), *file)
 
 
 def scan_yields(spark, path):
@@ -175,7 +178,3 @@ def _by_layout(line, header):
 
     return F.struct(*[named(c) for c in schemas.YIELD_COLUMNS])
 
-
-def strip_names(frame):
-    """Vendors pad column names with blanks."""
-    return frame.toDF(*[c.strip() for c in frame.columns])
