@@ -12,15 +12,16 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tapeloom.llm import wordcache
 from tapeloom.settings import scratch_dir
 
 GROUP_PIECES = 50_000
-TRIES = 64  # ways that local search looks at for an item
+STEPS = 32  # the least that an exchange moves, as a part of a bin
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PLACED = PIECES + ", group long, bin long, offset long, fill long"
+ROWS = PIECES + ", row long"
+PLACED = ROWS + ", group long, bin long, offset long, fill long"
 
 
 def cut(n_tokens, capacity):
@@ -89,13 +90,16 @@ class LocalSearch:
 
     The emptiest bin is the source. Each of its items looks for a bin it can go to: as it is
     (move), for one smaller item (one for one), or for two smaller items (two for one). Every
-    way a bin could make room is listed by the room it makes, so the way that leaves the
-    receiving bin fullest is found by bisection; ways of a bin that has changed since are
-    dropped when met. An exchange is made only if the sum of squared fills grows.
+    way a bin could make room is listed by the room it makes, then by the length it gives back,
+    so the way that leaves the receiving bin fullest is found by bisection; ways of a bin that
+    has changed since are dropped when met. An exchange is made only if the target gets fuller than
+    the source was, which raises the sum of squared fills, and if it moves a whole item or at least
+    a ``STEPS``-th of a bin: exchanges of a few ids go on for very long and empty hardly any bin.
     """
 
     def __init__(self, lengths, bins, capacity):
         self.lengths, self.bins, self.capacity = lengths, bins, capacity
+        self.step = max(1, capacity // STEPS)
         self.fill = [sum(lengths[i] for i in b) for b in bins]
         self.version = [0] * len(bins)
         self.ways = []  # (room, bin, version, items to give back), sorted
@@ -112,15 +116,15 @@ class LocalSearch:
         of_length = {}
         for item in self.bins[number]:  # items of one length are alike; two of them make a pair
             of_length.setdefault(self.lengths[item], []).append(item)
-        yield space, *mark, ()
+        yield space, 0, *mark, ()
         sizes = sorted(of_length)
         for i, one in enumerate(sizes):
             items = of_length[one]
-            yield space + one, *mark, (items[0],)
+            yield space + one, one, *mark, (items[0],)
             if len(items) > 1:
-                yield space + 2 * one, *mark, (items[0], items[1])
+                yield space + 2 * one, 2 * one, *mark, (items[0], items[1])
             for two in sizes[i + 1 :]:
-                yield space + one + two, *mark, (items[0], of_length[two][0])
+                yield space + one + two, one + two, *mark, (items[0], of_length[two][0])
 
     def _changed(self, number, fill):
         old = (self.fill[number], number)
@@ -135,47 +139,47 @@ class LocalSearch:
             insort(self.ways, way)
 
     def _improve(self, source, item):
-        """Make the best exchange for ``item`` of ``source``; False if there is none."""
+        """Make the best exchange for ``item`` of ``source``; False if there is none.
+
+        Of ways with the same room the first gives back least: if even that leaves no gain, none
+        of them does, and the search goes on at the next room there is.
+        """
         size = self.lengths[item]
         at = bisect_left(self.ways, (size,))
-        for _ in range(TRIES):
-            if at == len(self.ways):
-                break
-            room, target, version, back = self.ways[at]
+        while at < len(self.ways):
+            room, given, target, version, back = self.ways[at]
             if version != self.version[target]:
                 self.ways.pop(at)
-                continue
-            gain = size - sum(self.lengths[i] for i in back)
-            a, b = self.fill[source], self.fill[target]
-            if target != source and gain > 0 and (a - gain) ** 2 + (b + gain) ** 2 > a * a + b * b:
+            elif given and size - given < self.step:
+                at = bisect_left(self.ways, (room + 1,), at)
+            elif target == source:
+                at += 1
+            elif self.fill[target] + size - given <= self.fill[source]:
+                # Room and length given back tell the fill, so all ways equal in both are no better.
+                at = bisect_left(self.ways, (room, given + 1), at)
+            else:
                 self.bins[source].remove(item)
                 self.bins[source].extend(back)
                 self.bins[target] = [i for i in self.bins[target] if i not in back] + [item]
-                self._changed(source, a - gain)
-                self._changed(target, b + gain)
+                self._changed(source, self.fill[source] - size + given)
+                self._changed(target, self.fill[target] + size - given)
                 return True
-            at += 1
         return False
 
     def run(self, fewest):
         """Work on bins from the emptiest until ``fewest`` are left or nothing improves.
 
-        A bin that nothing improves is no longer a source. The effort is bounded: ``TRIES`` ways
-        an item, and as many exchanges as there are underfull bins.
+        A bin that nothing improves is no longer a source, until it changes. This ends, as the sum
+        of squared fills grows with each exchange.
         """
         left = sum(map(bool, self.bins))
-        for _ in range(len(self.open)):
-            improved = False
-            while self.open and left > fewest and not improved:
-                source = self.open[0][1]
-                items = sorted(self.bins[source], key=lambda i: (-self.lengths[i], i))
-                improved = any(self._improve(source, item) for item in items)
-                if not improved:
-                    self.open.pop(0)
-                elif not self.bins[source]:
-                    left -= 1
-            if not improved:
-                break
+        while self.open and left > fewest:
+            source = self.open[0][1]
+            items = sorted(self.bins[source], key=lambda i: (-self.lengths[i], i))
+            if not any(self._improve(source, item) for item in items):
+                self.open.pop(0)
+            elif not self.bins[source]:
+                left -= 1
         return [b for b in self.bins if b]
 
 
@@ -188,7 +192,7 @@ def pack(lengths, capacity):
 
 def _pack_group(capacity):
     def packed(part):
-        part = part.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True]).reset_index(drop=True)
+        part = part.sort_values(["length", "doc_id", "piece", "row"], ascending=[False, True, True, True]).reset_index(drop=True)
         lengths = part["length"].tolist()
         where, offset, fill = (np.zeros(len(part), dtype="int64") for _ in range(3))
         for number, items in enumerate(pack(lengths, capacity)):
@@ -200,12 +204,21 @@ def _pack_group(capacity):
     return packed
 
 
-def _in_groups(pieces, count, capacity, group_pieces):
+def _in_groups(pieces, count, capacity, group_pieces, path):
+    """Pieces packed in groups and written; dealt by their row number, so copies are spread too."""
     groups = max(1, -(-count // group_pieces))
-    dealt = pieces.withColumn(
-        "group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "start"), F.lit(groups)).cast("long")
-    )
-    return dealt.groupBy("group").applyInPandas(_pack_group(capacity), PLACED)
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("long"))
+    dealt.groupBy("group").applyInPandas(_pack_group(capacity), PLACED).write.parquet(path)
+    return pieces.sparkSession.read.schema(PLACED).parquet(path)
+
+
+def _numbered(placed):
+    """``placed`` with ``sequence``: its bin's number among the bins of all groups, from 0."""
+    sizes = placed.groupBy("group").agg((F.max("bin") + 1).alias("_bins"))
+    before = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    lifts = sizes.select("group", F.coalesce(F.sum("_bins").over(before), F.lit(0)).alias("_lift"))
+    # One row a group of many thousand pieces.
+    return placed.join(F.broadcast(lifts), "group").withColumn("sequence", F.col("_lift") + F.col("bin"))
 
 
 def pack_pieces(spark, pieces, capacity=2048, group_pieces=GROUP_PIECES):
@@ -216,21 +229,20 @@ def pack_pieces(spark, pieces, capacity=2048, group_pieces=GROUP_PIECES):
     Sequence ids are unique, not dense. Null doc_ids and repeated rows are pieces like others.
     """
     stored = scratch_dir(spark, "pieces")
-    pieces.write.parquet(f"{stored}/cut")
-    pieces = spark.read.parquet(f"{stored}/cut")
+    pieces.withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{stored}/cut")
+    pieces = spark.read.schema(ROWS).parquet(f"{stored}/cut")
     short = pieces.where(F.col("length") < capacity)
-    _in_groups(short, short.count(), capacity, group_pieces).write.parquet(f"{stored}/first")
-    first = spark.read.schema(PLACED).parquet(f"{stored}/first")
+    first = _in_groups(short, short.count(), capacity, group_pieces, f"{stored}/first")
     names = [c.split()[0] for c in PIECES.split(", ")]
-    again = first.where(F.col("fill") < capacity).select(*names)
-    second = _in_groups(again, again.count(), capacity, group_pieces)
-    # Three ranges of ids: bins of the first and second packing, then full pieces.
-    number = F.col("group") * group_pieces * 4 + F.col("bin")
+    again = first.where(F.col("fill") < capacity).select(*names, "row")
+    second = _in_groups(again, again.count(), capacity, group_pieces, f"{stored}/second")
+    # Three series of ids: bins of the first and second packing, then full pieces.
     alone = pieces.where(F.col("length") == capacity).select(
-        *names, (F.monotonically_increasing_id() * 4 + 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *names, (F.col("row") * 3 + 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
+    full = _numbered(first).where(F.col("fill") == capacity)
     return (
-        first.where(F.col("fill") == capacity).select(*names, (number * 4).alias("sequence_id"), "offset")
-        .unionByName(second.select(*names, (number * 4 + 1).alias("sequence_id"), "offset"))
+        full.select(*names, (F.col("sequence") * 3).alias("sequence_id"), "offset")
+        .unionByName(_numbered(second).select(*names, (F.col("sequence") * 3 + 1).alias("sequence_id"), "offset"))
         .unionByName(alone)
     )
