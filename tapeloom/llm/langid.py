@@ -6,10 +6,9 @@ read whole, in stretches of ``STRETCH`` bytes that run through the network side
 work is proportional to the bytes, and memory to ``SIDE_BY_SIDE`` stretches whatever a text's size.
 """
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Window, functions as F
 
 STRETCH = 64  # bytes the network sees at a time
@@ -18,7 +17,7 @@ UNDETERMINED = "und"
 
 LABELS = "doc_id long, held_out boolean, lang_pred string, score double"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # letters by Unicode category, not numerals or marks
 
 
 class Network:
@@ -212,8 +211,8 @@ def train(documents, per_language=300, pieces=8, piece_chars=80, **options):
     """Fit a ``Network`` to text and non-null lang of documents that are not held out.
 
     The bound on the sample is ``per_language`` documents a language, first by the hash of their
-    id, and of each ``pieces`` stretches from all over its text; it holds for fitting alone. Rows
-    without doc_id are not learned from.
+    id, and of each ``pieces`` stretches from all over its text; it holds for fitting alone. Of rows
+    equal in id and language one is used, and rows without doc_id are not learned from.
     """
     usable = documents.select("doc_id", "text", "lang").where(
         "doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL"
@@ -228,7 +227,10 @@ def train(documents, per_language=300, pieces=8, piece_chars=80, **options):
     cut = F.transform(
         F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substring("text", (i * step + 1).cast("int"), F.lit(piece_chars))
     )
-    rows = usable.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", cut.alias("cut")).collect()
+    rows = usable.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", cut.alias("cut"))
+    # Of rows equal in both, one: an id that repeats must not outweigh the others, or fill the driver.
+    one = F.row_number().over(Window.partitionBy("doc_id", "lang").orderBy("cut"))
+    rows = rows.withColumn("_one", one).where("_one = 1").collect()
     samples = [(piece.encode(), r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["cut"])) for piece in r["cut"] if piece]
     return fit(samples, **options)
 

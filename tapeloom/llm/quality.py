@@ -201,8 +201,9 @@ def train(documents, labels, sample=20_000):
     """Trees fitted to ``quality`` of at most ``sample`` labelled documents, half of each class.
 
     The sample is the rows of ``labels`` that come first by the hash of their doc_id within their
-    class; the bound is the only limit in this operator, and it holds for fitting alone. Labels
-    without document, and documents without label, take no part. Without labels all is kept.
+    class; the bound is the only limit in this operator, and it holds for fitting alone. Of documents
+    with one doc_id one is used. Labels without document, and documents without label, take no
+    part. Without labels all is kept.
     """
     ranked = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "quality").distinct()
     ranked = ranked.withColumn(
@@ -210,6 +211,9 @@ def train(documents, labels, sample=20_000):
     ).where(F.col("_rank") <= sample // 2)
     chosen = F.broadcast(ranked.select("doc_id", "quality"))  # at most ``sample`` rows
     rows = document_statistics(documents.join(F.broadcast(ranked.select("doc_id").distinct()), "doc_id", "left_semi"))
+    # Of the rows of one doc_id, one: an id that repeats must not outweigh the others, or fill the driver.
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("features"))
+    rows = rows.select("doc_id", "features").withColumn("_one", one).where("_one = 1")
     rows = rows.join(chosen, "doc_id").select("doc_id", "features", "quality").collect()
     rows.sort(key=lambda r: (r.doc_id, r.quality, r.features))
     return fit_trees([r.features for r in rows], [r.quality for r in rows])
