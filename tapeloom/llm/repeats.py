@@ -15,7 +15,10 @@ repeats can be, and in parts that do not need each other:
    cannot be extended to the left if the bytes in front of its suffixes differ. It is reported
    with all its occurrences, not just neighbours. Repeats are cut where a stretch ends: the next
    anchor reports how they go on, so an interval with a suffix at a stretch's start counts too.
-4. Every occurrence of a group but the earliest is removed; spans of all groups are merged.
+4. Every occurrence of a group but the earliest is removed; spans of all groups are merged. For that,
+   groups are not written out: intervals lie in each other, so a group of many near copies would
+   list its places once for each of its members. The same scan hands up only the earliest suffix of
+   an interval; any other is done with at the deepest interval that has an earlier one.
 
 A task holds one batch of parts, ``BATCH_BYTES`` or one anchor's different stretches. Anchors with
 more than ``HOT`` occurrences are split window by window, and equal windows are grouped by Spark without
@@ -35,11 +38,14 @@ GRAM = 24  # bytes hashed for an anchor
 PIECE = 1 << 19  # windows of a text worked on at a time; a power of two below 2^20
 HOT = 200_000  # occurrences of an anchor beyond which its windows are dealt one by one
 BATCH_BYTES = 4 << 20
+SPANS_HELD = 200_000  # spans of copies a task merges before it hands them on
 BROADCAST_ROWS = 400_000  # rows of 24 bytes up to which a list of documents is broadcast
 BROADCAST_SPANS = 1_000_000  # removed runs, 8 bytes each, up to which they are broadcast
 LEAST_ID = -(1 << 63)  # stands for a null doc_id, which comes before all others
 
 STRETCHES = "part long, doc long, tie long, starts array<bigint>, before int, n_windows int, bytes binary"
+REMOVED = "doc long, tie long, spans array<struct<start:long,stop:long>>"
+COVERED = "doc long, tie long, start long, stop long"
 GROUPS = "group string, length int, doc long, tie long, start long, first boolean"
 
 _U = np.uint64
@@ -122,6 +128,39 @@ def intervals(common, least):
     return found
 
 
+def earlier(common, least, places, front, opens):
+    """(suffix, depth) of every suffix that is not the earliest of a maximal interval, with its deepest one.
+
+    The stack scan of ``intervals``; an entry of the stack holds its depth, its earliest suffix, those that
+    are not, the byte in front of all (-2: they differ) and whether one opens a stretch. Suffixes
+    of an interval that extends to the left as a whole are covered by that extension.
+    """
+    stack = []
+
+    def joined(entry, rep, byte, opening):
+        if places[rep] < places[entry[1]]:
+            rep, entry[1] = entry[1], rep
+        entry[2].append(rep)
+        if byte != entry[3]:
+            entry[3] = -2
+        entry[4] |= opening
+
+    for i, depth in enumerate([*common, 0]):
+        rep, byte, opening = i, front[i], opens[i]
+        while stack and stack[-1][0] > depth:
+            entry = stack.pop()
+            joined(entry, rep, byte, opening)
+            deep, rep, others, byte, opening = entry
+            if opening or byte < 0:
+                for other in others:
+                    yield other, deep
+        if depth >= least:
+            if stack and stack[-1][0] == depth:
+                joined(stack[-1], rep, byte, opening)
+            else:
+                stack.append([depth, rep, [], byte, opening])
+
+
 class SuffixArray:
     """The enhanced suffix array of the windows of some stretches.
 
@@ -262,6 +301,56 @@ def _cut(length, hot, windows=False):
     return run
 
 
+def _covered(length):
+    """Merged spans (doc, tie, start, stop) that occur earlier, of the parts of a partition sorted as for groups.
+
+    Of equal stretches the first stands for all; the others are covered as a whole and are not held.
+    """
+    def spans_of(kinds):
+        array = SuffixArray([(data, before, count) for _, before, count, data, *_ in kinds], length)
+        owner, offset = array.owner.tolist(), array.offset.tolist()
+        places = [(*kinds[k][4:6], kinds[k][6] + o) for k, o in zip(owner, offset)]
+        for suffix, depth in earlier(array.common.tolist(), length, places, array.front.tolist(), array.opens.tolist()):
+            yield places[suffix], depth
+
+    def batch_of(spans):
+        rows = [(*key, a, b) for key, own in spans.items() for a, b in merge(sorted(own))]
+        columns = list(zip(*rows)) or [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "tie", "start", "stop"])
+
+    def run(batches):
+        kinds, size, spans, held = [], 0, {}, 0
+
+        def close():
+            nonlocal held
+            for (doc, tie, start), depth in spans_of(kinds) if len(kinds) > 1 else ():
+                spans.setdefault((doc, tie), []).append((start, start + depth))
+                held += 1
+
+        for batch in batches:
+            for part, doc, tie, starts, before, count, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if kinds and kinds[-1][:4] == (part, before, count, data):
+                    # Rows equal in id and text are one document: the first place is in each of them.
+                    copies = starts if (doc, tie) != kinds[-1][4:6] else starts[1:]
+                else:
+                    if kinds and kinds[-1][0] != part and size > BATCH_BYTES:
+                        close()
+                        kinds, size = [], 0
+                    kinds.append((part, before, count, data, doc, tie, starts[0]))
+                    size += len(data)
+                    copies = starts[1:]
+                if copies:
+                    spans.setdefault((doc, tie), []).extend((start, start + len(data)) for start in copies)
+                    held += len(copies)
+                if held > SPANS_HELD:
+                    yield batch_of(spans)
+                    spans, held = {}, 0
+        close()
+        yield batch_of(spans)
+
+    return run
+
+
 def _grouped(length):
     """Maximal repeat groups of the parts of a partition sorted by part, bytes, and place."""
 
@@ -362,8 +451,16 @@ class Repeats:
 
     def groups(self):
         """(group, length, doc, tie, start, first) of every occurrence of every group."""
+        hot, ordered, windows = self._stretches()
+        groups = ordered.mapInArrow(_grouped(self.length), GROUPS)
+        return groups.unionByName(self._hot_groups(windows)) if hot else groups
+
+    def _stretches(self):
+        """(hot anchors, stretches of the others by part, windows of the hot ones)."""
+        # One number for a row: if two rows share it, both are cut by the anchors of both, to no harm.
+        key = F.xxhash64("doc", "tie")
         texts = self.originals().where(F.octet_length("text") >= self.length)
-        listed = texts.select("doc", "text").mapInArrow(_listed(self.length), "part long, doc long")
+        listed = texts.select(key.alias("doc"), "text").mapInArrow(_listed(self.length), "part long, doc long")
         listed.write.parquet(f"{self.folder}/listed")
         listed = self.spark.read.schema("part long, doc long").parquet(f"{self.folder}/listed")
         counts = listed.groupBy("part").agg(F.count("*").alias("n")).where("n > 1")
@@ -372,14 +469,12 @@ class Repeats:
         # At most anchors / HOT parts can be hot.
         hot = frozenset(r["part"] for r in counts.where(F.col("n") > HOT).select("part").collect())
         again = listed.join(counts, "part").groupBy("doc").agg(F.collect_set("part").alias("again"))
-        wanted = texts.join(again, "doc").select("doc", "tie", "text", "again")
+        again = again.withColumnRenamed("doc", "_key")
+        wanted = texts.withColumn("_key", key).join(again, "_key").select("doc", "tie", "text", "again")
         stretches = wanted.mapInArrow(_cut(self.length, hot), STRETCHES)
         ordered = stretches.repartition("part").sortWithinPartitions("part", "bytes", "before", "n_windows", "doc", "tie")
-        groups = ordered.mapInArrow(_grouped(self.length), GROUPS)
-        if not hot:
-            return groups
         windows = wanted.mapInArrow(_cut(self.length, hot, windows=True), STRETCHES).select("bytes", "doc", "tie", "starts")
-        return groups.unionByName(self._hot_groups(windows))
+        return hot, ordered, windows
 
     def _hot_groups(self, windows):
         """A group for each of ``windows`` that occurs again, without a task that holds all its occurrences."""
@@ -404,12 +499,13 @@ class Repeats:
 
     def removed(self):
         """(doc, tie, spans): merged runs [start, stop) that occur earlier, of every original with any."""
-        spans = self.groups().where("NOT first").groupBy("doc", "tie", "start").agg(F.max("length").alias("length"))
-        spans.write.parquet(f"{self.folder}/spans")
-        spans = self.spark.read.schema("doc long, tie long, start long, length int").parquet(f"{self.folder}/spans")
-        ordered = F.sort_array(F.collect_list(F.struct("start", (F.col("start") + F.col("length")).alias("stop"))))
-        merged = spans.groupBy("doc", "tie").agg(ordered.alias("spans"))
-        return merged
+        hot, ordered, windows = self._stretches()
+        spans = ordered.mapInArrow(_covered(self.length), COVERED)
+        if hot:
+            single = self._hot_groups(windows).where("NOT first")
+            spans = spans.unionByName(single.select("doc", "tie", "start", (F.col("start") + F.col("length")).alias("stop")))
+        listed = F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans")
+        return spans.groupBy("doc", "tie").agg(listed).mapInArrow(_merged, REMOVED)
 
 
 def merge(spans):
@@ -423,6 +519,12 @@ def merge(spans):
     return found
 
 
+def _merged(batches):
+    for batch in batches:
+        spans = [[{"start": a, "stop": b} for a, b in merge((s["start"], s["stop"]) for s in own)] for own in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, batch.schema.types[2])], ["doc", "tie", "spans"])
+
+
 def _kept(raw, spans):
     cuts = [0, *(x for span in spans for x in span), len(raw)]
     return b"".join(raw[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
@@ -435,23 +537,23 @@ def with_spans(documents, length=100):
     """
     repeats = Repeats(documents, length)
     repeats.removed().write.parquet(f"{repeats.folder}/removed")
-    schema = "doc long, tie long, spans array<struct<start:long,stop:long>>"
-    removed = repeats.spark.read.schema(schema).parquet(f"{repeats.folder}/removed")
+    removed = repeats.spark.read.schema(REMOVED).parquet(f"{repeats.folder}/removed")
     total = removed.agg(F.sum(F.size("spans"))).first()[0] or 0
-    removed = F.broadcast(removed) if total <= BROADCAST_SPANS else removed
-    copies = _small(repeats.copies.withColumn("_copy", F.lit(True)), BROADCAST_ROWS)
-    # Names that no column of the documents has.
+    # Names that no column of the documents has. Copies take no part in the search, so a row is in one list.
     doc, tie, copy, spans = ("__doc", "__tie", "__copy", "__spans")
+    names = [F.col("doc").alias(doc), F.col("tie").alias(tie)]
+    listed = removed.select(*names, F.col("spans").alias(spans), F.lit(False).alias(copy)).unionByName(
+        repeats.copies.select(*names, F.lit(None).cast("array<struct<start:long,stop:long>>").alias(spans), F.lit(True).alias(copy))
+    )
+    if total <= BROADCAST_SPANS and repeats.copies.count() <= BROADCAST_ROWS:
+        listed = F.broadcast(listed)
     rows = documents.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID))).withColumn(
         tie, F.xxhash64(F.coalesce("text", F.lit("")))
     )
-    copies = _small(repeats.copies.select(F.col("doc").alias(doc), F.col("tie").alias(tie), F.lit(True).alias(copy)), BROADCAST_ROWS)
-    removed = removed.select(F.col("doc").alias(doc), F.col("tie").alias(tie), F.col("spans").alias(spans))
-    removed = F.broadcast(removed) if total <= BROADCAST_SPANS else removed
     size = F.octet_length("text").cast("long")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("stop")))
     return (
-        rows.join(copies, [doc, tie], "left").join(removed, [doc, tie], "left")
+        rows.join(listed, [doc, tie], "left")
         .withColumn(spans, F.when(F.col(copy) & (size >= length), whole).otherwise(F.col(spans)))
         .select(*documents.columns, spans)
     )
