@@ -221,6 +221,7 @@ def test_hot_windows_do_not_meet_in_python(spark, frame, monkeypatch, hot):
     rows.append((20, passage + " " + words(44, 5) + " " + passage))
     monkeypatch.setattr(repeats, "HOT", hot)
     monkeypatch.setattr(repeats, "_grouped", refuse)
+    monkeypatch.setattr(repeats, "_covered", refuse)
     got = sorted((tuple(r) for r in repeats.removal_digests(documents(frame, rows)).collect()), key=repr)
     assert got == plain_removal(rows)
 
@@ -329,6 +330,19 @@ def test_packing_is_gapless_and_whole(spark, frame, group):
     assert packing.pack_pieces(spark, packing.tokenized_pieces(documents(frame, []), BYTE)).count() == 0
 
 
+def test_sequences_of_repeated_rows_stay_apart(spark, frame):
+    """Copies are dealt to all groups, and groups with more bins than pieces wanted share no ids."""
+    rows = [(None, 0, 0, 90, 7)] * 400 + [(1, 0, 0, 60, 8)] * 400 + [(2, 0, 0, 100, 9)] * 3
+    placed = packing.pack_pieces(spark, frame(rows, packing.PIECES), 100, 5).collect()
+    assert len(placed) == len(rows)
+    bins = {}
+    for r in placed:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(bins) == 803
+    for places in bins.values():
+        assert len(places) == 1 and places[0][0] == 0
+
+
 @pytest.mark.parametrize("group", [1 << 18, 100])
 def test_token_files(spark, frame, monkeypatch, group):
     monkeypatch.setattr(tokenfile, "GROUP_IDS", group)
@@ -456,13 +470,25 @@ def test_language_of_held_out_documents(spark, frame):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_ids_that_repeat_do_not_fill_the_fitting_samples(spark, frame, monkeypatch):
+    docs = documents(frame, [(1, words(i, 30), "xx") for i in range(50)] + [(4, words(60, 30), "yy"), (5, words(61, 30), "yy")])
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda samples, **_: seen.extend(samples))
+    langid.train(docs, pieces=2)
+    assert sum(lang == "xx" for _, lang in seen) == 2
+    monkeypatch.setattr(quality, "fit_trees", lambda features, targets: len(features))
+    labels = frame([(1, 1, 0), (4, 0, 0), (5, 1, 0), (9, 1, 0)], "doc_id long, quality int, toxic int")
+    assert quality.train(docs, labels) == 3
+
+
 def test_language_of_hostile_documents(spark, frame):
-    docs = documents(frame, [(*r, "xx" if i % 2 else "yy") for i, r in enumerate(HOSTILE)] + [(80, "123 !!")])
+    marks = [(80, "123 !!"), (81, "² ½ ① Ⅷ _ ٣ ́"), (82, "² ª")]
+    docs = documents(frame, [(*r, "xx" if i % 2 else "yy") for i, r in enumerate(HOSTILE)] + marks)
     network = langid.train(docs, steps=5)
     rows = langid.predict(docs, network).collect()
-    assert len(rows) == len(HOSTILE) + 1
+    assert len(rows) == len(HOSTILE) + len(marks)
     unknown = {r.doc_id for r in rows if r.lang_pred == "und"}
-    assert unknown == {3, 4, 5, 80} and {r.lang_pred for r in rows} <= {"xx", "yy", "und"}
+    assert unknown == {3, 4, 5, 80, 81} and {r.lang_pred for r in rows} <= {"xx", "yy", "und"}
     empty = documents(frame, [])
     assert langid.predict(empty, network).count() == 0
     assert {r.lang_pred for r in langid.predict(docs, langid.train(empty)).collect()} == {"und"}
