@@ -4,8 +4,10 @@ A sparse logistic regression over word n-grams is fitted here to variants of pub
 to paragraphs of the corpus that are none. Scoring is DataFrame work only: paragraphs, parted by
 blank lines, and their single lines are cut into n-grams, joined with the weights and summed. Before that bounds from the weights, the most
 that a paragraph's words and n-grams can add to the lead of any family over unknown, spares most of the corpus
-the n-grams; it leaves out only what would be judged unknown. A prediction is confirmed if enough of
-a template of the predicted family is found in the paragraph.
+the n-grams; it leaves out only what would be judged unknown. Names and version numbers tell families
+apart whose notices are alike but for them: a paragraph that has such names, but for no template of
+the predicted family all of its ``marks``, is another licence or version, so it is unknown. A prediction
+is confirmed if enough of a template of the predicted family, and all its marks, are found.
 """
 
 import json
@@ -65,6 +67,12 @@ DISTRACTORS = (
     "He reserved the right to speak to all of them.", "Version 4.0 of the program came by post.",
 )
 
+# Words of the names of licences; numbers count like them.
+NAMES = frozenset(
+    "mit apache gnu general lesser affero version bsd clause mozilla cc by sa nc creative commons attribution "
+    "sharealike noncommercial gplv2 gplv3 lgplv3 agplv3".split()
+)
+
 SIZES = (1, 2, 3)  # words in an n-gram, without a gap
 REACH_STEPS = 4  # steps of 1 that bounds are rounded up to
 LINE_CHARS = 20_000  # of a line that the model is fitted to
@@ -81,6 +89,18 @@ def grams_of(text):
     return {" ".join(words[i : i + n]) for n in SIZES for i in range(len(words) - n + 1)}
 
 
+def marks_of(text):
+    """The n-grams of the runs of names and numbers in a template: the pairs of a run, or its one word."""
+    found, run = set(), []
+    for word in [*words_of(text), None]:
+        if word is not None and (word in NAMES or any(c.isdigit() for c in word)):
+            run.append(word)
+            continue
+        found.update(map(" ".join, zip(run, run[1:])) if len(run) > 1 else run)
+        run = []
+    return found
+
+
 def _variants(text):
     """Forms in which a notice is met: as it is, inside a sentence, shortened at either end."""
     words = text.split()
@@ -111,8 +131,8 @@ class Classifier:
 def fit(negatives=(), steps=400, rate=0.5, l2=1e-3):
     """Fit a ``Classifier`` to variants of the templates against distractors and ``negatives``.
 
-    Every third variant and negative is held out, and the temperature that gives them the
-    highest likelihood is kept. The vocabulary is the n-grams of the templates, so its size does
+    Every third variant and negative is first held out, to find the temperature that gives them the
+    highest likelihood; then the weights are fitted to all. The vocabulary is the n-grams of the templates, so its size does
     not depend on the corpus.
     """
     classes = [UNKNOWN, *dict.fromkeys(family for family, _ in TEMPLATES)]
@@ -127,25 +147,29 @@ def fit(negatives=(), steps=400, rate=0.5, l2=1e-3):
             if gram in index:
                 x[row, index[gram]] = 1
     held = np.arange(len(y)) % 3 == 2
-    weight = np.where(y == 0, 0.5 / max(1, (y[~held] == 0).sum()), 0.5 / max(1, (y[~held] > 0).sum()))
     target = np.eye(len(classes))[y]
-    w, b = np.zeros((len(vocabulary), len(classes))), np.zeros(len(classes))
 
-    def chances(rows, temperature=1.0):
+    def chances(w, b, rows, temperature=1.0):
         score = (x[rows] @ w + b) / temperature
         score = np.exp(score - score.max(axis=1, keepdims=True))
         return score / score.sum(axis=1, keepdims=True)
 
-    moment = [np.zeros_like(w), np.zeros_like(b)]
-    for _ in range(steps):
-        error = (chances(~held) - target[~held]) * weight[~held, None]
-        for i, grad in enumerate((x[~held].T @ error + l2 * w / len(vocabulary), error.sum(axis=0))):
-            moment[i] = 0.9 * moment[i] + grad
-        w -= rate * moment[0]
-        b -= rate * moment[1]
-    scales = np.geomspace(0.2, 5, 25)
-    loss = [-np.log(chances(held, t)[np.arange(held.sum()), y[held]] + 1e-12).mean() for t in scales]
-    return Classifier(classes, vocabulary, w, b, float(scales[int(np.argmin(loss))]))
+    def learned(rows):
+        weight = np.where(y == 0, 0.5 / max(1, (y[rows] == 0).sum()), 0.5 / max(1, (y[rows] > 0).sum()))[rows, None]
+        w, b = np.zeros((len(vocabulary), len(classes))), np.zeros(len(classes))
+        moment = [np.zeros_like(w), np.zeros_like(b)]
+        for _ in range(steps):
+            error = (chances(w, b, rows) - target[rows]) * weight
+            for i, grad in enumerate((x[rows].T @ error + l2 * w / len(vocabulary), error.sum(axis=0))):
+                moment[i] = 0.9 * moment[i] + grad
+            w -= rate * moment[0]
+            b -= rate * moment[1]
+        return w, b
+
+    trial = learned(~held)
+    scales = np.geomspace(0.02, 20, 61)
+    loss = [-np.log(chances(*trial, held, t)[np.arange(held.sum()), y[held]] + 1e-12).mean() for t in scales]
+    return Classifier(classes, vocabulary, *learned(np.ones(len(y), dtype=bool)), float(scales[int(np.argmin(loss))]))
 
 
 def _reach(classifier):
@@ -280,8 +304,8 @@ def find_licenses(spark, documents, classifier, threshold=0.5, cover=0.6):
     """A row for each paragraph of ``documents`` (doc_id, text) that is a licence notice.
 
     Columns: doc_id, paragraph (number of its first line, from 0), family, probability, template (its
-    number), similarity (the share of the template's n-grams found), confirmed (at least ``cover``, for
-    a template of that family) and n_lines. Single lines and paragraphs of several lines, joined by
+    number), similarity (the share of the template's n-grams found), confirmed (at least ``cover`` and all
+    marks, for a template of that family) and n_lines. Single lines and paragraphs of several lines, joined by
     blanks, are judged alike; where a line has as much of a template as its paragraph the line is
     given, else the paragraph, without its unconfirmed lines. Paragraphs whose likeliest class is unknown, or has less than
     ``threshold``, give no row. Rows equal in doc_id are told apart by their text. Null texts have
@@ -289,8 +313,13 @@ def find_licenses(spark, documents, classifier, threshold=0.5, cover=0.6):
     """
     sizes = [len(grams_of(t)) for _, t in TEMPLATES]
     places = {g: [i for i, (_, t) in enumerate(TEMPLATES) if g in grams_of(t)] for g in classifier.grams}
-    rows = [{"gram": g, "w": [round(float(v), 9) for v in classifier.weights[i]], "at": places[g]} for i, g in enumerate(classifier.grams)]
-    weights = F.broadcast(_table(spark, rows, "gram string, w array<double>, at array<int>"))
+    marks = [marks_of(t) for _, t in TEMPLATES]
+    rows = [
+        {"gram": g, "w": [round(float(v), 9) for v in classifier.weights[i]], "at": places[g], "marks": [n for n in places[g] if g in marks[n]],
+         "names": [n for n in places[g] if g in NAMES and any(g in m.split() for m in marks[n])]}
+        for i, g in enumerate(classifier.grams)
+    ]
+    weights = F.broadcast(_table(spark, rows, "gram string, w array<double>, at array<int>, marks array<int>, names array<int>"))
     lines = paragraphs(documents, classifier)
     hits = lines.select(
         *PIECE, F.xxhash64("words").alias("_same"), F.explode("grams").alias("gram")
@@ -298,7 +327,7 @@ def find_licenses(spark, documents, classifier, threshold=0.5, cover=0.6):
     k = len(classifier.classes)
     scored = hits.groupBy(*PIECE, "_same").agg(
         # Repeated rows of a document have the same grams; each is counted once.
-        F.collect_set(F.struct("gram", "w", "at")).alias("_hits")
+        F.collect_set(F.struct("gram", "w", "at", "marks", "names")).alias("_hits")
     )
     total = F.array(*(
         F.aggregate("_hits", F.lit(float(classifier.bias[c])), _add_weight(c)) for c in range(k)
@@ -310,19 +339,31 @@ def find_licenses(spark, documents, classifier, threshold=0.5, cover=0.6):
         "probability", 1 / F.aggregate("_score", F.lit(0.0), lambda a, s: a + F.exp(s - F.col("_best")))
     ).withColumn("family", F.element_at(families, F.array_position("_score", F.col("_best")).cast("int")))
     found = scored.where((F.col("family") != UNKNOWN) & (F.col("probability") >= threshold))
+    own = F.filter(
+        F.array(*(
+            F.struct(F.lit(i).alias("i"), F.lit(f).alias("f"), F.lit(float(n)).alias("s"), F.lit(len(m)).alias("m"))
+            for i, ((f, _), n, m) in enumerate(zip(TEMPLATES, sizes, marks))
+        )),
+        lambda t: t["f"] == F.col("family"),
+    )
     compared = F.transform(
-        F.array(*(F.struct(F.lit(i).alias("i"), F.lit(f).alias("f"), F.lit(float(s)).alias("s")) for i, ((f, _), s) in enumerate(zip(TEMPLATES, sizes)))),
+        own,
         lambda t: F.struct(
-            F.when(t["f"] == F.col("family"), F.size(F.filter("_hits", lambda h: F.array_contains(h["at"], t["i"]))) / t["s"])
-            .otherwise(F.lit(0.0)).alias("similarity"),
-            (-t["i"]).alias("i"),
+            (F.size(F.filter("_hits", lambda h: F.array_contains(h["marks"], t["i"]))) == t["m"]).alias("marked"),
+            (F.size(F.filter("_hits", lambda h: F.array_contains(h["at"], t["i"]))) / t["s"]).alias("similarity"),
+            (-t["i"]).alias("i"), (t["m"] > 0).alias("named"),
         ),
     )
-    found = found.withColumn("_match", F.array_max(compared))
+    found = found.select("*", _once(compared).alias("_compared")).withColumn("_match", F.array_max("_compared"))
+    # Names of the family, but the marks of no template: another licence or version.
+    of_family = F.transform(own, lambda t: t["i"])
+    some = F.exists("_hits", lambda h: F.arrays_overlap(h["names"], of_family))
+    full = F.exists("_compared", lambda c: c["named"] & c["marked"])
+    found = found.where(full | ~some)
     found = found.select(
         *PIECE, "family", F.round("probability", 6).alias("probability"),
         (-F.col("_match.i")).alias("template"), F.round("_match.similarity", 6).alias("similarity"),
-        (F.col("_match.similarity") >= cover).alias("confirmed"),
+        (F.col("_match.marked") & (F.col("_match.similarity") >= cover)).alias("confirmed"),
     )
     # A paragraph stands for the lines of a wrapped notice, and a line for a paragraph that says no more.
     block = Window.partitionBy("doc_id", "_block")

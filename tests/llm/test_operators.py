@@ -273,6 +273,24 @@ def test_licences(spark, frame):
     assert licenses.find_licenses(spark, documents(frame, []), classifier).count() == 0
 
 
+def test_other_licences_and_versions_are_not_taken_for_known_ones(spark, frame):
+    near = [
+        "This work is licensed under the GNU General Public License, version 1.", "Licensed under CC BY-ND 4.0.", "Licensed under CC BY 3.0.", "CC BY 3.0",
+        "Released under the BSD 2-Clause License.", "Licensed under the Apache License, Version 1.1.", "This work is licensed under the GNU General Public License.",
+        "This library is licensed under the GNU Lesser General Public License, version 2.",
+    ]
+    right = [(t, f) for f, t in licenses.TEMPLATES]
+    texts = [(t, None) for t in near] + right + [(f"Note: {t.upper()} See below.", f) for t, f in right if len(t) > 20]
+    docs = documents(frame, [(i, f"{words(i, 20)}\n\n{t}\n\n{words(i + 50, 20)}") for i, (t, _) in enumerate(texts)])
+    got = {r.doc_id: (r.family, r.confirmed) for r in licenses.find_licenses(spark, docs, licenses.fit(licenses.corpus_negatives(docs))).collect()}
+    assert got == {i: (f, True) for i, (_, f) in enumerate(texts) if f}
+
+
+def test_marks_are_runs_of_names_and_numbers():
+    assert licenses.marks_of("the GNU General Public License, version 3 of the MIT") == {"gnu general", "version 3", "mit"}
+    assert licenses.marks_of("All rights reserved.") == set()
+
+
 def test_licence_notices_without_a_stem(spark, frame):
     texts = ["All rights reserved.", "GPLv3", "CC BY-SA 4.0", "All seats were taken.", "The rights of the many.", "4.0 by 3"]
     docs = documents(frame, [(i, f"{words(i, 20)}\n{t}\n{words(i + 50, 20)}") for i, t in enumerate(texts)])
