@@ -18,11 +18,11 @@ from checks.oracles import (
     sample_view,
     with_views,
 )
-from checks.relations import EXPIRY, Relations
+from checks.relations import END_YEAR, EXPIRY, START_YEAR, Relations
 from tapeloom import schemas
 from tapeloom.functions import dates, rounding, text
 from tapeloom.operators import calendar, examples, prompts, ranges, tables, tokens
-from tapeloom.plans import dataset, extraction, tokenization, upkeep
+from tapeloom.plans import dataset, extraction, stages, tokenization, upkeep
 from tapeloom.settings import HISTORY_SPANS, SPLITS, scratch_dir
 from tapeloom.sources import scans, sinks, vendors
 
@@ -133,6 +133,17 @@ def scan_reports(r):
     )
 
 
+def write_reports(r, path):
+    """Report files as they are delivered, in the order of the orders."""
+    ordered = r.report().repartitionByRange("report_id").sortWithinPartitions("report_id")
+    (
+        ordered.select("source", "market", "date", "passage")
+        .write.options(sep="\t", encoding="UTF-16", header=True, quote='"', escape='"')
+        .options(quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(path)
+    )
+
+
 @query(
     ["report"],
     """SELECT row_number() OVER (ORDER BY report_id) - 1 AS report_id, source, market, date, report_date,
@@ -142,13 +153,7 @@ def scan_reports(r):
 def land_reports(r):
     """Report files in the order of the orders, landed with ids by file and place."""
     path = scratch_dir(r.spark, "landing")
-    ordered = r.report().repartitionByRange("report_id").sortWithinPartitions("report_id")
-    (
-        ordered.select("source", "market", "date", "passage")
-        .write.options(sep="\t", encoding="UTF-16", header=True, quote='"', escape='"')
-        .options(quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        .csv(f"{path}/files")
-    )
+    write_reports(r, f"{path}/files")
     sinks.land_reports(scans.scan_reports(r.spark, f"{path}/files", with_file=True), f"{path}/landed")
     landed = r.spark.read.parquet(f"{path}/landed")
     return landed.select("report_id", "source", "market", "date", "report_date", digest("passage").alias("passage_md5"))
@@ -1089,6 +1094,65 @@ def write_tokens(r):
     return token_view(scans.scan_tokens(r.spark, path), "model")
 
 
+# ---------------------------------------------------------------- whole runs
+
+
+def landed_inputs(r):
+    """Every input of a run as the files it comes in; report files follow the order of the orders."""
+    path = scratch_dir(r.spark, "run")
+    write_reports(r, f"{path}/reports")
+    entry = F.struct("ord", "market", "data_source", "name", F.coalesce("symbol", F.lit("")).alias("symbol"))
+    listed = r.instrument().agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("value"))
+    listed.coalesce(1).write.text(f"{path}/instruments")
+    named = r.split_ref().select("source", "market", F.col("report_date").alias("date"), "split")
+    named.write.option("header", True).csv(f"{path}/splits")
+    r.instruction().select(F.col("instruction").alias("value")).write.text(f"{path}/instruction", lineSep="\n")
+    return path, stages.Config(
+        root=f"{path}/out",
+        instruments=f"{path}/instruments/*.txt",
+        reports=f"{path}/reports",
+        split_reference=f"{path}/splits",
+        instruction=f"{path}/instruction/*.txt",
+        first_year=START_YEAR,
+        last_year=END_YEAR,
+        contract_months={},
+        expiry_rules=EXPIRY,
+    )
+
+
+def run_tokens(r, config):
+    rows = scans.scan_tokens(r.spark, config.path("tokens", config.span))
+    return token_view(rows)
+
+
+# Ids are given at landing, in the order of the files.
+RUN_SQL = f"""SELECT t.* REPLACE (p.place AS report_id)
+  FROM ({tokens_sql(3584, 512, "WHERE len(input_ids) + len(labels) <= 4096")}) t
+  JOIN (SELECT report_id, row_number() OVER (ORDER BY report_id) - 1 AS place FROM report) p USING (report_id)"""
+
+
+@query(["report", "encoded"], RUN_SQL)
+def run_stages(r):
+    """All stages over files, twice: the second run leaves the same tables."""
+    _, config = landed_inputs(r)
+    by_vendor = {
+        name: vendors.conform_bars(sourced_bars(r).where(F.col("data_source") == name)) for name in ("cme", "yahoo", "index")
+    }
+    for _ in range(2):
+        stages.run(r.spark, config, by_vendor)
+    return run_tokens(r, config)
+
+
+@query(["report", "encoded"], RUN_SQL)
+def update_stages(r):
+    """All stages from landed vendor files, run again after a second delivery."""
+    path, config = landed_inputs(r)
+    for first in (True, False):
+        deliver(r, f"{path}/landing", first)
+        stages.update(r.spark, config, feeds(r, f"{path}/landing"))
+    return run_tokens(r, config)
+
+
 # ---------------------------------------------------------------- scalars
 
 

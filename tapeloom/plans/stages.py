@@ -4,12 +4,12 @@ Stage tables are the only state, so a stage can run again after a failure and li
 never spans two stages.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Callable, Optional
 
 from pyspark.sql import functions as F
 
-from tapeloom.operators.calendar import calendar_years, contract_calendar
+from tapeloom.operators.calendar import CONTRACT_MONTHS, EXPIRY_RULES, calendar_years, contract_calendar
 from tapeloom.operators.examples import SEED
 from tapeloom.operators.render import render_table
 from tapeloom.operators.tables import rejected_reports, report_keys
@@ -47,6 +47,8 @@ class Config:
     skip_overlength: bool = True
     context_length: Optional[int] = None
     dataset_format: str = "parquet"
+    contract_months: dict = field(default_factory=lambda: CONTRACT_MONTHS)
+    expiry_rules: dict = field(default_factory=lambda: EXPIRY_RULES)
 
     def path(self, *parts):
         return "/".join([self.root.rstrip("/"), *parts])
@@ -78,7 +80,9 @@ def calendar(spark, config):
     years = span.select(calendar_years(F.col("first"), F.col("last")).alias("years")).first().years or [0, -1]
     first = years[0] if config.first_year is None else config.first_year
     last = years[-1] if config.last_year is None else config.last_year
-    contracts = contract_calendar(listed, first, last) if first <= last else contract_calendar(listed.limit(0), 1, 1)
+    if first > last:
+        listed, first, last = listed.limit(0), 1, 1
+    contracts = contract_calendar(listed, first, last, config.contract_months, config.expiry_rules)
     contracts.write.mode("overwrite").parquet(config.path("contracts"))
     sinks.write_contracts(contracts, config.path("contracts_csv"))
 
