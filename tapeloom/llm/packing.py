@@ -102,10 +102,14 @@ class LocalSearch:
         self.step = max(1, capacity // STEPS)
         self.fill = [sum(lengths[i] for i in b) for b in bins]
         self.version = [0] * len(bins)
-        self.ways = []  # (room, bin, version, items to give back), sorted
+        self.ways = []  # (room, length given back, bin, version, items to give back), sorted
+        self.listed = [0] * len(bins)  # ways of each bin as it is now
         for number in range(len(bins)):
-            self.ways.extend(self._ways(number))
+            own = list(self._ways(number))
+            self.listed[number] = len(own)
+            self.ways.extend(own)
         self.ways.sort()
+        self.live = len(self.ways)
         self.open = sorted((f, n) for n, f in enumerate(self.fill) if f < capacity)
 
     def _ways(self, number):
@@ -135,8 +139,13 @@ class LocalSearch:
         self.version[number] += 1
         if 0 < fill < self.capacity:
             insort(self.open, (fill, number))
-        for way in self._ways(number):
+        own = list(self._ways(number))
+        self.live += len(own) - self.listed[number]
+        self.listed[number] = len(own)
+        for way in own:
             insort(self.ways, way)
+        if len(self.ways) > 2 * self.live + 10_000:  # mostly ways of bins that have changed since
+            self.ways = [way for way in self.ways if way[3] == self.version[way[2]]]
 
     def _improve(self, source, item):
         """Make the best exchange for ``item`` of ``source``; False if there is none.

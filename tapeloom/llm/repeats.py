@@ -37,7 +37,7 @@ from tapeloom.settings import scratch_dir
 GRAM = 24  # bytes hashed for an anchor
 PIECE = 1 << 19  # windows of a text worked on at a time; a power of two below 2^20
 HOT = 200_000  # occurrences of an anchor beyond which its windows are dealt one by one
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 SPANS_HELD = 200_000  # spans of copies a task merges before it hands them on
 BROADCAST_ROWS = 400_000  # rows of 24 bytes up to which a list of documents is broadcast
 BROADCAST_SPANS = 1_000_000  # removed runs, 8 bytes each, up to which they are broadcast
@@ -308,10 +308,14 @@ def _covered(length):
     """
     def spans_of(kinds):
         array = SuffixArray([(data, before, count) for _, before, count, data, *_ in kinds], length)
-        owner, offset = array.owner.tolist(), array.offset.tolist()
-        places = [(*kinds[k][4:6], kinds[k][6] + o) for k, o in zip(owner, offset)]
-        for suffix, depth in earlier(array.common.tolist(), length, places, array.front.tolist(), array.opens.tolist()):
-            yield places[suffix], depth
+        doc, tie, start = (np.array([k[i] for k in kinds], dtype=np.int64)[array.owner] for i in (4, 5, 6))
+        start += array.offset
+        rank = np.empty(len(start), dtype=np.int64)
+        rank[np.lexsort((start, tie, doc))] = np.arange(len(start))
+        found = list(earlier(array.common.tolist(), length, rank.tolist(), array.front.tolist(), array.opens.tolist()))
+        suffixes, depths = (np.array(x, dtype=np.int64) for x in (zip(*found) if found else ((), ())))
+        starts = start[suffixes]
+        return zip(doc[suffixes].tolist(), tie[suffixes].tolist(), starts.tolist(), (starts + depths).tolist())
 
     def batch_of(spans):
         rows = [(*key, a, b) for key, own in spans.items() for a, b in merge(sorted(own))]
@@ -323,8 +327,8 @@ def _covered(length):
 
         def close():
             nonlocal held
-            for (doc, tie, start), depth in spans_of(kinds) if len(kinds) > 1 else ():
-                spans.setdefault((doc, tie), []).append((start, start + depth))
+            for doc, tie, start, stop in spans_of(kinds) if len(kinds) > 1 else ():
+                spans.setdefault((doc, tie), []).append((start, stop))
                 held += 1
 
         for batch in batches:
