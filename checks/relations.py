@@ -4,7 +4,8 @@ Nations stand for instruments, supplier shipments for price bars, orders with a
 as text for reports. Every order is a report; nothing is cut.
 
 The inputs of the pipeline are files where they come from, so they are landed as Parquet
-in the scratch folder once per session and folder, and the queries start at that scan.
+in the scratch folder once per session and folder, and the queries start at that scan. Reports are
+landed without their texts, which are landed once a document.
 """
 
 from functools import wraps
@@ -136,7 +137,13 @@ class Relations:
         return contract_calendar(self.instrument(), START_YEAR, END_YEAR, {}, EXPIRY)
 
     @landed
-    def report(self):
+    def passage(self):
+        """The text of every row of ``documents`` under a number of its own."""
+        return self.table("documents").select(F.monotonically_increasing_id().alias("_text"), "doc_id", "text")
+
+    @landed
+    def report_text(self):
+        """Every report with the number of its text; no text is copied to the reports."""
         documents = self.table("documents")
         count = documents.agg(F.count("*")).scalar()
         places = self.table("nation").join(
@@ -146,17 +153,26 @@ class Relations:
         return (
             orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(documents, F.col("doc_id") == F.col("_doc"))
+            .join(self.passage().drop("text"), F.col("doc_id") == F.col("_doc"))
             .select(
                 F.col("o_orderkey").alias("report_id"),
                 F.expr("substr(o_orderpriority, 3)").alias("source"),
                 F.lower("r_name").alias("market"),
                 F.date_format("o_orderdate", "MM/dd/yyyy").alias("date"),
                 F.col("o_orderdate").cast("date").alias("report_date"),
-                F.col("text").alias("passage"),
+                "_text",
             )
         )
 
+    def report(self):
+        """Reports with their text, which meets them where it is read.
+
+        Numbers of texts differ, which the grouping tells the optimizer: a query without the text
+        has no join.
+        """
+        texts = self.passage().groupBy("_text").agg(F.first("text").alias("passage"))
+        return self.report_text().join(texts, "_text", "left").drop("_text")
+
     def report_key(self):
         """Reports without their text; no document is read for it."""
         return self.report().drop("passage")
@@ -165,7 +181,7 @@ class Relations:
     def split_ref(self):
         year = F.year("report_date")
         split = F.when(year <= 1998, "train").when(year == 1999, "validate").otherwise("test")
-        return self.report().select("source", "market", "report_date", split.alias("split")).distinct()
+        return self.report_key().select("source", "market", "report_date", split.alias("split")).distinct()
 
     def example(self):
         return self.report().withColumnRenamed("report_id", "example_id")
