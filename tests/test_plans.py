@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import catalog
-from checks.relations import Relations
+from checks.relations import LANDED, Relations
+from tapeloom.operators import spread
 from tapeloom.operators.calendar import contract_calendar
-from tapeloom.operators.examples import sample_examples
+from tapeloom.operators.examples import sample_examples, spare_examples
 from tapeloom.operators.tables import report_keys
 from tapeloom.operators.tokens import encode_text
 from tapeloom.plans import dataset, extraction, stages, tokenization
@@ -229,6 +230,46 @@ def test_parts_encoded_once_equal_whole_texts(spark, tokenizer, skip):
         assert token_rows(tokenization.tokenize_reports(reports, *inputs[1:], **budget, parts_at_blanks=True)) == expected
 
 
+def test_reports_are_landed_without_texts(relations):
+    relations.report().count()
+    texts = [key[2] for key, (_, schema) in LANDED.items() if {"passage", "text"} & set(schema.names)]
+    assert texts and set(texts) <= {"passage"}  # once a document
+    assert "Join" not in plan_of(relations.report_key())
+
+
+def test_report_texts_meet_small_sides_without_a_shuffle(relations):
+    plan = plan_of(catalog.built(relations, n_data=1))
+    assert "_slice" not in plan and plan.count("BroadcastHashJoin") >= 4
+
+
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_draws_from_narrow_rows_and_large_sides_give_the_same(spark, monkeypatch, exclude_self):
+    keys = "source string, market string, report_date date"
+    days = [dt.date(2021, 1, i) for i in range(1, 5)]
+    sizes = {"none": 1, "few": 2, "even": 3, "one more": 4, "many": 30}
+    asked = [(m, i % 4) for m, n in sizes.items() for i in range(n)]
+    reports = spark.createDataFrame(
+        [(i, "s", m, days[d], str(days[d]), f"text {i}") for i, (m, d) in enumerate(asked)] + [(2, "s", "few", days[1], str(days[1]), "text 2")],
+        f"report_id long, {keys}, date string, passage string",
+    )
+    split_ref = spark.createDataFrame([("s", m, d, "train") for m in sizes for d in days], f"{keys}, split string")
+    rendered = spark.createDataFrame([(m, d, f"{m} {d}") for m in sizes for d in days], "market string, report_date date, table_data string")
+    instruction = spark.createDataFrame([("Do it",)], "instruction string")
+    examples = reports.withColumnRenamed("report_id", "example_id")
+    pick = spare_examples if exclude_self else sample_examples
+    drawn = dataset.report_example_rows(examples, 3, "7", pick)
+    whole = pick(examples, ["market", "source"], 3, "7")
+    columns = ["market", "example_id", "place"]
+    assert sorted(drawn.select(columns).collect()) == sorted(whole.select(columns).collect())
+    made = []
+    for size in (spread.BROADCAST_SIZE, 0):
+        monkeypatch.setattr(spread, "BROADCAST_SIZE", size)
+        for ordered in (False, True):
+            rows = dataset.build_dataset(reports, split_ref, rendered, examples, instruction, 2, 3, exclude_self=exclude_self, ordered=ordered)
+            made.append(sorted(rows.select("split", "report_id", "date", "prompts.formatted_prompt").collect()))
+    assert len(made[0]) == len(asked) + 1 and all(m == made[0] for m in made)
+
+
 def test_stored_tables_prune_folders(spark, relations):
     path = catalog.written_report_tables(relations)
     plan = plan_of(scans.scan_report_tables(spark, path, "1week", "test"))

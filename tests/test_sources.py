@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeloom import schemas
+from tapeloom.operators import prompts
 from tapeloom.settings import scratch_dir
 from tapeloom.sources import scans, sinks, vendors
 from tapeloom.streaming.append import append_landed
@@ -217,3 +218,22 @@ def test_ids_follow_file_and_place_whatever_the_splits(spark, tmp_path):
             assert [r.report_id for r in spark.read.parquet(path).orderBy("report_id").collect()] == list(range(423))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_texts_are_landed_once_and_files_are_compressed(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.tsv").write_text("source\tmarket\tdate\tpassage\nS\tgold\t2021-03-04\ttext\n", encoding="utf-16")
+    kept, settle = [], sinks.settled
+    monkeypatch.setattr(sinks, "settled", lambda frame, label: kept.append(frame.columns) or settle(frame, label))
+    sinks.land_reports(scans.scan_reports(spark, str(tmp_path / "*.tsv"), with_file=True), str(tmp_path / "landed"))
+    assert kept == [["file", "_n"]]
+    made = spark.createDataFrame([("train", 1, *[None] * 7)], schemas.DATASET)
+    sinks.write_dataset(made, str(tmp_path / "json"))
+    assert list((tmp_path / "json").glob("split=train/*.json.gz"))
+    assert scans.scan_dataset(spark, str(tmp_path / "json")).count() == 1
+
+
+def test_ordered_rows_are_not_sorted_again_for_their_folders(spark, tmp_path):
+    """The sort that a writer asks for is met by the one before, whatever is put beside the rows."""
+    rows = spark.range(9).selectExpr("id AS report_id", "'a' AS split", "DATE'2021-01-01' AS report_date")
+    ordered = prompts.in_date_order(rows)
+    assert not ordered.schema["split"].nullable
