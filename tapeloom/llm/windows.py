@@ -62,6 +62,16 @@ class Sentences:
         return np.flatnonzero(ends) + 1
 
 
+_SENTENCES = {}
+
+
+def sentences_of(path):
+    """The worker's own ``Sentences`` for a tokenizer file, kept from task to task."""
+    if path not in _SENTENCES:
+        _SENTENCES[path] = Sentences(path)
+    return _SENTENCES[path]
+
+
 def gap_places(places, gap):
     """Places every ``gap`` ids after a place that is further than ``gap`` from the next one."""
     starts, widths = places[:-1], np.diff(places)
@@ -199,7 +209,7 @@ def pack_in_order(documents, tokenizer, joins_blanks=False, end_id=2, capacity=4
 
     def run(batches):
         cache = wordcache.cached(tokenizer, joins_blanks)
-        packer = Packer(Sentences(tokenizer), capacity, TaskContext.get().partitionId())
+        packer = Packer(sentences_of(tokenizer), capacity, TaskContext.get().partitionId())
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):

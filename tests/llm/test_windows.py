@@ -114,3 +114,11 @@ def test_order_is_kept_and_little_is_padded(spark, frame, monkeypatch):
     assert [(r[5], r[6]) for r in rows] == sorted((r[5], r[6]) for r in rows)
     found = windows.pack_in_order(frame(made, "doc_id long, text string").coalesce(1), WORD_BPE).collect()
     assert check_pieces(found, made) < 0.02
+
+
+def test_sentence_marks_are_found_once_a_worker(monkeypatch):
+    made = []
+    monkeypatch.setattr(windows, "Sentences", lambda path: made.append(path) or object())
+    monkeypatch.setattr(windows, "_SENTENCES", {})
+    assert windows.sentences_of("a") is windows.sentences_of("a") is not windows.sentences_of("b")
+    assert made == ["a", "b"]
