@@ -23,53 +23,51 @@ _BITS = sorted({bits for _, bits in SELECTORS})
 _REST = max(n for n, _ in SELECTORS)  # places that the last word of a block may go beyond its end
 
 
-def _choices(values, ends):
+def _choices(values, block):
     """For every position the densest selector that fits there; ``ESCAPE`` where none does.
 
-    Beyond ``ends``, the end of the block of each position, values count as zeros, so that the
-    last word of a block may be partly filled.
+    Beyond the end of the block of each position, values count as zeros, so that the last word of a
+    block may be partly filled.
     """
     n = len(values)
-    chosen = np.full(n, ESCAPE, dtype=np.uint8)
-    width = np.searchsorted(1 << np.array(_BITS, dtype=np.uint64), values, side="right").astype(np.uint8)
-    largest = int(width.max())
-    alive = np.arange(n, dtype=np.int64)
-    wide = np.zeros(n + 1, dtype=np.int32)
-    for selector in range(len(SELECTORS) - 1, -1, -1):
-        count, bits = SELECTORS[selector]
-        fits = _BITS.index(bits)
-        if largest <= fits:
-            chosen[:] = selector
-            continue
-        # A denser selector fits only where every less dense one does, so the set shrinks.
-        np.cumsum(width > fits, out=wide[1:])
-        alive = alive[wide[np.minimum(alive + count, ends[alive])] == wide[alive]]
-        if not len(alive):
-            break
-        chosen[alive] = selector
-    return chosen
+    blocks = -(-n // block)
+    flat = np.zeros(blocks * block, dtype=np.uint8)  # places among _BITS
+    for bits in _BITS:
+        flat[:n] += values >= np.uint64(1 << bits)
+    # The widest value from each position on, over as many values as a selector has; zeros behind a block.
+    wide = np.zeros((blocks, block + _REST), dtype=np.uint8)
+    wide[:, :block] = flat.reshape(blocks, block)
+    # A denser selector fits only where every less dense one does, so their number tells the densest.
+    chosen = np.full((blocks, block), ESCAPE, dtype=np.uint8)
+    seen = 1
+    for count, bits in reversed(SELECTORS):
+        while seen < count:
+            step = min(seen, count - seen)
+            wide[:, :-step] = np.maximum(wide[:, :-step], wide[:, step:])
+            seen += step
+        chosen -= wide[:, :block] <= _BITS.index(bits)
+    return chosen.ravel()[:n]
 
 
 def _word_starts(steps, block):
     """Positions where words begin: all blocks are walked at once, a word of each at a time."""
     at = np.arange(0, len(steps), block)
     stop = np.minimum(at + block, len(steps))
-    found = []
+    begins = np.zeros(len(steps), dtype=bool)
     while len(at):
-        found.append(at)
+        begins[at] = True
         at = at + steps[at]
         inside = at < stop
         if not inside.all():
             at, stop = at[inside], stop[inside]
-    return np.sort(np.concatenate(found))
+    return np.flatnonzero(begins)
 
 
 def _encode(values, block):
     """(words, words of each block) of an array that is not empty."""
     n = len(values)
     blocks = -(-n // block)
-    ends = np.minimum((np.arange(n) // block + 1) * block, n)
-    chosen = _choices(values, ends)
+    chosen = _choices(values, block)
     starts = _word_starts(np.append(_COUNTS, 1)[chosen], block)
     picks, owner = chosen[starts], starts // block
     words = np.zeros(len(starts), dtype=np.uint64)

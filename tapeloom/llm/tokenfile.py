@@ -43,8 +43,8 @@ def _encoder(path, joins_blanks, end_id):
             })
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = cache.encode(text.as_py()) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), cache.encode_all(batch.column(1))):
+                ids += end
                 if parts and held + len(ids) // 4 > GROUP_IDS:
                     yield flush()
                     doc_ids, parts, start, held = [], [], start + held, 0

@@ -5,6 +5,9 @@ two other characters parts. So a text is cut at such blanks, every distinct stre
 the library and remembered by the Python worker, and the ids of a text are those of its stretches
 in order: the same ids as for the whole text, at the cost of a dictionary lookup a word.
 
+A column of texts is cut by Arrow, ``SLICE_BYTES`` at a time: each distinct stretch of a slice is
+looked up once, and Arrow puts the ids of all stretches in a row.
+
 A stretch met for the first time is split by the vocabulary's own pattern, and its pieces are
 merged by the library's model, where its characters leave no doubt about normalisation: Latin
 letters and printable ASCII. Any other stretch goes through the whole tokenizer.
@@ -16,11 +19,15 @@ import re
 import sys
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 PIECES_HELD = 500_000  # pieces of stretches a worker remembers
 WORDS_HELD = 400_000  # stretches in each of the two generations a worker remembers
 LONGEST_HELD = 64  # characters; longer stretches are encoded each time
+SLICE_BYTES = 2 << 20  # text that is cut and looked up at once, and one text at least
 
 SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
@@ -161,6 +168,39 @@ class WordCache:
             )
         return self.ids_of(head) + ids
 
+    def encode_all(self, texts):
+        """``encode`` of every text of an Arrow array, as a list; a distinct stretch is looked up once a slice."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        cuts = [0, *(np.flatnonzero(np.diff(ends // SLICE_BYTES)) + 1).tolist(), len(texts)]
+        return [ids for a, b in zip(cuts, cuts[1:]) if a < b for ids in self._encode_slice(texts[a:b])]
+
+    def _encode_slice(self, texts):
+        if len(self.young) > WORDS_HELD:
+            self.young = Stretches(self, dict(self.young))
+        if len(self.pieces) > PIECES_HELD:
+            self.pieces.clear()
+        parts = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        cuts = np.append(0, np.cumsum(pc.list_value_length(parts).to_numpy()))
+        words = parts.flatten().dictionary_encode()
+        known, codes = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices
+        try:
+            found, whole = list(map(self.young.__getitem__, known)), [False] * len(texts)
+        except Unsafe:
+            found = [self.young[p] if p and p == p.strip() else None for p in known]
+            unsafe = pa.array([ids is None for ids in found]).take(codes).to_numpy(zero_copy_only=False)
+            whole = np.logical_or.reduceat(unsafe, cuts[:-1]).tolist()
+        rows = pa.array(found, pa.large_binary()).take(codes)
+        _, places, data = rows.buffers()
+        places, data = np.frombuffer(places, np.int64, len(rows) + 1), memoryview(data or b"")
+        # No blank is before the first stretch of a text, so where a blank joins it is encoded by itself.
+        heads = [known[k] for k in codes.to_numpy()[cuts[:-1]].tolist()]
+        starts, stops = places[cuts[:-1] + len(self.blank)].tolist(), places[cuts[1:]].tolist()
+        return [
+            self.encode(texts[k].as_py()) if whole[k]
+            else (self.ids_of(head) if self.blank else b"") + data[start:stop]
+            for k, (head, start, stop) in enumerate(zip(heads, starts, stops))
+        ]
+
     def encode_after_blank(self, text):
         """``encode`` of a blank and ``text``, where blanks join the word after them; the head is remembered too."""
         try:

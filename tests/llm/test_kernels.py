@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -36,6 +37,41 @@ def test_cached_ids_are_those_of_the_library(monkeypatch, name, joins):
     assert np.frombuffer(cache.encode(long), "<u4").tolist() == plain.encode(long, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name, joins", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+@pytest.mark.parametrize("limit", [1, 40, 1 << 20])
+def test_ids_of_a_column_are_those_of_its_texts(monkeypatch, name, joins, limit):
+    monkeypatch.setattr(wordcache, "WORDS_HELD", 40)
+    monkeypatch.setattr(wordcache, "PIECES_HELD", 30)
+    monkeypatch.setattr(wordcache, "SLICE_BYTES", limit)
+    path = public_tokenizers.path(name)
+    cache, plain, draw = wordcache.WordCache(path, joins), Tokenizer.from_file(path), random.Random(4)
+    texts = [None, "", " ", "the", None, "x" * 200 + " " + "ab " * 50]
+    texts += ["".join(draw.choices(PARTS, k=draw.randint(0, 12))) for _ in range(600)]
+    texts += [" ".join(draw.choices(PARTS[4:], k=draw.randint(0, 12))) for _ in range(600)]
+    want = [plain.encode(text or "", add_special_tokens=False).ids for text in texts]
+    column = pa.array(["left out", *texts])[1:]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in cache.encode_all(column)] == want
+    safe = pa.array(["a the x", "the a", None])
+    assert cache.encode_all(safe) == [cache.encode(text) for text in safe.to_pylist()]
+    assert cache.encode_all(pa.array([], pa.string())) == []
+    assert cache.encode_all(pa.array([None, ""], pa.string())) == [b"", b""]
+
+
+def test_a_distinct_stretch_is_looked_up_once_a_slice():
+    class Counted(wordcache.Stretches):
+        asked = 0
+
+        def __getitem__(self, part):
+            self.asked += 1
+            return super().__getitem__(part)
+
+    cache = wordcache.WordCache(public_tokenizers.path("word_bpe_49k.json"), False)
+    cache.young = Counted(cache, {})
+    ids = cache.encode_all(pa.array(["the cat saw the other cat"] * 500))
+    assert cache.young.asked == 4
+    assert ids == [cache.encode("the cat saw the other cat")] * 500
+
+
 # --- Simple-8b -------------------------------------------------------------------------------
 
 
@@ -61,6 +97,24 @@ def test_simple8b_blocks_with_escapes_at_their_ends():
             assert (simple8b.unpack(packed, a, b) == values[a:b]).all()
 
 
+def test_simple8b_words_take_as_many_values_as_they_can():
+    draw = random.Random(10)
+    for block in (1, 3, 64, 240, 300):
+        values = [draw.choice([0, 1, 2, 255, 1 << 15, (1 << 30) - 1, 1 << 30]) for _ in range(40)]
+        values = [v for v in values for _ in range(draw.choice([1, 2, 7, 130]))]
+        words = 0
+        for start in range(0, len(values), block):
+            part, at, escaped = values[start : start + block], 0, False
+            while at < len(part):
+                fits = [n for n, bits in simple8b.SELECTORS if all(v < 1 << bits for v in part[at : at + n])]
+                words += 1 if fits or escaped else 2  # a run of escaped values has one word in front
+                escaped = not fits
+                at += max(fits, default=1)
+        packed = simple8b.pack(np.array(values, dtype=np.uint64), block)
+        blocks = -(-len(values) // block)
+        assert len(packed) == 16 + 8 * (blocks + 1) + 8 * words
+
+
 def test_simple8b_is_dense_and_escapes_look_like_nothing_else():
     assert len(simple8b.pack(np.zeros(2400, dtype=np.uint64))) <= 24 + 8 * 11
     assert len(simple8b.pack(np.full(4000, 2**15 - 1, dtype=np.uint64))) <= 24 + 8 * 1001
