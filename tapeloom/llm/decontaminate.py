@@ -16,6 +16,8 @@ import re
 import ahocorasick
 import pyarrow as pa
 
+from tapeloom.llm import worker
+
 RATE = 0.1  # errors allowed per character of an item
 SHORTEST = 25  # characters; a shorter item must be a whole document
 BLOCK_CHARS = 4_000_000  # characters of items in one scan
@@ -263,6 +265,7 @@ def without_matches(documents, benchmark, rate=RATE, block_chars=BLOCK_CHARS):
 
     def clean(block, place):
         def run(batches):
+            worker.begins("decontaminate")
             matcher = Matcher(block, rate)
             for batch in batches:
                 keep = [

@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Window, functions as F
 
+from tapeloom.llm import worker
 from tapeloom.llm.graph import components
 from tapeloom.operators.spread import number_rows, spread_join
 from tapeloom.settings import scratch_dir
@@ -40,7 +41,7 @@ SKETCHED = "node long, n long, sketch binary"
 LINKS = "a long, b long"
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-_WORDS = {}
+_WORDS = worker.held("jaccard")
 
 
 def mixed(x):
@@ -192,6 +193,7 @@ def plausible(one, others, sizes, percent):
 
 def _sets(size):
     def run(batches):
+        worker.begins("jaccard")
         for batch in batches:
             sets = [shingle_set(text.as_py(), size) for text in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
@@ -206,6 +208,7 @@ def _sets(size):
 
 def _listed(size, percent):
     def run(batches):
+        worker.begins("jaccard")
         parts = Parts(percent)
         for batch in batches:
             nodes, listed, ends = [], [], [0]
@@ -357,6 +360,7 @@ def _edges(found):
 def _grams(size):
     """Shingles of the texts whose set is the wanted ``node``; other texts of the same key are passed over."""
     def run(batches):
+        worker.begins("jaccard")
         for batch in batches:
             wanted = batch.column("node").to_pylist()
             sets = [shingle_set(t.as_py(), size) for t in batch.column("text")]

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window, functions as F
 
-from tapeloom.llm import wordcache
+from tapeloom.llm import wordcache, worker
 from tapeloom.settings import scratch_dir
 
 GROUP_PIECES = 50_000
@@ -201,6 +201,7 @@ def pack(lengths, capacity):
 
 def _pack_group(capacity):
     def packed(part):
+        worker.begins("packing")
         part = part.sort_values(["length", "doc_id", "piece", "row"], ascending=[False, True, True, True]).reset_index(drop=True)
         lengths = part["length"].tolist()
         where, offset, fill = (np.zeros(len(part), dtype="int64") for _ in range(3))

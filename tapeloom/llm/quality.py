@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window, functions as F
 
+from tapeloom.llm import worker
+
 SYMBOLS = "#*$%&|<>"  # Fixed value of the base rules.
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -244,6 +246,7 @@ def keep(documents, trees, threshold=0.0):
     place = documents.columns.index("text")
 
     def chosen(batches):
+        worker.begins("quality")
         for batch in batches:
             found = [statistics(text.as_py()) for text in batch.column(place)]
             score = trees.score([f for _, f in found]) if found else []

@@ -20,7 +20,8 @@ repeats can be, and in parts that do not need each other:
    list its places once for each of its members. The same scan hands up only the earliest suffix of
    an interval; any other is done with at the deepest interval that has an earlier one.
 
-A task holds one batch of parts, ``BATCH_BYTES`` or one anchor's different stretches. Anchors with
+A task holds one batch of parts, ``BATCH_BYTES`` or one anchor's different stretches, and orders some
+``WINDOWS`` of its windows at a time, dealt by fingerprint. Anchors with
 more than ``HOT`` occurrences are split window by window, and equal windows are grouped by Spark without
 Python: the first occurrence is found before the shuffle and joined back, by broadcast where a window
 is in more than ``HOT`` documents, so no task holds all occurrences of one.
@@ -32,12 +33,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tapeloom.llm import worker
 from tapeloom.settings import scratch_dir
 
 GRAM = 24  # bytes hashed for an anchor
 PIECE = 1 << 19  # windows of a text worked on at a time; a power of two below 2^20
 HOT = 200_000  # occurrences of an anchor beyond which its windows are dealt one by one
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
+WINDOWS = 1 << 17  # windows ordered at a time, and those of one fingerprint at least
+SLICE_BYTES = 1 << 18  # bytes of stretches fingerprinted at a time
 SPANS_HELD = 200_000  # spans of copies a task merges before it hands them on
 BROADCAST_ROWS = 400_000  # rows of 24 bytes up to which a list of documents is broadcast
 BROADCAST_SPANS = 1_000_000  # removed runs, 8 bytes each, up to which they are broadcast
@@ -145,7 +149,7 @@ def earlier(common, least, places, front, opens):
             entry[3] = -2
         entry[4] |= opening
 
-    for i, depth in enumerate([*common, 0]):
+    for i, depth in enumerate([*common, 0][: len(places)]):  # without suffixes there is no end either
         rep, byte, opening = i, front[i], opens[i]
         while stack and stack[-1][0] > depth:
             entry = stack.pop()
@@ -161,25 +165,47 @@ def earlier(common, least, places, front, opens):
                 stack.append([depth, rep, [], byte, opening])
 
 
+def fingerprints(stretches, length):
+    """Hashes of the windows of all stretches, in order; some stretches are hashed at a time."""
+    found, held, size = [np.empty(0, dtype=np.uint64)], [], 0
+
+    def hashed():
+        prints = rolling(np.frombuffer(b"".join(s[0] for s in held), dtype=np.uint8), length)
+        begins = np.cumsum([0, *(len(s[0]) for s in held)]).tolist()
+        return np.concatenate([prints[a : a + s[2]] for a, s in zip(begins, held)])
+
+    for stretch in stretches:
+        held.append(stretch)
+        size += len(stretch[0])
+        if size > SLICE_BYTES:
+            found.append(hashed())
+            held, size = [], 0
+    return np.concatenate([*found, hashed()] if held else found)
+
+
 class SuffixArray:
     """The enhanced suffix array of the windows of some stretches.
 
-    ``stretches`` is a list of (bytes, byte in front or -1, number of windows).
+    ``stretches`` is a list of (bytes, byte in front or -1, number of windows). Intervals lie in the
+    windows of one fingerprint, so those of some fingerprints can be ordered without the others:
+    ``chosen`` numbers them among all windows, of which ``prints`` are the fingerprints.
     """
 
-    def __init__(self, stretches, length):
+    def __init__(self, stretches, length, prints=None, chosen=None):
         self.length = length
         sizes = np.array([len(s[0]) for s in stretches], dtype=np.int64)
         self.text = np.frombuffer(b"".join(s[0] for s in stretches), dtype=np.uint8)
         begins = np.cumsum(sizes) - sizes
         windows = np.array([s[2] for s in stretches], dtype=np.int64)
-        owner = np.repeat(np.arange(len(stretches)), windows)
-        offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        prints = fingerprints(stretches, length) if prints is None else prints
+        chosen = np.arange(len(prints)) if chosen is None else chosen
+        prints, ends = prints[chosen], np.cumsum(windows)
+        owner = np.searchsorted(ends, chosen, side="right")
+        offset = chosen - (ends - windows)[owner]
         at = begins[owner] + offset
-        prints = rolling(self.text, length)[at]
         front = self.text[at - 1].astype(np.int64)
         opens = offset == 0
-        front[opens] = [s[1] for s in stretches]
+        front[opens] = np.array([s[1] for s in stretches], dtype=np.int64)[owner[opens]]
         order = np.argsort(prints, kind="stable")
         prints, owner, offset, at, front, opens = (x[order] for x in (prints, owner, offset, at, front, opens))
         # Runs of one fingerprint are the intervals of depth ``length``. What is not diverse on the
@@ -240,6 +266,7 @@ class SuffixArray:
 
 def _listed(length):
     def run(batches):
+        worker.begins("repeats")
         for batch in batches:
             docs, hashes = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -265,6 +292,7 @@ def _cut(length, hot, windows=False):
     """
 
     def run(batches):
+        worker.begins("repeats")
         for batch in batches:
             rows = []
             for doc, tie, text, again in zip(
@@ -307,7 +335,14 @@ def _covered(length):
     Of equal stretches the first stands for all; the others are covered as a whole and are not held.
     """
     def spans_of(kinds):
-        array = SuffixArray([(data, before, count) for _, before, count, data, *_ in kinds], length)
+        stretches = [(data, before, count) for _, before, count, data, *_ in kinds]
+        prints = fingerprints(stretches, length)
+        shares = -(-len(prints) // WINDOWS)
+        for share in range(shares):
+            chosen = np.flatnonzero(prints % _U(shares) == share)
+            yield from spans_among(kinds, SuffixArray(stretches, length, prints, chosen))
+
+    def spans_among(kinds, array):
         doc, tie, start = (np.array([k[i] for k in kinds], dtype=np.int64)[array.owner] for i in (4, 5, 6))
         start += array.offset
         rank = np.empty(len(start), dtype=np.int64)
@@ -323,6 +358,7 @@ def _covered(length):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "tie", "start", "stop"])
 
     def run(batches):
+        worker.begins("repeats")
         kinds, size, spans, held = [], 0, {}, 0
 
         def close():
@@ -351,6 +387,8 @@ def _covered(length):
                     spans, held = {}, 0
         close()
         yield batch_of(spans)
+        kinds, spans = [], {}
+        worker.rests()
 
     return run
 
@@ -598,6 +636,7 @@ def without_repeats(documents, length=100):
     chars_at = rows.columns.index("n_chars") if "n_chars" in rows.columns else -1
 
     def cut(batches):
+        worker.begins("repeats")
         for batch in batches:
             texts = []
             for text, spans in zip(batch.column(place), batch.column(spans_at).to_pylist()):

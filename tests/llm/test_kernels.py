@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from tapeloom.llm import decontaminate, jaccard, langid, licenses, packing, quality, repeats, simple8b, warc, wordcache
+from tapeloom.llm import decontaminate, jaccard, langid, licenses, packing, quality, repeats, simple8b, warc, wordcache, worker
 
 
 # --- token ids -------------------------------------------------------------------------------
@@ -289,6 +289,65 @@ def test_equal_windows_have_equal_anchors(monkeypatch):
     assert by_window(a) == x
 
 
+def stretches_of(n, seed):
+    """Rows of one anchor, sorted as for ``_covered``: stretches of one passage with changed bytes."""
+    draw = random.Random(seed)
+    passage, found = bytes(draw.choices(b"abcd", k=176)), []
+    for i in range(n):
+        data = bytearray(passage[: draw.randint(100, 176)])
+        if draw.random() < 0.6:
+            data[draw.randrange(len(data))] = draw.choice(b"abcd")
+        found.append((1, i, 5, [draw.randint(0, 500)], draw.choice([-1, 65, 66]), len(data) - 99, bytes(data)))
+    return sorted(found, key=lambda r: (r[6], r[4], r[5], r[1]))
+
+
+def covered_by(rows):
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary())
+    names = [c.split()[0] for c in repeats.STRETCHES.split(", ")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    return sorted(row for found in repeats._covered(100)([batch]) for row in zip(*(c.to_pylist() for c in found.columns)))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_windows_ordered_by_shares_cover_the_same(monkeypatch, seed):
+    rows = stretches_of(40, seed)
+    sizes, made = [], repeats.SuffixArray.__init__
+
+    def noted(self, stretches, length, prints, chosen):
+        sizes.append((len(chosen), len(prints)))
+        made(self, stretches, length, prints, chosen)
+
+    monkeypatch.setattr(repeats.SuffixArray, "__init__", noted)
+    whole = covered_by(rows)
+    assert whole and len(sizes) == 1
+    monkeypatch.setattr(repeats, "WINDOWS", 50)
+    monkeypatch.setattr(repeats, "SLICE_BYTES", 300)
+    assert covered_by(rows) == whole
+    assert len(sizes) > 20 and sum(n for n, _ in sizes[1:]) == sizes[0][1]  # each window in one share
+
+
+def test_stretches_without_equal_windows_cover_nothing():
+    one, other = (bytes(random.Random(s).choices(b"abcd", k=120)) for s in (1, 2))
+    rows = sorted([(1, 1, 1, [0], -1, 21, one), (1, 2, 1, [0], -1, 21, other)], key=lambda r: r[6])
+    assert covered_by(rows) == []
+
+
+def test_a_worker_remembers_one_operator_at_a_time():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    cache = wordcache.cached(path, True)
+    cache.encode("words to remember")
+    assert wordcache.cached(path, True) is cache  # from task to task
+    jaccard.shingle_set("words to remember")
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array(["other words"])], ["doc_id", "tag", "text"])
+    list(jaccard._sets(3)([batch]))
+    assert not wordcache._CACHES and b"other" in jaccard._WORDS
+    list(repeats._covered(100)([]))
+    assert not jaccard._WORDS
+    wordcache.cached(path, True)
+    worker.begins("packing")
+    assert not wordcache._CACHES
+
+
 # --- Jaccard ---------------------------------------------------------------------------------
 
 
