@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import time
+from pathlib import Path
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -251,3 +253,31 @@ def test_rows_are_sorted_before_texts_are_put_beside_them(spark, tmp_path):
         files = list(path.glob("split=*/*.parquet"))
         found = [[tuple(r[c] for c in key) for r in pq.read_table(f, partitioning=None).to_pylist()] for f in files]
         assert sum(map(len, found)) == 3000 and all(f == sorted(f) for f in found)
+
+
+def test_common_texts_do_not_travel_with_the_rows(spark):
+    """Shared tables meet the rows after the shuffle; texts of their own and nulls stay as they are."""
+    rows = spark.range(200).selectExpr(
+        "id AS report_id", "if(id % 9 = 0, NULL, 'train') AS split", "DATE'2021-01-01' AS report_date",
+        "if(id % 5 = 0, NULL, repeat(CAST(id % 3 AS STRING), 500)) AS table_data", "CAST(id AS STRING) AS report",
+    )
+    plain, slim = prompts.in_date_order(rows), prompts.in_date_order(rows, common=["table_data"])
+    assert slim.columns == plain.columns == rows.columns
+    assert sorted(slim.collect(), key=lambda r: r.report_id) == sorted(plain.collect(), key=lambda r: r.report_id)
+    below = slim._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert "md5(" in below and "table_data" in plain._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[0]
+    assert [r.report_id for r in slim.collect()] == [r.report_id for r in plain.collect()]
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark, tmp_path):
+    shuffled = spark.range(1000).selectExpr("id % 7 AS report_id", "'a' AS split", "current_date() AS report_date").distinct()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, blocks = spark.conf.get(key), lambda: [f for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs() for f in Path(d.getPath()).rglob("shuffle_*.data")]
+    held = set(blocks())
+    sinks.write_tokens(shuffled.selectExpr("*", "array(1L) AS input_ids", "array(1L) AS attention_mask", "array(1L) AS labels"), str(tmp_path / "tokens"), "m")
+    for _ in range(50):
+        if not set(blocks()) - held:
+            break
+        time.sleep(0.2)
+    assert not set(blocks()) - held and spark.conf.get(key) == before
+    assert scans.scan_tokens(spark, str(tmp_path / "tokens")).count() == 7
